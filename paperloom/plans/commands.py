@@ -87,7 +87,7 @@ def latest(spark: SparkSession, path: str, schema: StructType) -> tuple[DataFram
     """Newest snapshot of a small mutable table and its number; an empty table and -1 if there is none."""
     if not readers.exists(spark, path):
         return spark.createDataFrame([], schema), -1
-    versioned = spark.read.schema(schema.add("snapshot", "int")).parquet(path)
+    versioned = spark.read.schema(schemas.plus(schema, "snapshot", schemas.INT)).parquet(path)
     newest = versioned.agg(F.max("snapshot")).first()[0]
     newest = 0 if newest is None else newest
     return versioned.filter(F.col("snapshot") == newest).drop("snapshot"), newest
@@ -166,9 +166,7 @@ def export_data(spark: SparkSession, layout: Layout, name: str) -> None:
     main, _ = _worklist(spark, layout, name)
     cate = spark.range(1).select(worklist_category(F.lit(name))).first()[0]
     completed = complete_ops.completed_papers(_read_category(spark, layout, cate), main)
-    completed.select(extract.record_json("*").alias("value")).write.mode("overwrite").text(
-        layout.export(f"completed_{name}.data")
-    )
+    writers.write_records(completed, layout.export(f"completed_{name}.data"))
 
 
 # --- corpus -------------------------------------------------------------------------------------------
@@ -227,7 +225,7 @@ def export_from_ids(spark: SparkSession, layout: Layout, ids_path: str) -> str:
 
 def match_label(spark: SparkSession, layout: Layout, cate: str) -> DataFrame:
     """Match one label's snapshot papers with the corpus; writes index and audit, returns the match rate."""
-    index = match.title_index(readers.read_snapshot(spark, layout.snapshot), [reg.category(cate)])
+    index = durable(match.title_index(readers.read_snapshot(spark, layout.snapshot), [reg.category(cate)]))
     checklist, _ = latest(spark, layout.checklist, schemas.CHECKLIST)
     titles = readers.read_papers(spark, layout.papers, columns=("id", "title", "title_key", "partition"))
     # The checklist holds one row per shard file; the planner broadcasts it and prunes the other shards.

@@ -2,52 +2,103 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DataType, IntegerType, LongType, StringType, StructField, StructType
 
+TEXT, INT, BIGINT = StringType(), IntegerType(), LongType()
+TEXTS = ArrayType(TEXT)
 
-def _schema(ddl: str) -> StructType:
-    return StructType.fromDDL(ddl)
+
+def _schema(*fields: tuple[str, DataType]) -> StructType:
+    return StructType([StructField(name, kind) for name, kind in fields])
 
 
 SNAPSHOT = _schema(
-    "id STRING, submitter STRING, authors STRING, title STRING, comments STRING, `journal-ref` STRING, "
-    "doi STRING, `report-no` STRING, categories STRING, license STRING, abstract STRING, "
-    "versions ARRAY<STRUCT<version: STRING, created: STRING>>, update_date STRING, "
-    "authors_parsed ARRAY<ARRAY<STRING>>"
+    ("id", TEXT),
+    ("submitter", TEXT),
+    ("authors", TEXT),
+    ("title", TEXT),
+    ("comments", TEXT),
+    ("journal-ref", TEXT),
+    ("doi", TEXT),
+    ("report-no", TEXT),
+    ("categories", TEXT),
+    ("license", TEXT),
+    ("abstract", TEXT),
+    ("versions", ArrayType(_schema(("version", TEXT), ("created", TEXT)))),
+    ("update_date", TEXT),
+    ("authors_parsed", ArrayType(TEXTS)),
 )
 
 CATEGORY_PAPERS = _schema(
-    "id STRING, title STRING, abstract STRING, `report-no` STRING, authors_parsed ARRAY<ARRAY<STRING>>"
+    ("id", TEXT), ("title", TEXT), ("abstract", TEXT), ("report-no", TEXT), ("authors_parsed", ArrayType(TEXTS))
 )
 
-WORKLIST = _schema("id STRING, venue STRING, year INT, n_citations INT, partition INT, filled INT")
+WORKLIST = _schema(
+    ("id", TEXT), ("venue", TEXT), ("year", INT), ("n_citations", INT), ("partition", INT), ("filled", INT)
+)
 
-RESPONSES = _schema("id STRING, status INT, body STRING")
+RESPONSES = _schema(("id", TEXT), ("status", INT), ("body", TEXT))
 
-CHECKLIST = _schema("partition STRING, is_checked INT")
+CHECKLIST = _schema(("partition", TEXT), ("is_checked", INT))
 
 SHARD_RECORD = _schema(
-    "id STRING, title STRING, paperAbstract STRING, authors ARRAY<STRUCT<name: STRING>>, "
-    "inCitations ARRAY<STRING>, fieldsOfStudy ARRAY<STRING>, venue STRING, year INT"
+    ("id", TEXT),
+    ("title", TEXT),
+    ("paperAbstract", TEXT),
+    ("authors", ArrayType(_schema(("name", TEXT)))),
+    ("inCitations", TEXTS),
+    ("fieldsOfStudy", TEXTS),
+    ("venue", TEXT),
+    ("year", INT),
 )
 
+# `title_key` is stored so that a title match reads a key instead of computing it for the whole corpus.
 PAPERS = _schema(
-    "id BIGINT, s2_id STRING, title STRING, abstract STRING, authors ARRAY<STRING>, venue STRING, "
-    "year INT, n_citations INT, title_key STRING, partition STRING"
+    ("id", BIGINT),
+    ("s2_id", TEXT),
+    ("title", TEXT),
+    ("abstract", TEXT),
+    ("authors", TEXTS),
+    ("venue", TEXT),
+    ("year", INT),
+    ("n_citations", INT),
+    ("title_key", TEXT),
+    ("partition", TEXT),
 )
 
+# Ingestion bookkeeping: one row per shard and scan task of a batch.
+CHUNKS = _schema(("partition", TEXT), ("task", BIGINT), ("first_place", BIGINT), ("n", BIGINT))
+
 # Field order of one exported paper; also the shape of seeds, variants and masking input.
 PAPER_RECORD = _schema(
-    "id BIGINT, s2_id STRING, title STRING, abstract STRING, venue STRING, authors ARRAY<STRING>, "
-    "year INT, n_citations INT"
+    ("id", BIGINT),
+    ("s2_id", TEXT),
+    ("title", TEXT),
+    ("abstract", TEXT),
+    ("venue", TEXT),
+    ("authors", TEXTS),
+    ("year", INT),
+    ("n_citations", INT),
 )
 
 COMPLETED_RECORD = _schema(
-    "id STRING, title STRING, abstract STRING, `report-no` STRING, authors ARRAY<STRING>, "
-    "year INT, venue STRING, n_citations INT"
+    ("id", TEXT),
+    ("title", TEXT),
+    ("abstract", TEXT),
+    ("report-no", TEXT),
+    ("authors", TEXTS),
+    ("year", INT),
+    ("venue", TEXT),
+    ("n_citations", INT),
 )
 
-LABEL_INDEX = _schema("id BIGINT, cate STRING")
+LABEL_INDEX = _schema(("id", BIGINT), ("cate", TEXT))
+
+
+def plus(schema: StructType, name: str, kind: DataType) -> StructType:
+    """A copy with one more field (a partition column of the folder layout)."""
+    return StructType([*schema.fields, StructField(name, kind)])
+
 
 # Status values of the work-list.
 TODO, DONE, ERROR = 0, 1, 2

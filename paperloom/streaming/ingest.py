@@ -48,15 +48,13 @@ def write_batch(batch: DataFrame, batch_id: int, papers_path: str, chunks_path:
         .write.mode("overwrite")
         .parquet(own_chunks)
     )
-    chunk_schema = "partition STRING, task BIGINT, first_place BIGINT, n BIGINT"
-    earlier_batches = (
-        spark.read.schema(chunk_schema + ", batch BIGINT").parquet(chunks_path).filter(F.col("batch") < batch_id)
-    )
+    all_chunks = spark.read.schema(schemas.plus(schemas.CHUNKS, "batch", schemas.BIGINT)).parquet(chunks_path)
+    earlier_batches = all_chunks.filter(F.col("batch") < batch_id)
     base = earlier_batches.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
     # One row per shard and task of this batch: small enough for one window, read back with its true size.
     before = Window.orderBy("partition", "task").rowsBetween(Window.unboundedPreceding, -1)
     first_ids = (
-        spark.read.schema(chunk_schema)
+        spark.read.schema(schemas.CHUNKS)
         .parquet(own_chunks)
         .withColumn("first_id", base + F.coalesce(F.sum("n").over(before), F.lit(0)) + 1)
         .drop("n")

@@ -1,0 +1,53 @@
+"""Every registered query against DuckDB on the given tables (set ORACLE_SF_DIR for another scale)."""
+
+import collections
+import glob
+import math
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__ as contract
+
+SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for path in glob.glob(f"{SF_DIR}/*.parquet"):
+        name = os.path.basename(path).removesuffix(".parquet")
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{path}'")
+    return connection
+
+
+def _cell(value):
+    if isinstance(value, float):
+        return "nan" if math.isnan(value) else f"{value:.6f}"
+    return value
+
+
+def _bag(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return collections.Counter(tuple(_cell(row[i]) for i in order) for row in rows)
+
+
+def test_every_query_has_sql():
+    assert contract.queries().keys() == contract.oracle_sql().keys()
+
+
+@pytest.mark.parametrize("name", list(contract.queries()))
+def test_query_equals_sql(spark, duck, name):
+    result = contract.queries()[name](spark, SF_DIR)
+    relation = duck.execute(contract.oracle_sql()[name])
+    columns = [d[0] for d in relation.description]
+    assert sorted(columns) == sorted(result.columns)
+    got, expected = _bag(result.columns, result.collect()), _bag(columns, relation.fetchall())
+    assert expected, "the query should find rows"
+    assert got == expected, (list((got - expected).items())[:3], list((expected - got).items())[:3])
+
+
+def test_entry(spark):
+    rows = contract.entry(spark).collect()
+    assert len(rows) == 40 and rows[0]["cate"] == "cslg"
