@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.operators.extract import completed_authors
@@ -14,40 +14,38 @@ FORBIDDEN = 403
 VENUE, YEAR, CITATIONS = "venue", "year", "citationCount"
 
 
-def response_state(status: Column, body: Column) -> Column:
-    """DONE, ERROR, or TODO for a response that leaves its paper open.
+def with_state(responses: DataFrame) -> DataFrame:
+    """Add the parsed body and `state`: DONE, ERROR, or TODO for a response that leaves its paper open.
 
     A body that is not JSON is an error whatever the status. Otherwise 403 leaves the paper open. Otherwise
     an object without a non-null `error` and with all three keys is done; anything else is an error.
     """
-    parsed = F.try_parse_json(body)
-
-    def key(name: str) -> Column:
-        return F.try_variant_get(parsed, f"$.{name}", "variant")
-
-    is_object = F.schema_of_variant(parsed).startswith("OBJECT")
-    has_error = key("error").isNotNull() & ~F.is_variant_null(key("error"))
-    complete = key(VENUE).isNotNull() & key(YEAR).isNotNull() & key(CITATIONS).isNotNull()
-    return (
-        F.when(parsed.isNull(), ERROR)
-        .when(status == FORBIDDEN, TODO)
-        .when(is_object & ~has_error & complete, DONE)
+    # Projections of their own, so that each body is parsed and each key looked up once.
+    parsed = responses.withColumn("parsed", F.try_parse_json("body"))
+    keys = {f"_{k}": F.try_variant_get("parsed", f"$.{k}", "variant") for k in ("error", VENUE, YEAR, CITATIONS)}
+    is_object = F.schema_of_variant("parsed").startswith("OBJECT")
+    has_error = F.col("_error").isNotNull() & ~F.is_variant_null("_error")
+    has_keys = F.col(f"_{VENUE}").isNotNull() & F.col(f"_{YEAR}").isNotNull() & F.col(f"_{CITATIONS}").isNotNull()
+    state = (
+        F.when(F.col("parsed").isNull(), ERROR)
+        .when(F.col("status") == FORBIDDEN, TODO)
+        .when(is_object & ~has_error & has_keys, DONE)
         .otherwise(ERROR)
     )
+    return parsed.withColumns(keys).withColumn("state", state).drop(*keys)
 
 
 def settled_responses(responses: DataFrame) -> DataFrame:
     """One settling outcome per id. Repeated responses are folded before the shuffle; a done one wins."""
-    parsed = F.try_parse_json(F.col("body"))
     done = F.col("state") == DONE
     outcome = F.struct(
         F.col("state").alias("filled"),
-        F.when(done, F.try_variant_get(parsed, f"$.{VENUE}", "string")).alias("venue"),
-        F.when(done, F.try_variant_get(parsed, f"$.{YEAR}", "int")).alias("year"),
-        F.when(done, F.try_variant_get(parsed, f"$.{CITATIONS}", "int")).alias("n_citations"),
+        F.when(done, F.try_variant_get("parsed", f"$.{VENUE}", "string")).alias("venue"),
+        F.when(done, F.try_variant_get("parsed", f"$.{YEAR}", "int")).alias("year"),
+        F.when(done, F.try_variant_get("parsed", f"$.{CITATIONS}", "int")).alias("n_citations"),
     )
     return (
-        responses.withColumn("state", response_state(F.col("status"), F.col("body")))
+        with_state(responses)
         .filter(F.col("state") != TODO)
         .groupBy("id")
         .agg(F.min(outcome).alias("outcome"))

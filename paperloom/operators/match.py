@@ -12,6 +12,9 @@ from paperloom.registry import Category
 # A key with more rows than this is spread over several tasks.
 HOT_ROWS = 1_000_000
 
+# An index whose text is measured to be at most this long is broadcast instead.
+BROADCAST_BYTES = 128 * 1024 * 1024
+
 
 def title_index(
     snapshot: DataFrame, registry: list[Category], ord: Column | None = None, drop_empty_key: bool = False
@@ -22,13 +25,13 @@ def title_index(
     reach one task.
     """
     keyed = label_papers(
-        snapshot.select(
+        snapshot.filter(F.col("title").isNotNull()).select(
             "id",
             "title",
             "categories",
             title_key(F.col("title")).alias("title_key"),
             (F.col("id") if ord is None else ord).alias("_ord"),
-        ).filter(F.col("title_key").isNotNull()),
+        ),
         registry,
     )
     if drop_empty_key:
@@ -53,14 +56,30 @@ def with_title_key(papers: DataFrame) -> DataFrame:
     return papers.withColumn("title_key", title_key(F.col("title")))
 
 
-def match_titles(index: DataFrame, papers: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def match_titles(
+    index: DataFrame, papers: DataFrame, hot_rows: int = HOT_ROWS, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """Every corpus paper whose key is in the index, once per label.
 
-    Corpus keys are counted first (hash and count only, combined on the map side). A key above `hot_rows`
-    is cut into that many shares by paper id and the index rows of that key are repeated per share, so
-    no task gets more than about `hot_rows` rows of one key. All rows stay.
+    `index` is read twice, so pass a checkpointed one. Its text is measured first: a short index is broadcast,
+    which leaves the corpus where it is; a long one is joined by a shuffle that spreads hot keys.
     """
     corpus = with_title_key(papers).select("id", F.col("title").alias("s_title"), "title_key")
+    text_bytes = sum((F.octet_length(F.coalesce(c, F.lit(""))) for c in index.columns), F.lit(0))
+    measured = index.agg(F.sum(text_bytes.cast("bigint"))).first()[0] or 0
+    if measured <= broadcast_bytes:
+        matched = corpus.join(F.broadcast(index), "title_key")
+    else:
+        matched = _spread_join(corpus, index, hot_rows)
+    return matched.select("cate", "id", "arxiv_id", "categories", "a_title", "s_title")
+
+
+def _spread_join(corpus: DataFrame, index: DataFrame, hot_rows: int) -> DataFrame:
+    """Shuffled join in which no task gets more than about `hot_rows` corpus rows of one key.
+
+    Corpus keys are counted first (hash and count only, combined on the map side). A key above `hot_rows` is
+    cut into shares by paper id, and the index rows of that key are repeated per share. All rows stay.
+    """
     key_hash = F.xxhash64("title_key").alias("_key_hash")
     hot = (
         corpus.groupBy(key_hash)
@@ -83,9 +102,7 @@ def match_titles(index: DataFrame, papers: DataFrame, hot_rows: int = HOT_ROWS)
         .withColumn("_share", F.explode(F.sequence(F.lit(0), shares - 1)))
         .drop("_key_hash", "_shares")
     )
-    return left.join(right, ["title_key", "_share"]).select(
-        "cate", "id", "arxiv_id", "categories", "a_title", "s_title"
-    )
+    return left.join(right, ["title_key", "_share"])
 
 
 def label_index(matches: DataFrame) -> DataFrame:

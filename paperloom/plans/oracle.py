@@ -128,7 +128,7 @@ CTES = {
         SELECT item_id AS seed_id, 'documents' AS source, 'seed' || item_id AS s2_id, substr(text, 1, 20) AS title
         FROM benchmark""",
     "checklist": """
-        SELECT source AS partition, CAST(max(CASE WHEN lang = 'de' THEN 1 ELSE 0 END) AS INT) AS is_checked
+        SELECT source AS partition, CAST(max(CASE WHEN lang = 'de' AND n_chars > 3000 THEN 1 ELSE 0 END) AS INT) AS is_checked
         FROM documents GROUP BY source""",
 }
 
@@ -232,7 +232,7 @@ SQL: dict[str, str] = {
         SELECT page_id, split_part(regexp_extract(url, '[^/]*$'), '.', 1) AS shard, 'cslg' AS source, 'cs' AS cate
         FROM pages""",
     "title_match": _with("SELECT cate, id, arxiv_id FROM matches", *_MATCH),
-    "title_match_hot_keys": _with("SELECT cate, id, arxiv_id FROM matches", *_MATCH),
+    "title_match_shuffled": _with("SELECT cate, id, arxiv_id FROM matches", *_MATCH),
     "match_rate": _with(
         """SELECT k.cate, n_keys, coalesce(n_matches, 0) AS n_matches,
                   round(100.0 * coalesce(n_matches, 0) / nullif(n_keys, 0), 2) AS rate

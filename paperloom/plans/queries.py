@@ -108,7 +108,8 @@ def derived_names(spark, sf_dir):
 
 
 def _index(spark, sf_dir):
-    return match.title_index(data.snapshot(spark, sf_dir), LABELS, F.col("id").cast("bigint"))
+    snapshot = data.snapshot(spark, sf_dir)
+    return session.durable(match.title_index(snapshot, LABELS, F.col("id").cast("bigint")))
 
 
 def _matches(spark, sf_dir):
@@ -119,14 +120,16 @@ def title_match(spark, sf_dir):
     return _matches(spark, sf_dir).select("cate", "id", "arxiv_id")
 
 
-def title_match_hot_keys(spark, sf_dir):
-    """Same result as `title_match` with nearly every repeated key treated as a hot one."""
-    hot = match.match_titles(_index(spark, sf_dir), data.corpus_titles(spark, sf_dir), hot_rows=2)
-    return hot.select("cate", "id", "arxiv_id")
+def title_match_shuffled(spark, sf_dir):
+    """Same result as `title_match` on the path for a long index, with every repeated key treated as hot."""
+    titles = data.corpus_titles(spark, sf_dir)
+    matches = match.match_titles(_index(spark, sf_dir), titles, hot_rows=2, broadcast_bytes=0)
+    return matches.select("cate", "id", "arxiv_id")
 
 
 def match_rate(spark, sf_dir):
-    return match.match_rate(_index(spark, sf_dir), _matches(spark, sf_dir))
+    index = _index(spark, sf_dir)
+    return match.match_rate(index, match.match_titles(index, data.corpus_titles(spark, sf_dir)))
 
 
 def match_audit(spark, sf_dir):
@@ -169,7 +172,7 @@ def label_export(spark, sf_dir):
 
 
 def label_random_export(spark, sf_dir):
-    index = match.label_index(_matches(spark, sf_dir)).select("cate", "id").distinct()
+    index = session.durable(match.label_index(_matches(spark, sf_dir)))
     drawn = export.random_of_label(data.papers(spark, sf_dir), index, "cslg", 50, SEED)
     return drawn.select("id", "s2_id", "title", "abstract")
 
@@ -235,8 +238,7 @@ def eta(spark, sf_dir):
 
 
 def classify_responses(spark, sf_dir):
-    state = complete.response_state(F.col("status"), F.col("body"))
-    return data.responses(spark, sf_dir).select("id", state.alias("state"))
+    return complete.with_state(data.responses(spark, sf_dir)).select("id", "state")
 
 
 def complete_staging(spark, sf_dir):
@@ -265,7 +267,7 @@ def complete_join(spark, sf_dir):
 def shard_checklist(spark, sf_dir):
     documents = data.table(spark, sf_dir, "documents").withColumnRenamed("source", "partition")
     existing = documents.filter("lang = 'fr'").select("partition").distinct().withColumn("is_checked", F.lit(0))
-    done = documents.filter("lang = 'de'").select("partition")
+    done = documents.filter("lang = 'de' AND n_chars > 3000").select("partition")
     return worklist.mark_checked(worklist.init_checklist(documents, existing), done)
 
 
@@ -298,16 +300,16 @@ def mask_features(spark, sf_dir):
     papers = data.gappy_papers(spark, sf_dir).join(
         data.papers(spark, sf_dir).select("id", "s2_id", "authors"), "id"
     )
-    schema = (
-        "s2_id STRING, title STRING, abstract STRING, venue STRING, authors ARRAY<STRING>, year STRING, n_citations INT"
-    )
-    record = F.from_json("value", schema).alias("record")
-    parsed = mask.mask_features(papers).select("masking", record, F.json_object_keys("value").alias("keys"))
+    # One parse per record: every field as text, which also shows that a masked year is no number.
+    fields = F.from_json("value", "map<string, string>").alias("f")
+    parsed = mask.mask_features(papers).select("masking", fields)
+    field = {c: F.try_element_at("f", F.lit(c)) for c in ("s2_id", "title", "abstract", "venue", "year")}
     return parsed.select(
         "masking",
-        *[F.col(f"record.{c}") for c in ("s2_id", "title", "abstract", "venue", "year", "n_citations")],
-        F.array_join("record.authors", "|").alias("authors"),
-        F.size("keys").cast("bigint").alias("n_keys"),
+        *[value.alias(c) for c, value in field.items()],
+        F.try_element_at("f", F.lit("n_citations")).cast("int").alias("n_citations"),
+        F.array_join(text.decode_string_array(F.try_element_at("f", F.lit("authors"))), "|").alias("authors"),
+        F.size("f").cast("bigint").alias("n_keys"),
     )
 
 
@@ -330,7 +332,7 @@ REGISTERED: dict[str, Query] = {
     for query in (
         category_filter, category_labels, category_count, topic_filter, topic_count, drop_columns,
         completeness_filter, array_membership, author_names, authors_decode, drop_null_fields, title_key,
-        derived_names, title_match, title_match_hot_keys, match_rate, match_audit, label_counts, label_totals,
+        derived_names, title_match, title_match_shuffled, match_rate, match_audit, label_counts, label_totals,
         corpus_count, corpus_topic_count, id_list_export, label_export, label_random_export, dense_id,
         range_export, paged_export, random_sample, label_sample, three_way_split, insert_or_ignore,
         create_worklist, pending_work, fill_status, eta, classify_responses, complete_staging, merge_staging,

@@ -17,7 +17,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _first_line(text: Column) -> Column:
-    return F.split_part(text, F.lit("\n"), F.lit(1))
+    return F.substring_index(text, "\n", 1)
 
 
 def _word(text: Column, position: int) -> Column:
