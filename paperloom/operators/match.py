@@ -53,7 +53,9 @@ def with_title_key(papers: DataFrame) -> DataFrame:
     """Corpus rows with their key; the ingested table already stores it."""
     if "title_key" in papers.columns:
         return papers
-    return papers.withColumn("title_key", title_key(F.col("title")))
+    # Coalesced to be non-nullable: a join would otherwise add a filter that computes the key a second time.
+    key = F.coalesce(title_key(F.col("title")), F.lit(""))
+    return papers.filter(F.col("title").isNotNull()).withColumn("title_key", key)
 
 
 def match_titles(

@@ -18,7 +18,7 @@ from paperloom.functions.ordering import bucket, order_hash
 # Groups whose cut rows may travel with the plan.
 MAX_CUT_ROWS = 10_000
 
-_HASH, _BUCKET, _OFFSET, _SIZE = "_hash", "_bucket", "_offset", "_size"
+_HASH, _BUCKET, _OFFSET, _TOTAL = "_hash", "_bucket", "_offset", "_total"
 
 
 def _hashed(df: DataFrame, key: str, seed: int) -> DataFrame:
@@ -26,23 +26,29 @@ def _hashed(df: DataFrame, key: str, seed: int) -> DataFrame:
 
 
 def _bucket_offsets(hashed: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Rows before each bucket, and in it. At most 16**4 rows per group, whatever the input size."""
-    earlier = (
-        Window.partitionBy(*by).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    counts = hashed.groupBy(*by, _BUCKET).agg(F.count("*").alias(_SIZE))
-    return counts.withColumn(_OFFSET, F.sum(_SIZE).over(earlier) - F.col(_SIZE))
+    """Rows before each bucket, and in all of them. At most 16**4 rows per group, whatever the input size."""
+    group = Window.partitionBy(*by)
+    upto = group.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counts = hashed.groupBy(*by, _BUCKET).agg(F.count("*").alias("_size"))
+    return counts.withColumns(
+        {_OFFSET: F.sum("_size").over(upto) - F.col("_size"), _TOTAL: F.sum("_size").over(group)}
+    ).drop("_size")
 
 
-def with_position(df: DataFrame, key: str, seed: int, name: str = "position") -> DataFrame:
-    """1-based position of each row in the seeded order of `key`."""
+def _placed(df: DataFrame, key: str, seed: int, name: str) -> DataFrame:
+    """1-based position in the seeded order, and the number of rows in `_TOTAL`."""
     hashed = _hashed(df, key, seed)
     # Bounded broadcast: one row per hash prefix, 16**4 at most.
-    placed = hashed.join(F.broadcast(_bucket_offsets(hashed).drop(_SIZE)), _BUCKET)
+    placed = hashed.join(F.broadcast(_bucket_offsets(hashed)), _BUCKET)
     inside = F.row_number().over(Window.partitionBy(_BUCKET).orderBy(_HASH, key))
     return placed.withColumn(name, F.col(_OFFSET) + inside).drop(_HASH, _BUCKET, _OFFSET)
 
 
+def with_position(df: DataFrame, key: str, seed: int, name: str = "position") -> DataFrame:
+    """1-based position of each row in the seeded order of `key`."""
+    return _placed(df, key, seed, name).drop(_TOTAL)
+
+
 def dense_id(df: DataFrame, key: str, seed: int, name: str = "id") -> DataFrame:
     """Surrogate ids 1..N without gaps."""
     return with_position(df, key, seed, name)
@@ -51,27 +57,22 @@ def dense_id(df: DataFrame, key: str, seed: int, name: str = "id") -> DataFrame:
 def sample(df: DataFrame, key: str, n: int, seed: int, by: Sequence[str] = ()) -> DataFrame:
     """Exactly `n` rows (all if there are fewer), the first in the seeded order; per group if `by` is given.
 
-    The first pass counts hash prefixes of the key column alone and finds the prefix in which row `n` falls.
-    The second pass filters on that prefix, so hardly more than `n` rows are ranked. `by` is for label-like
-    columns: the cut has one row per group and is joined by broadcast if there are at most `MAX_CUT_ROWS`
-    groups, else by a shuffle.
+    The first pass, run at once, counts hash prefixes of the key column alone and finds the prefix in which
+    row `n` falls: one row per group. The plan returned filters on that prefix, so hardly more than `n` rows
+    are ranked. `by` is for label-like columns: the cut is broadcast if there are at most `MAX_CUT_ROWS`
+    groups, else joined by a shuffle. `df` is read twice; checkpoint it if that is costly.
     """
     hashed = _hashed(df, key, seed)
-    offsets = _bucket_offsets(hashed.select(*by, _HASH, _BUCKET), by)
-    reached = offsets.filter(F.col(_OFFSET) < n)
-    if by:
-        cut = reached.groupBy(*by).agg(F.max(_BUCKET).alias("_last"), F.max(_OFFSET).alias(_OFFSET))
-        rows = cut.limit(MAX_CUT_ROWS + 1).collect()
+    reached = _bucket_offsets(hashed.select(*by, _HASH, _BUCKET), by).filter(F.col(_OFFSET) < n)
+    cut = reached.groupBy(*by).agg(F.max(_BUCKET).alias("_last"), F.max(_OFFSET).alias(_OFFSET))
+    rows = cut.limit(MAX_CUT_ROWS + 1).collect()
+    if not by:
+        last, offset = rows[0]
+        kept = hashed.filter(F.col(_BUCKET) <= last).withColumns({"_last": F.lit(last), _OFFSET: F.lit(offset)})
+    else:
         if len(rows) <= MAX_CUT_ROWS:
             cut = F.broadcast(df.sparkSession.createDataFrame(rows, cut.schema))
         kept = hashed.join(cut, list(by)).filter(F.col(_BUCKET) <= F.col("_last"))
-    else:
-        cut = reached.agg(F.max(F.struct(F.col(_BUCKET), F.col(_OFFSET))).alias("cut")).scalar()
-        kept = (
-            hashed.filter(F.col(_BUCKET) <= cut.getField(_BUCKET))
-            .withColumn("_last", cut.getField(_BUCKET))
-            .withColumn(_OFFSET, cut.getField(_OFFSET))
-        )
     inside = F.row_number().over(Window.partitionBy(*by, _BUCKET).orderBy(_HASH, key))
     return (
         kept.withColumn("_rank", inside)
@@ -88,9 +89,8 @@ def three_way_part(position: Column, total: Column) -> Column:
 
 def three_way_split(df: DataFrame, key: str, seed: int) -> DataFrame:
     """Random split of distinct keys into column `partition`."""
-    total = df.agg(F.count("*")).scalar()
     return (
-        with_position(df, key, seed, "_position")
-        .withColumn("partition", three_way_part(F.col("_position"), total).cast("int"))
-        .drop("_position")
+        _placed(df, key, seed, "_position")
+        .withColumn("partition", three_way_part(F.col("_position"), F.col(_TOTAL)).cast("int"))
+        .drop("_position", _TOTAL)
     )
