@@ -32,9 +32,10 @@ def page_of(position: Column, rows: int = PAGE_ROWS) -> Column:
 def by_ids(papers: DataFrame, ids: DataFrame) -> DataFrame:
     """Papers in the list: repeated ids count once, unknown ones vanish.
 
-    No hint: the planner broadcasts the list if its size allows and shuffles both sides otherwise.
+    No hint: the planner broadcasts the list if its size allows and shuffles both sides otherwise. An id that is
+    repeated very often is folded on the map side before that.
     """
-    return papers.join(ids.select("id"), "id", "left_semi")
+    return papers.join(ids.select("id").distinct(), "id", "left_semi")
 
 
 def of_label(papers: DataFrame, index: DataFrame, cate: str) -> DataFrame:

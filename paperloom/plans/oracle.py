@@ -125,8 +125,7 @@ CTES = {
             ELSE 2 END AS INT) AS state
         FROM responses""",
     "seeds": """
-        SELECT item_id AS seed_id, 'documents' AS source, 'seed' || item_id AS s2_id, substr(text, 1, 20) AS title
-        FROM benchmark""",
+        SELECT item_id AS seed_id, 'documents' AS source, 'seed' || item_id AS s2_id FROM benchmark""",
     "checklist": """
         SELECT source AS partition, CAST(max(CASE WHEN lang = 'de' AND n_chars > 3000 THEN 1 ELSE 0 END) AS INT) AS is_checked
         FROM documents GROUP BY source""",
@@ -171,7 +170,7 @@ def _masked(mask: str) -> str:
 
 def _text_variants() -> str:
     fields = ("title", "abstract", "venue", "authors")
-    seed = {"title": "substr(r_name, 1, 20)", "abstract": "r_name", "venue": "'seed venue'", "authors": "'A|B'"}
+    seed = {"title": "split_part(r_name, chr(10), 1)", "abstract": "r_name", "venue": "'seed venue'", "authors": "'A|B'"}
     selects = []
     for feature in fields:
         cols = ", ".join(f"{'p.' + f if f == feature else seed[f]} AS {f}" for f in fields)
@@ -235,7 +234,7 @@ SQL: dict[str, str] = {
     "title_match_shuffled": _with("SELECT cate, id, arxiv_id FROM matches", *_MATCH),
     "match_rate": _with(
         """SELECT k.cate, n_keys, coalesce(n_matches, 0) AS n_matches,
-                  round(100.0 * coalesce(n_matches, 0) / nullif(n_keys, 0), 2) AS rate
+                  CAST(round(100.0 * coalesce(n_matches, 0) / nullif(n_keys, 0), 2) AS DOUBLE) AS rate
            FROM (SELECT cate, count(*) AS n_keys FROM title_index GROUP BY cate) k
            LEFT JOIN (SELECT cate, count(*) AS n_matches FROM matches GROUP BY cate) m USING (cate)""",
         *_MATCH,
@@ -347,12 +346,12 @@ SQL: dict[str, str] = {
     "unchecked_shards": _with("SELECT partition FROM checklist WHERE is_checked = 0", "checklist"),
     "variant_text": _with(_text_variants(), "papers"),
     "variant_year": _with(
-        """SELECT seed_id, source, 'year' AS feature, s2_id, title, CAST(v AS INT) AS year, 7 AS n_citations
+        """SELECT seed_id, source, 'year' AS feature, s2_id, CAST(v AS INT) AS year, 7 AS n_citations
            FROM seeds CROSS JOIN range(2050) t(v)""",
         "seeds",
     ),
     "variant_citations": _with(
-        """SELECT seed_id, source, 'citation' AS feature, s2_id, title, 2000 AS year, CAST(v AS INT) AS n_citations
+        """SELECT seed_id, source, 'citation' AS feature, s2_id, 2000 AS year, CAST(v AS INT) AS n_citations
            FROM seeds CROSS JOIN range(10000) t(v)""",
         "seeds",
     ),

@@ -285,7 +285,7 @@ def variant_text(spark, sf_dir):
 
 def _sweep(spark, sf_dir, field):
     swept = variant.sweep_variants(data.seeds(spark, sf_dir, "benchmark"), field, "documents")
-    return swept.select("seed_id", "source", "feature", "s2_id", "title", "year", "n_citations")
+    return swept.select("seed_id", "source", "feature", "s2_id", "year", "n_citations")
 
 
 def variant_year(spark, sf_dir):

@@ -136,7 +136,7 @@ def seeds(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return source.select(
         "id",
         F.concat(F.lit("seed"), F.col("id").cast("string")).alias("s2_id"),
-        F.substring("text", 1, 20).alias("title"),
+        _first_line(F.col("text")).alias("title"),
         F.col("text").alias("abstract"),
         F.lit("seed venue").alias("venue"),
         F.array(F.lit("A"), F.lit("B")).alias("authors"),

@@ -1,12 +1,16 @@
 """Sinks.
 
-A sink partitioned by label, seed or mask asks for a rebalance on those columns first: AQE then writes few
-files for a small value and splits a value that holds most of the rows over many tasks.
+A sink partitioned by label asks for a rebalance on the label first: AQE then writes few files for a small label
+and splits one that holds most of the rows over many tasks. Variants and masks are not shuffled: each task
+holds every seed, feature and mask in equal measure, and writes all of them side by side.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperloom.operators.worklist import insert_or_ignore
@@ -16,6 +20,22 @@ def _balanced(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *columns)
 
 
+# Output files one task keeps open; a task with more output partitions sorts the rest.
+OPEN_FILES = 64
+
+
+@contextmanager
+def _side_by_side(spark: SparkSession) -> Iterator[None]:
+    """Let a task write its output partitions without sorting its rows by them first."""
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, OPEN_FILES)
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def write_category_papers(df: DataFrame, path: str) -> None:
     """Papers of the labels in column `cate`, one JSON object per line and NULL fields left out."""
     _balanced(df, "cate").write.mode("overwrite").partitionBy("cate").json(path)
@@ -47,19 +67,19 @@ def write_match_audit(audit: DataFrame, path: str) -> None:
 
 def write_variants(variants: DataFrame, path: str) -> None:
     """One folder per seed, source and changed feature."""
-    parts = ("seed_id", "source", "feature")
-    (
-        _balanced(variants, *parts)
-        .write.mode("overwrite")
-        .option("ignoreNullFields", "false")
-        .partitionBy(*parts)
-        .json(path)
-    )
+    with _side_by_side(variants.sparkSession):
+        (
+            variants.write.mode("overwrite")
+            .option("ignoreNullFields", "false")
+            .partitionBy("seed_id", "source", "feature")
+            .json(path)
+        )
 
 
 def write_masked(masked: DataFrame, path: str) -> None:
     """One folder of JSON lines per mask."""
-    _balanced(masked, "masking").write.mode("overwrite").partitionBy("masking").text(path)
+    with _side_by_side(masked.sparkSession):
+        masked.write.mode("overwrite").partitionBy("masking").text(path)
 
 
 def append_new(new: DataFrame, existing: DataFrame, path: str, key: str = "id") -> None:

@@ -221,3 +221,19 @@ def test_json_array_and_sinks(spark, tmp_path):
     writers.append_new(new, spark.createDataFrame([], schemas.WORKLIST), target)
     writers.append_new(new, readers.read_table(spark, target, schemas.WORKLIST), target)
     assert sorted(r.id for r in readers.read_table(spark, target, schemas.WORKLIST).collect()) == ["a", "b"]
+
+
+def test_command_line(spark, layout):
+    from paperloom.__main__ import COMMANDS, run
+
+    def call(*arguments):
+        return run(spark, ["--base", layout.base, *map(str, arguments)])
+
+    assert call("extract-topic", "cs", "ml", "--seed", 1, "--store").count() == 3
+    assert call("topic-count", "cs", "ml").first().matched == 3
+    assert call("fill-data-status", "cs_ml", "-1").first().total == 3
+    _shard(layout, "s2-000", ["Databases"])
+    call("extract-s2-cs-data")
+    assert call("s2-cs-data-count").first()[0] == 1
+    assert len(_records(call("export-s2-cs-data", 1, 30))) == 1
+    assert len(COMMANDS) == 21
