@@ -92,19 +92,21 @@ def _spread_join(corpus: DataFrame, index: DataFrame, hot_rows: int) -> DataFram
     # Bounded broadcast: at most (corpus rows / hot_rows) keys can pass the filter.
     hot = F.broadcast(hot)
     shares = F.coalesce(F.col("_shares"), F.lit(1))
+    # First join key: one number per key and share, so that sorting rarely compares titles.
+    slot = F.xxhash64("_key_hash", "_share").alias("_slot")
     left = (
         corpus.select("*", key_hash)
         .join(hot, "_key_hash", "left")
         .withColumn("_share", F.pmod(F.xxhash64("id"), shares).cast("int"))
-        .drop("_key_hash", "_shares")
+        .select(slot, *corpus.columns)
     )
     right = (
         index.select("*", key_hash)
         .join(hot, "_key_hash", "left")
         .withColumn("_share", F.explode(F.sequence(F.lit(0), shares - 1)))
-        .drop("_key_hash", "_shares")
+        .select(slot, *index.columns)
     )
-    return left.join(right, ["title_key", "_share"])
+    return left.join(right, ["_slot", "title_key"])
 
 
 def label_index(matches: DataFrame) -> DataFrame:

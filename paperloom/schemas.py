@@ -100,5 +100,9 @@ def plus(schema: StructType, name: str, kind: DataType) -> StructType:
     return StructType([*schema.fields, StructField(name, kind)])
 
 
+def without(schema: StructType, name: str) -> StructType:
+    return StructType([f for f in schema.fields if f.name != name])
+
+
 # Status values of the work-list.
 TODO, DONE, ERROR = 0, 1, 2

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from paperloom import schemas
 from paperloom.functions.text import base_name, shard_name
 from paperloom.operators.extract import reshape_shard_records
-from paperloom.session import durable
 
 # Shard files per micro-batch, and rows after which the writer starts another file of a shard.
 FILES_PER_BATCH = 1_000
@@ -21,6 +20,11 @@ ROWS_PER_FILE = 2_000_000
 # monotonically_increasing_id(): the task number is above this many bits.
 _TASK_SHIFT = 33
 
+# One batch between parsing and numbering.
+_STAGED = schemas.without(schemas.PAPERS, "id")
+for _extra in ("_place", "task"):
+    _STAGED = schemas.plus(_STAGED, _extra, schemas.BIGINT)
+
 
 def _shard_stream(spark: SparkSession, landing: str, files_per_batch: int) -> DataFrame:
     return (
@@ -35,16 +39,20 @@ def write_batch(batch: DataFrame, batch_id: int, papers_path: str, chunks_path:
     """Number a batch of shard records and write it to the corpus table.
 
     Ids are dense over the whole corpus without sorting it: rows keep their place in the scan, each (shard,
-    task) chunk is contiguous there, and a chunk's first id follows from the row counts before it. The scan
-    position is checkpointed because a second scan could be split over tasks differently.
+    task) chunk is contiguous there, and a chunk's first id follows from the row counts before it. The rows
+    are written with their place before they are counted: each shard is decompressed and parsed once, and a
+    place cannot change any more (a second scan could be split over tasks differently).
     """
     spark = batch.sparkSession
-    rows = durable(reshape_shard_records(batch).withColumn("_place", F.monotonically_increasing_id()))
-    task = F.shiftright("_place", _TASK_SHIFT).alias("task")
-    own_chunks = f"{chunks_path}/batch={batch_id}"
+    staged, own_chunks = f"{chunks_path}_staged", f"{chunks_path}/batch={batch_id}"
+    placed = reshape_shard_records(batch).withColumn("_place", F.monotonically_increasing_id())
+    placed.withColumn("task", F.shiftright("_place", _TASK_SHIFT)).write.mode("overwrite").parquet(staged)
+    rows = spark.read.schema(_STAGED).parquet(staged)
+    contiguous = F.max("_place") - F.min("_place") + 1 == F.count("*")
+    gap = F.raise_error(F.concat(F.lit("rows of one shard are apart in a task: "), F.first("partition")))
     (
-        rows.groupBy("partition", task)
-        .agg(F.min("_place").alias("first_place"), F.count("*").alias("n"))
+        rows.groupBy("partition", "task")
+        .agg(F.min("_place").alias("first_place"), F.when(contiguous, F.count("*")).otherwise(gap).alias("n"))
         .write.mode("overwrite")
         .parquet(own_chunks)
     )
@@ -59,7 +67,7 @@ def write_batch(batch: DataFrame, batch_id: int, papers_path: str, chunks_path:
         .withColumn("first_id", base + F.coalesce(F.sum("n").over(before), F.lit(0)) + 1)
         .drop("n")
     )
-    papers = rows.withColumn("task", task).join(first_ids, ["partition", "task"])
+    papers = rows.join(first_ids, ["partition", "task"])
     papers = papers.withColumn("id", F.col("first_id") + F.col("_place") - F.col("first_place"))
     (
         papers.select(*schemas.PAPERS.fieldNames())
@@ -90,7 +98,7 @@ def ingest(
     checkpoint: str,
     files_per_batch: int = FILES_PER_BATCH,
 ) -> None:
-    """Read every shard file not read before, then stop."""
+    """Read every shard file not read before, then stop. A shard is one file, named after it."""
     query = (
         _shard_stream(spark, landing, files_per_batch)
         .writeStream.foreachBatch(lambda batch, batch_id: write_batch(batch, batch_id, papers_path, chunks_path))

@@ -93,7 +93,7 @@ def test_short_index_leaves_the_corpus_in_place(spark, corpus):
 def test_long_index_spreads_hot_keys(spark, corpus):
     got = match.match_titles(_index(spark), corpus[0], hot_rows=10, broadcast_bytes=0)
     plan = _plan(got.select("cate", "id"))
-    assert re.search(r"\[title_key#\w+, _share#\w+\]", plan)
+    assert re.search(r"\[_slot#\w+, title_key#\w+\]", plan)
     assert got.count() == corpus[0].filter("title_key IN ('tb', 'tc')").count()
 
 
