@@ -161,6 +161,11 @@ def _status(part: int) -> str:
                 AND s.partition IN {wanted})) AS pending_net)"""
 
 
+def _comparable(rows: str) -> str:
+    return f"""SELECT id, venue, CAST(year AS VARCHAR) AS year, CAST(n_citations AS VARCHAR) AS n_citations,
+        CAST(partition AS VARCHAR) AS partition, filled FROM ({rows})"""
+
+
 def _masked(mask: str) -> str:
     values = {"title": "' '", "abstract": "' '", "venue": "' '", "year": "' '", "authors": "''", "n_citations": "0"}
     year = "' '" if mask == "year" else "CAST(year AS VARCHAR)"
@@ -292,12 +297,12 @@ SQL: dict[str, str] = {
         "worklist",
     ),
     "create_worklist": _with(
-        f"""SELECT * FROM worklist WHERE filled = 1
+        _comparable(f"""SELECT * FROM worklist WHERE filled = 1
             UNION ALL
             SELECT id, NULL, NULL, NULL, {_three_way('pos', 'n')}, 0
             FROM (SELECT id, count(*) OVER () AS n,
                          {_ordered('(SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS id FROM lineitem)', 'id')})
-            WHERE id NOT IN (SELECT id FROM worklist WHERE filled = 1)""",
+            WHERE id NOT IN (SELECT id FROM worklist WHERE filled = 1)"""),
         "worklist",
     ),
     "pending_work": _with("SELECT * FROM pending", "worklist", "staging", "pending"),
@@ -311,29 +316,29 @@ SQL: dict[str, str] = {
                o_orderkey * 3 % 60) AS eta FROM orders""",
     "classify_responses": _with("SELECT id, state FROM classified", "complete_bodies", "responses", "classified"),
     "complete_staging": _with(
-        """SELECT p.id, CASE WHEN state = 1 THEN body ->> '$.venue' END AS venue,
+        _comparable("""SELECT p.id, CASE WHEN state = 1 THEN body ->> '$.venue' END AS venue,
                   CASE WHEN state = 1 THEN CAST(body ->> '$.year' AS INT) END AS year,
                   CASE WHEN state = 1 THEN CAST(body ->> '$.citationCount' AS INT) END AS n_citations,
                   partition, state AS filled
-           FROM pending p JOIN classified c ON c.id = p.id WHERE state <> 0""",
+           FROM pending p JOIN classified c ON c.id = p.id WHERE state <> 0"""),
         "worklist", "staging", "pending", "complete_bodies", "responses", "classified",
     ),
     "merge_staging": _with(
-        """SELECT w.id, CASE WHEN t THEN s.venue ELSE w.venue END AS venue,
+        _comparable("""SELECT w.id, CASE WHEN t THEN s.venue ELSE w.venue END AS venue,
                   CASE WHEN t THEN s.year ELSE w.year END AS year,
                   CASE WHEN t THEN s.n_citations ELSE w.n_citations END AS n_citations, w.partition,
                   CASE WHEN t THEN s.filled ELSE w.filled END AS filled
            FROM (SELECT w.*, w.filled = 0 AND s.id IS NOT NULL AS t FROM worklist w LEFT JOIN staging s USING (id)) w
-           LEFT JOIN staging s USING (id)""",
+           LEFT JOIN staging s USING (id)"""),
         "worklist", "staging",
     ),
     "merged_count": _with("SELECT count(*) AS merged FROM staging WHERE filled <> 0", "staging"),
     "reset_partition": _with(
-        """SELECT id, CASE WHEN partition IS NOT DISTINCT FROM 1 THEN venue END AS venue,
+        _comparable("""SELECT id, CASE WHEN partition IS NOT DISTINCT FROM 1 THEN venue END AS venue,
                   CASE WHEN partition IS NOT DISTINCT FROM 1 THEN year END AS year,
                   CASE WHEN partition IS NOT DISTINCT FROM 1 THEN n_citations END AS n_citations, partition,
                   CASE WHEN partition IS NOT DISTINCT FROM 1 THEN filled ELSE 0 END AS filled
-           FROM worklist""",
+           FROM worklist"""),
         "worklist",
     ),
     "complete_join": _with(

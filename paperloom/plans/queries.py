@@ -207,6 +207,11 @@ def three_way_split(spark, sf_dir):
 # --- work-list ----------------------------------------------------------------------------------------
 
 
+def _comparable(rows: DataFrame) -> DataFrame:
+    """Nullable numbers as text, so that results look alike however an engine represents a missing number."""
+    return rows.withColumns({c: F.col(c).cast("string") for c in ("year", "n_citations", "partition")})
+
+
 def insert_or_ignore(spark, sf_dir):
     existing = data.worklist(spark, sf_dir).filter("filled = 1")
     new = data.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("id"))
@@ -216,7 +221,7 @@ def insert_or_ignore(spark, sf_dir):
 def create_worklist(spark, sf_dir):
     existing = data.worklist(spark, sf_dir).filter("filled = 1")
     ids = data.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("id"))
-    return worklist.create_worklist(ids, existing, SEED)
+    return _comparable(worklist.create_worklist(ids, existing, SEED))
 
 
 def pending_work(spark, sf_dir):
@@ -243,11 +248,11 @@ def classify_responses(spark, sf_dir):
 
 def complete_staging(spark, sf_dir):
     responses = data.responses(spark, sf_dir)
-    return complete.complete(pending_work(spark, sf_dir), responses)
+    return _comparable(complete.complete(pending_work(spark, sf_dir), responses))
 
 
 def merge_staging(spark, sf_dir):
-    return worklist.merge_staging(data.worklist(spark, sf_dir), data.staging(spark, sf_dir))
+    return _comparable(worklist.merge_staging(data.worklist(spark, sf_dir), data.staging(spark, sf_dir)))
 
 
 def merged_count(spark, sf_dir):
@@ -255,7 +260,7 @@ def merged_count(spark, sf_dir):
 
 
 def reset_partition(spark, sf_dir):
-    return worklist.reset_outside(data.worklist(spark, sf_dir), 1)
+    return _comparable(worklist.reset_outside(data.worklist(spark, sf_dir), 1))
 
 
 def complete_join(spark, sf_dir):
