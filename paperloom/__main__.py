@@ -30,6 +30,7 @@ COMMANDS = {
     "export-s2-cs-data-from-id": (jobs.export_from_ids, ("ids_path",)),
     "count-s2-cs-topic": (jobs.corpus_topic_count, ("topic",)),
     "arxiv-s2-data-match": (jobs.match_label, ("cate",)),
+    "arxiv-s2-data-match-all": (jobs.match_labels, ()),
     "arxiv-s2-data-extract": (jobs.export_label, ("cate",)),
     "arxiv-s2-data-extract-rand": (jobs.export_label, ("cate", "amount")),
     "arxiv-s2-data-count": (jobs.label_counts, ()),

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,14 +21,19 @@ def with_state(responses: DataFrame) -> DataFrame:
     """Add the parsed body and `state`: DONE, ERROR, or TODO for a response that leaves its paper open.
 
     A body that is not JSON is an error whatever the status. Otherwise 403 leaves the paper open. Otherwise
-    an object without a non-null `error` and with all three keys is done; anything else is an error.
+    an object without a non-null `error` and with plain values under all three keys is done; anything else
+    is an error.
     """
     # Projections of their own, so that each body is parsed and each key looked up once.
     parsed = responses.withColumn("parsed", F.try_parse_json("body"))
     keys = {f"_{k}": F.try_variant_get("parsed", f"$.{k}", "variant") for k in ("error", VENUE, YEAR, CITATIONS)}
     is_object = F.schema_of_variant("parsed").startswith("OBJECT")
     has_error = F.col("_error").isNotNull() & ~F.is_variant_null("_error")
-    has_keys = F.col(f"_{VENUE}").isNotNull() & F.col(f"_{YEAR}").isNotNull() & F.col(f"_{CITATIONS}").isNotNull()
+    # A list or an object cannot be stored as a value; a missing key gives NULL and fails the test as well.
+    has_keys = F.coalesce(
+        reduce(and_, [~F.schema_of_variant(f"_{k}").rlike("^(OBJECT|ARRAY)") for k in (VENUE, YEAR, CITATIONS)]),
+        F.lit(False),
+    )
     state = (
         F.when(F.col("parsed").isNull(), ERROR)
         .when(F.col("status") == FORBIDDEN, TODO)

@@ -106,3 +106,13 @@ def reshape_shard_records(records: DataFrame) -> DataFrame:
             "partition",
         )
     )
+
+
+def unusable_counts(records: DataFrame) -> DataFrame:
+    """How many raw records lack a field that selecting them needs; such records are passed over."""
+    return records.agg(
+        F.count("*").alias("total"),
+        F.count_if(F.col("fieldsOfStudy").isNull()).alias("no_field_of_study"),
+        F.count_if(F.col("title").isNull()).alias("no_title"),
+        F.count_if(F.col("paperAbstract").isNull()).alias("no_abstract"),
+    )

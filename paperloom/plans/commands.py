@@ -76,8 +76,12 @@ class Layout:
     def responses(self, name: str) -> str:
         return self._at("responses", name)
 
+    @property
+    def audits(self) -> str:
+        return self._at("audit")
+
     def audit(self, cate: str) -> str:
-        return self._at("audit", f"cate={cate}")
+        return f"{self.audits}/cate={cate}"
 
     def export(self, name: str) -> str:
         return self._at("export", name)
@@ -223,19 +227,32 @@ def export_from_ids(spark: SparkSession, layout: Layout, ids_path: str) -> str:
     return _export(export.by_ids(papers, ids), layout, f"completed_s2_with_id.{name}.data")
 
 
-def match_label(spark: SparkSession, layout: Layout, cate: str) -> DataFrame:
-    """Match one label's snapshot papers with the corpus; writes index and audit, returns the match rate."""
-    index = durable(match.title_index(readers.read_snapshot(spark, layout.snapshot), [reg.category(cate)]))
+def _match(spark: SparkSession, layout: Layout, labels: list[reg.Category]) -> tuple[DataFrame, DataFrame]:
+    """Title index of the labels and its matches in the checked shards, both computed once and kept."""
+    index = durable(match.title_index(readers.read_snapshot(spark, layout.snapshot), labels))
     checklist, _ = latest(spark, layout.checklist, schemas.CHECKLIST)
     titles = readers.read_papers(spark, layout.papers, columns=("id", "title", "title_key", "partition"))
     # The checklist holds one row per shard file; the planner broadcasts it and prunes the other shards.
     titles = titles.join(worklist.checked(checklist), "partition", "left_semi").drop("partition")
-    matches = durable(match.match_titles(index, titles))
+    return index, durable(match.match_titles(index, titles))
+
+
+def match_label(spark: SparkSession, layout: Layout, cate: str) -> DataFrame:
+    """Match one label's snapshot papers with the corpus; writes index and audit, returns the match rate."""
+    index, matches = _match(spark, layout, [reg.category(cate)])
     writers.write_one_label(match.label_index(matches), layout.index, cate)
     match.match_audit(matches).drop("cate").write.mode("overwrite").json(layout.audit(cate))
     return match.match_rate(index, matches)
 
 
+def match_labels(spark: SparkSession, layout: Layout) -> DataFrame:
+    """Match all second-level labels in one pass over the corpus; replaces the whole index and audit."""
+    index, matches = _match(spark, layout, reg.second_level(reg.default_registry()))
+    writers.write_label_index(match.label_index(matches), layout.index)
+    writers.write_match_audit(match.match_audit(matches), layout.audits)
+    return match.match_rate(index, matches)
+
+
 def _label_index(spark: SparkSession, layout: Layout) -> DataFrame:
     return readers.read_table_or_empty(spark, layout.index, schemas.LABEL_INDEX)
 

@@ -369,6 +369,36 @@ SQL: dict[str, str] = {
         ) + ")",
         "papers", "gappy",
     ),
+    "records_sink": _with("SELECT id, s2_id, title, abstract, venue, authors, year, n_citations FROM papers", "papers"),
+    "category_sink": _with(
+        f"""SELECT s.id, r.cate, s.title, s.abstract, s.source AS report_no
+            FROM snapshot s JOIN {_registry(REGISTRY)} ON regexp_matches(s.categories, r.regex)""",
+        "snapshot",
+    ),
+    "label_index_sink": _with(
+        "SELECT id, count(*) AS n_labels, count(*) AS n_listed FROM matches GROUP BY id", *_MATCH
+    ),
+    "audit_sink": _with(
+        """SELECT cate, id, categories, replace(replace(a_title, chr(10), ''), '  ', ' ') AS a_title,
+           replace(s_title, chr(10), '') AS s_title FROM matches""",
+        *_MATCH,
+    ),
+    "variant_sink": _with(
+        """SELECT seed_id, source, 'year' AS feature, seed_id AS id, s2_id, CAST(v AS INT) AS year
+           FROM seeds CROSS JOIN range(2050) t(v)""",
+        "seeds",
+    ),
+    "masked_sink": _with(
+        """SELECT masking, s2_id, CASE masking WHEN 'year' THEN ' ' ELSE CAST(year AS VARCHAR) END AS year
+           FROM papers CROSS JOIN (VALUES ('title'), ('abstract'), ('venue'), ('authors'), ('year'), ('n_citations'),
+                                          ('full')) m(masking)""",
+        "papers",
+    ),
+    "append_sink": """
+        SELECT CAST(o_orderkey AS VARCHAR) AS id FROM orders UNION SELECT CAST(l_orderkey AS VARCHAR) FROM lineitem""",
+    "unusable_counts": """
+        SELECT count(*) AS total, count(*) FILTER (WHERE lang NOT IN ('en', 'fr', 'de')) AS no_field_of_study,
+               CAST(0 AS BIGINT) AS no_title, CAST(0 AS BIGINT) AS no_abstract FROM documents""",
     "incremental_ingest": _with(
         """SELECT s2_id, title, abstract, venue, year, n_citations, title_key, authors,
                   (SELECT count(*) FROM shaped) AS last_id FROM shaped""",

@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperloom import registry as reg
-from paperloom import session
+from paperloom import schemas, session
 from paperloom.functions import text
 from paperloom.operators import complete, counts, export, extract, mask, match, sample, variant, worklist
 from paperloom.plans import testdata as data
+from paperloom.sources import readers, writers
 from paperloom.streaming.ingest import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -280,7 +281,7 @@ def unchecked_shards(spark, sf_dir):
     return worklist.unchecked(shard_checklist(spark, sf_dir))
 
 
-# --- variants, masks, ingestion -----------------------------------------------------------------------
+# --- variants and masks -------------------------------------------------------------------------------
 
 
 def variant_text(spark, sf_dir):
@@ -318,9 +319,80 @@ def mask_features(spark, sf_dir):
     )
 
 
+# --- sinks read back, ingestion -----------------------------------------------------------------------
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    return f"{session.shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def records_sink(spark, sf_dir):
+    path = _scratch(spark, "records")
+    writers.write_records(export.record_columns(data.papers(spark, sf_dir)), path)
+    return readers.read_records(spark, path).withColumn("authors", F.array_join("authors", "|"))
+
+
+def category_sink(spark, sf_dir):
+    path = _scratch(spark, "category")
+    labelled = extract.label_papers(data.snapshot(spark, sf_dir), REGISTRY)
+    writers.write_category_papers(extract.drop_unused(labelled), path)
+    papers = spark.read.schema(schemas.plus(schemas.CATEGORY_PAPERS, "cate", schemas.TEXT)).json(path)
+    return papers.select("id", "cate", "title", "abstract", F.col("report-no").alias("report_no"))
+
+
+def label_index_sink(spark, sf_dir):
+    """The label index as a table and as text lists, counted side by side."""
+    index, table, lines = match.label_index(_matches(spark, sf_dir)), _scratch(spark, "index"), _scratch(spark, "lines")
+    writers.write_label_index(index, table)
+    stored = readers.read_table(spark, table, schemas.LABEL_INDEX)
+    writers.export_label_index(stored, lines)
+    listed = readers.read_id_list(spark, lines).groupBy("id").agg(F.count("*").alias("n_listed"))
+    return stored.groupBy("id").agg(F.count("*").alias("n_labels")).join(listed, "id")
+
+
+def audit_sink(spark, sf_dir):
+    path = _scratch(spark, "audit")
+    writers.write_match_audit(match.match_audit(_matches(spark, sf_dir)), path)
+    schema = "cate STRING, id BIGINT, categories STRING, a_title STRING, s_title STRING"
+    return spark.read.schema(schema).json(path)
+
+
+def variant_sink(spark, sf_dir):
+    path = _scratch(spark, "variants")
+    swept = variant.sweep_variants(data.seeds(spark, sf_dir, "benchmark"), "year", "documents")
+    writers.write_variants(swept, path)
+    schema = schemas.PAPER_RECORD
+    for name in ("seed_id", "source", "feature"):
+        schema = schemas.plus(schema, name, schemas.BIGINT if name == "seed_id" else schemas.TEXT)
+    return spark.read.schema(schema).json(path).select("seed_id", "source", "feature", "id", "s2_id", "year")
+
+
+def masked_sink(spark, sf_dir):
+    path = _scratch(spark, "masked")
+    writers.write_masked(mask.mask_features(export.record_columns(data.papers(spark, sf_dir))), path)
+    lines = spark.read.schema("value STRING, masking STRING").text(path)
+    year = F.from_json("value", "s2_id STRING, year STRING")
+    return lines.select("masking", year.alias("r")).select("masking", "r.s2_id", "r.year")
+
+
+def append_sink(spark, sf_dir):
+    """Two appends of overlapping id lists keep one row per id."""
+    path = _scratch(spark, "append")
+    orders = data.table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("id"))
+    lines = data.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("id"))
+    nothing = spark.createDataFrame([], orders.schema)
+    writers.append_new(lines, nothing, path)
+    writers.append_new(orders, spark.read.schema(orders.schema).parquet(path), path)
+    return spark.read.schema(orders.schema).parquet(path)
+
+
+def unusable_counts(spark, sf_dir):
+    return extract.unusable_counts(data.shard_records(spark, sf_dir))
+
+
 def incremental_ingest(spark, sf_dir):
     """Write the documents as compressed shards, stream them in, and return the corpus table."""
-    base = f"{session.shared_dir(spark)}/ingest-{uuid.uuid4().hex}"
+    base = _scratch(spark, "ingest")
     shards = data.shard_records(spark, sf_dir).drop("partition")
     shards.write.option("compression", "gzip").json(f"{base}/landing")
     ingest(spark, f"{base}/landing", f"{base}/papers", f"{base}/chunks", f"{base}/checkpoint")
@@ -342,6 +414,7 @@ REGISTERED: dict[str, Query] = {
         range_export, paged_export, random_sample, label_sample, three_way_split, insert_or_ignore,
         create_worklist, pending_work, fill_status, eta, classify_responses, complete_staging, merge_staging,
         merged_count, reset_partition, complete_join, shard_checklist, unchecked_shards, variant_text,
-        variant_year, variant_citations, mask_features, incremental_ingest,
+        variant_year, variant_citations, mask_features, records_sink, category_sink, label_index_sink, audit_sink,
+        variant_sink, masked_sink, append_sink, unusable_counts, incremental_ingest,
     )
 }

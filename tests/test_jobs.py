@@ -153,6 +153,12 @@ def test_corpus(spark, layout, tmp_path):
     found = {r["cate"]: r["count"] for r in jobs.label_counts(spark, layout).collect()}
     assert (found["cslg"], found["csdb"], found["cscv"], len(found)) == (3, 1, 0, 40)
 
+    one_by_one = {(r.cate, r.id) for r in spark.read.parquet(layout.index).collect()}
+    rates = {r.cate: r.rate for r in jobs.match_labels(spark, layout).collect()}
+    assert rates == {"cslg": 150.0, "csai": 100.0, "csdb": 100.0}
+    at_once = {(r.cate, r.id) for r in spark.read.parquet(layout.index).collect()}
+    assert one_by_one <= at_once and {c for c, _ in at_once - one_by_one} == {"csai"}
+
     label = _records(jobs.export_label(spark, layout, "cslg"))
     assert {r["s2_id"] for r in label} == {"s2-000-0", "s2-000-2", "s2-002-1"}
     assert list(label[0]) == schemas.PAPER_RECORD.fieldNames() and label[0]["authors"] == ["A B"]
@@ -236,4 +242,4 @@ def test_command_line(spark, layout):
     call("extract-s2-cs-data")
     assert call("s2-cs-data-count").first()[0] == 1
     assert len(_records(call("export-s2-cs-data", 1, 30))) == 1
-    assert len(COMMANDS) == 21
+    assert len(COMMANDS) == 22

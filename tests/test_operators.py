@@ -56,6 +56,13 @@ def test_shard_records(spark):
     ]
 
 
+def test_unusable_counts(spark):
+    schema = schemas.plus(schemas.SHARD_RECORD, "partition", schemas.TEXT)
+    row = ("a", "T", "text", [], [], ["Computer Science"], "v", 2001, "s")
+    rows = [row, ("b", None, *row[2:]), (*row[:5], None, *row[6:])]
+    assert tuple(extract.unusable_counts(spark.createDataFrame(rows, schema)).first()) == (3, 1, 1, 0)
+
+
 # --- random order -------------------------------------------------------------------------------------
 
 
@@ -250,6 +257,9 @@ OK = {"venue": "V", "year": 2020, "citationCount": 3}
         (403, "<html>no</html>", schemas.ERROR),
         (404, json.dumps({"error": "not found"}), schemas.ERROR),
         (200, json.dumps({**OK, "error": "x"}), schemas.ERROR),
+        (200, json.dumps({**OK, "venue": ["V"]}), schemas.ERROR),
+        (200, json.dumps({**OK, "year": {"y": 1}}), schemas.ERROR),
+        (200, json.dumps({**OK, "year": "2020"}), schemas.DONE),
         (200, "[1]", schemas.ERROR),
         (200, "null", schemas.ERROR),
         (403, "[1]", schemas.TODO),
