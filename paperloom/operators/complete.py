@@ -18,16 +18,16 @@ VENUE, YEAR, CITATIONS = "venue", "year", "citationCount"
 
 
 def with_state(responses: DataFrame) -> DataFrame:
-    """Add the parsed body and `state`: DONE, ERROR, or TODO for a response that leaves its paper open.
+    """Add `state`: DONE, ERROR, or TODO for a response that leaves its paper open; and the values of a done one.
 
     A body that is not JSON is an error whatever the status. Otherwise 403 leaves the paper open. Otherwise
     an object without a non-null `error` and with plain values under all three keys is done; anything else
     is an error.
     """
     # Projections of their own, so that each body is parsed and each key looked up once.
-    parsed = responses.withColumn("parsed", F.try_parse_json("body"))
-    keys = {f"_{k}": F.try_variant_get("parsed", f"$.{k}", "variant") for k in ("error", VENUE, YEAR, CITATIONS)}
-    is_object = F.schema_of_variant("parsed").startswith("OBJECT")
+    parsed = responses.withColumn("_parsed", F.try_parse_json("body"))
+    keys = {f"_{k}": F.try_variant_get("_parsed", f"$.{k}", "variant") for k in ("error", VENUE, YEAR, CITATIONS)}
+    is_object = F.schema_of_variant("_parsed").startswith("OBJECT")
     has_error = F.col("_error").isNotNull() & ~F.is_variant_null("_error")
     # A list or an object cannot be stored as a value; a missing key gives NULL and fails the test as well.
     has_keys = F.coalesce(
@@ -35,28 +35,33 @@ def with_state(responses: DataFrame) -> DataFrame:
         F.lit(False),
     )
     state = (
-        F.when(F.col("parsed").isNull(), ERROR)
+        F.when(F.col("_parsed").isNull(), ERROR)
         .when(F.col("status") == FORBIDDEN, TODO)
         .when(is_object & ~has_error & has_keys, DONE)
         .otherwise(ERROR)
     )
-    return parsed.withColumns(keys).withColumn("state", state).drop(*keys)
+    done = F.col("state") == DONE
+    values = {
+        "venue": F.when(done, F.try_variant_get(f"_{VENUE}", "$", "string")),
+        "year": F.when(done, F.try_variant_get(f"_{YEAR}", "$", "int")),
+        "n_citations": F.when(done, F.try_variant_get(f"_{CITATIONS}", "$", "int")),
+    }
+    return parsed.withColumns(keys).withColumn("state", state).withColumns(values).drop("_parsed", *keys)
 
 
 def settled_responses(responses: DataFrame) -> DataFrame:
-    """One settling outcome per id. Repeated responses are folded before the shuffle; a done one wins."""
-    done = F.col("state") == DONE
-    outcome = F.struct(
-        F.col("state").alias("filled"),
-        F.when(done, F.try_variant_get("parsed", f"$.{VENUE}", "string")).alias("venue"),
-        F.when(done, F.try_variant_get("parsed", f"$.{YEAR}", "int")).alias("year"),
-        F.when(done, F.try_variant_get("parsed", f"$.{CITATIONS}", "int")).alias("n_citations"),
-    )
+    """One settling outcome per id. Repeated responses are folded before the shuffle; a done one wins.
+
+    Open responses become NULL outcomes, which `min` skips, and not a filter: the optimizer would push a filter
+    on the state below the parsing and so parse again in it.
+    """
+    outcome = F.struct(F.col("state").alias("filled"), "venue", "year", "n_citations")
     return (
         with_state(responses)
-        .filter(F.col("state") != TODO)
+        .select("id", F.when(F.col("state") != TODO, outcome).alias("outcome"))
         .groupBy("id")
-        .agg(F.min(outcome).alias("outcome"))
+        .agg(F.min("outcome").alias("outcome"))
+        .filter(F.col("outcome").isNotNull())
         .select("id", "outcome.*")
     )
 

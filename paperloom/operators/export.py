@@ -8,11 +8,15 @@ from pyspark.sql import functions as F
 from paperloom.functions.text import crc_token
 from paperloom.operators.sample import sample
 from paperloom.schemas import PAPER_RECORD
+from paperloom.session import durable
 
 # Size of a random export and of a topic sample; rows per page.
 RANDOM_EXPORT = 30_000
 PAGE_ROWS = 100_000
 
+# Distinct ids, eight bytes each, that may be broadcast.
+BROADCAST_IDS = 5_000_000
+
 
 def record_columns(papers: DataFrame) -> DataFrame:
     """The exported fields, in their order."""
@@ -29,13 +33,16 @@ def page_of(position: Column, rows: int = PAGE_ROWS) -> Column:
     return F.floor((position - 1) / rows)
 
 
-def by_ids(papers: DataFrame, ids: DataFrame) -> DataFrame:
+def by_ids(papers: DataFrame, ids: DataFrame, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
     """Papers in the list: repeated ids count once, unknown ones vanish.
 
-    No hint: the planner broadcasts the list if its size allows and shuffles both sides otherwise. An id that is
-    repeated very often is folded on the map side before that.
+    The distinct ids are kept and counted first. Up to `broadcast_ids` of them are broadcast, so that the wide
+    papers stay where they are; a longer list is joined by a shuffle.
     """
-    return papers.join(ids.select("id").distinct(), "id", "left_semi")
+    wanted = durable(ids.select("id").distinct())
+    if wanted.count() <= broadcast_ids:
+        wanted = F.broadcast(wanted)
+    return papers.join(wanted, "id", "left_semi")
 
 
 def of_label(papers: DataFrame, index: DataFrame, cate: str) -> DataFrame:

@@ -383,11 +383,7 @@ SQL: dict[str, str] = {
            replace(s_title, chr(10), '') AS s_title FROM matches""",
         *_MATCH,
     ),
-    "variant_sink": _with(
-        """SELECT seed_id, source, 'year' AS feature, seed_id AS id, s2_id, CAST(v AS INT) AS year
-           FROM seeds CROSS JOIN range(2050) t(v)""",
-        "seeds",
-    ),
+    "variant_sink": _with(_text_variants(), "papers"),
     "masked_sink": _with(
         """SELECT masking, s2_id, CASE masking WHEN 'year' THEN ' ' ELSE CAST(year AS VARCHAR) END AS year
            FROM papers CROSS JOIN (VALUES ('title'), ('abstract'), ('venue'), ('authors'), ('year'), ('n_citations'),

@@ -359,12 +359,9 @@ def audit_sink(spark, sf_dir):
 
 def variant_sink(spark, sf_dir):
     path = _scratch(spark, "variants")
-    swept = variant.sweep_variants(data.seeds(spark, sf_dir, "benchmark"), "year", "documents")
-    writers.write_variants(swept, path)
-    schema = schemas.PAPER_RECORD
-    for name in ("seed_id", "source", "feature"):
-        schema = schemas.plus(schema, name, schemas.BIGINT if name == "seed_id" else schemas.TEXT)
-    return spark.read.schema(schema).json(path).select("seed_id", "source", "feature", "id", "s2_id", "year")
+    written = variant.text_variants(data.seeds(spark, sf_dir, "region"), data.papers(spark, sf_dir), "documents")
+    writers.write_variants(written, path)
+    return spark.read.schema(written.schema).json(path).withColumn("authors", F.array_join("authors", "|"))
 
 
 def masked_sink(spark, sf_dir):
