@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -271,8 +271,16 @@ def export_label(
 
 
 def label_counts(spark: SparkSession, layout: Layout) -> DataFrame:
+    """Papers per label, largest first, with the grand total and the number of labels on each row."""
     labels = reg.second_level(reg.default_registry())
-    return counts.label_counts(_label_index(spark, layout), labels).drop("ord")
+    per_label = counts.label_counts(_label_index(spark, layout), labels)
+    # One row per registry entry: a window over all of them is small.
+    every = Window.partitionBy()
+    return (
+        per_label.withColumns({"total": F.sum("count").over(every), "labels": F.count("*").over(every)})
+        .orderBy(F.desc("count"), "ord")
+        .drop("ord")
+    )
 
 
 # --- variants and masks -------------------------------------------------------------------------------
@@ -286,9 +294,9 @@ def make_variants(spark: SparkSession, layout: Layout, seeds_path: str, source_p
     return path
 
 
-def make_masks(
-    spark: SparkSession, layout: Layout, source_path: str, schema: StructType = schemas.COMPLETED_RECORD
-) -> str:
+def make_masks(spark: SparkSession, layout: Layout, source_path: str) -> str:
+    """Mask exported or completed papers."""
     path = layout.export("masking")
-    writers.write_masked(mask.mask_features(readers.read_records(spark, source_path, schema)), path)
+    papers = readers.read_records(spark, source_path, schemas.MASK_INPUT)
+    writers.write_masked(mask.mask_features(papers), path)
     return path

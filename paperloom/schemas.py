@@ -92,6 +92,19 @@ COMPLETED_RECORD = _schema(
     ("n_citations", INT),
 )
 
+# Fields of exported and of completed papers; the ones a record lacks are NULL and left out again.
+MASK_INPUT = _schema(
+    ("id", TEXT),
+    ("s2_id", TEXT),
+    ("title", TEXT),
+    ("abstract", TEXT),
+    ("report-no", TEXT),
+    ("venue", TEXT),
+    ("authors", TEXTS),
+    ("year", INT),
+    ("n_citations", INT),
+)
+
 LABEL_INDEX = _schema(("id", BIGINT), ("cate", TEXT))
 
 

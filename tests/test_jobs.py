@@ -8,6 +8,7 @@ from pathlib import Path
 import pytest
 
 from paperloom import schemas
+from paperloom.operators.mask import MASKS
 from paperloom.plans import commands as jobs
 from paperloom.sources import readers, writers
 from paperloom.streaming import ingest as stream
@@ -104,7 +105,7 @@ def test_topic_worklist_completion_export(spark, layout):
 
     masks = jobs.make_masks(spark, layout, layout.export("completed_cs_ml.data"))
     by_mask = Counter(p.parent.name for p in Path(masks).rglob("part-*") for _ in p.read_text().splitlines())
-    assert by_mask == {f"masking={m}": 2 for m in ("title", "abstract", "venue", "authors", "year", "n_citations", "full")}
+    assert by_mask == {f"masking={m}": 2 for m in MASKS}
 
     main, _ = jobs.latest(spark, layout.worklist("cs_ml"), schemas.WORKLIST)
     keep = main.filter("id = '0701'").first().partition
@@ -150,7 +151,9 @@ def test_corpus(spark, layout, tmp_path):
     assert audit[second["s2-000-0"]]["a_title"] == "Machine Learning: one!"
     jobs.match_label(spark, layout, "csdb")
     jobs.match_label(spark, layout, "cscv")
-    found = {r["cate"]: r["count"] for r in jobs.label_counts(spark, layout).collect()}
+    listed = jobs.label_counts(spark, layout).collect()
+    assert (listed[0]["cate"], listed[0]["total"], listed[0]["labels"]) == ("cslg", 4, 40)
+    found = {r["cate"]: r["count"] for r in listed}
     assert (found["cslg"], found["csdb"], found["cscv"], len(found)) == (3, 1, 0, 40)
 
     one_by_one = {(r.cate, r.id) for r in spark.read.parquet(layout.index).collect()}
@@ -173,11 +176,13 @@ def test_corpus(spark, layout, tmp_path):
 
     seeds = tmp_path / "seeds"
     seeds.write_text(json.dumps(label[0]))
-    variants = jobs.make_variants(spark, layout, str(seeds), jobs.Layout(layout.base).export("completed_s2_arxiv_cslg_all_.data"))
+    source = layout.export("completed_s2_arxiv_cslg_all_.data")
+    variants = jobs.make_variants(spark, layout, str(seeds), source)
     counted = Counter(p.parent.name for p in Path(variants).rglob("part-*") for _ in p.read_text().splitlines())
-    assert counted == {
-        **{f"feature={f}": 3 for f in ("title", "abstract", "venue", "authors")}, "feature=year": 2_050, "feature=citation": 10_000,
-    }
+    text_features = {f"feature={f}": 3 for f in ("title", "abstract", "venue", "authors")}
+    assert counted == {**text_features, "feature=year": 2_050, "feature=citation": 10_000}
+    masks = _records(jobs.make_masks(spark, layout, source))
+    assert len(masks) == 21 and all("s2_id" in r and "id" not in r for r in masks)
     assert (Path(variants) / f"seed_id={label[0]['id']}" / "source=cslg").is_dir()
 
 

@@ -135,7 +135,8 @@ def test_one_title_fills_a_third(spark):
         F.col("id").cast("string").alias("id"), F.concat(F.lit("t"), F.chr(F.col("id") + 97)).alias("title"),
         F.lit("cs.AI").alias("categories"),
     )
-    corpus = spark.range(3_000).select("id", F.when(F.col("id") < 1_000, "tb").otherwise(F.concat(F.lit("t"), F.chr(F.col("id") % 20 + 97))).alias("title"))
+    other = F.concat(F.lit("t"), F.chr(F.col("id") % 20 + 97))
+    corpus = spark.range(3_000).select("id", F.when(F.col("id") < 1_000, "tb").otherwise(other).alias("title"))
     index = match.title_index(snapshot, [reg.category("csai")])
     plain = match.match_titles(index, corpus)
     spread = match.match_titles(index, corpus, hot_rows=100, broadcast_bytes=0)
@@ -207,7 +208,8 @@ def test_pending(spark):
         spark, ("a", None, None, None, 0, 0), ("b", None, None, None, 1, 0), ("c", None, None, None, 0, 1),
         ("d", None, None, None, None, 0), ("e", None, None, None, 0, 0), ("f", None, None, None, 0, 0),
     )
-    staging = _worklist(spark, ("a", None, None, None, 0, 2), ("e", None, None, None, 0, 0), ("f", None, None, None, 0, None))
+    blank = (None, None, None, 0)
+    staging = _worklist(spark, ("a", *blank, 2), ("e", *blank, 0), ("f", *blank, None))
     assert _rows(worklist.pending(main, staging), "id") == [("b",), ("e",)]
     assert _rows(worklist.pending(main, staging, 1), "id") == [("b",)]
 
@@ -231,7 +233,8 @@ def test_merge_and_reset(spark):
         spark, ("a", None, None, None, 0, 0), ("b", "old", 1, 1, 1, 1), ("c", None, None, None, 2, None),
         ("d", None, None, None, None, 0),
     )
-    staging = _worklist(spark, *[(i, "new", 9, 9, 0, 1) for i in "abc"], ("x", None, None, None, 0, 2), ("y", None, None, None, 0, None))
+    others = [("x", None, None, None, 0, 2), ("y", None, None, None, 0, None)]
+    staging = _worklist(spark, *[(i, "new", 9, 9, 0, 1) for i in "abc"], *others)
     assert _rows(worklist.merge_staging(main, staging).fillna("-").fillna(-1), "id", "venue", "filled") == [
         ("a", "new", 1), ("b", "old", 1), ("c", "-", -1), ("d", "-", 0),
     ]

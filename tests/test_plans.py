@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from paperloom import registry as reg
-from paperloom import schemas
 from paperloom.operators import complete, counts, export, extract, mask, match, sample, variant, worklist
 from paperloom.plans import testdata
 from paperloom.sources import readers
@@ -77,7 +76,8 @@ def test_short_id_list_is_broadcast_and_long_one_shuffled(corpus):
 
 
 def _index(spark):
-    snapshot = spark.createDataFrame([("1", "tb", "cs.AI"), ("2", "tc", "cs.AI")], "id STRING, title STRING, categories STRING")
+    rows = [("1", "tb", "cs.AI"), ("2", "tc", "cs.AI")]
+    snapshot = spark.createDataFrame(rows, "id STRING, title STRING, categories STRING")
     return match.title_index(snapshot, [reg.category("csai")])
 
 
