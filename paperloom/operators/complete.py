@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,10 +27,8 @@ def with_state(responses: DataFrame) -> DataFrame:
     is_object = F.schema_of_variant("_parsed").startswith("OBJECT")
     has_error = F.col("_error").isNotNull() & ~F.is_variant_null("_error")
     # A list or an object cannot be stored as a value; a missing key gives NULL and fails the test as well.
-    has_keys = F.coalesce(
-        reduce(and_, [~F.schema_of_variant(f"_{k}").rlike("^(OBJECT|ARRAY)") for k in (VENUE, YEAR, CITATIONS)]),
-        F.lit(False),
-    )
+    kinds = F.concat(*[F.schema_of_variant(f"_{k}") for k in (VENUE, YEAR, CITATIONS)])
+    has_keys = F.coalesce(~kinds.rlike("OBJECT|ARRAY"), F.lit(False))
     state = (
         F.when(F.col("_parsed").isNull(), ERROR)
         .when(F.col("status") == FORBIDDEN, TODO)
