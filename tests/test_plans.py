@@ -14,9 +14,7 @@ from paperloom.sources import readers
 SF_DIR = "/root/testdata/sf0.001"
 
 
-def _plan(df, final=False):
-    if final:
-        df.collect()
+def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
@@ -67,12 +65,17 @@ def test_range_is_pushed_down(corpus):
     assert "GreaterThan(id,100)" in plan and "LessThanOrEqual(id,150)" in plan and "Exchange" not in plan
 
 
-def test_short_id_list_is_broadcast_and_long_one_shuffled(corpus):
+def test_short_id_list_is_broadcast_and_long_one_shuffled(spark, corpus):
     papers, ids, _ = corpus
-    short, long = export.by_ids(papers, ids), export.by_ids(papers, ids, broadcast_ids=2)
-    assert re.search("BroadcastHashJoin.*LeftSemi", _plan(short))
-    assert re.search("SortMergeJoin.*LeftSemi|BroadcastHashJoin.*LeftSemi", _plan(long))
-    assert short.count() == long.count() == 4
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        short, long = export.by_ids(papers, ids), export.by_ids(papers, ids, broadcast_ids=2)
+        assert re.search("BroadcastHashJoin.*LeftSemi", _plan(short))
+        assert re.search("SortMergeJoin.*LeftSemi", _plan(long))
+        assert short.count() == long.count() == 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def _index(spark):
