@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from paperloom.llm import bpe, licenses, quality, topk
+from paperloom.llm import bpe, decontaminate, licenses, quality, secret_scan, topk
 from paperloom.llm.tables import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -15,6 +15,10 @@ def op1_quality_classifier(spark, sf_dir):
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_secret_scan(spark, sf_dir):
+    return secret_scan.scan_documents(table(spark, sf_dir, "documents"))
+
+
 def op3_exact_top_k(spark, sf_dir):
     vectors = topk.quantise(table(spark, sf_dir, "embeddings"))
     return topk.top_k(vectors.where(F.col("vec_id") % 20 == 0), vectors)
@@ -28,5 +32,15 @@ def op9_license_scan(spark, sf_dir):
     return licenses.scan_documents(table(spark, sf_dir, "documents"))
 
 
-REGISTERED = {f.__name__: f for f in (op1_quality_classifier, op3_exact_top_k, op4_bpe_round_trip, op9_license_scan)}
+def op10_benchmark_decontamination(spark, sf_dir):
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+REGISTERED = {
+    f.__name__: f
+    for f in (
+        op1_quality_classifier, op2_secret_scan, op3_exact_top_k, op4_bpe_round_trip, op9_license_scan,
+        op10_benchmark_decontamination,
+    )
+}
 SQL: dict[str, str] = {}
