@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 
 QUERY_BLOCK = 1024  # query rows of a task
 CANDIDATE_BLOCK = 2048  # candidate rows of a task
-SCORED_AT_ONCE = 128  # query rows whose dense scores are held at once
+DENSE = 16  # posting lists longer than one in so many candidates are added as whole columns
+SCORED_AT_ONCE = 64  # query rows whose dense scores are held at once
 
 
 def quantise(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 64) -> DataFrame:
@@ -46,21 +47,25 @@ def _matrix(rows: pd.Series) -> np.ndarray:
     return out
 
 
-def _scores(queries: np.ndarray, candidates: np.ndarray, dtype) -> np.ndarray:
-    """Dense scores, one component at a time over its postings."""
-    scores = np.zeros((len(queries), len(candidates)), dtype)
-    for term in range(min(queries.shape[1], candidates.shape[1])):
-        weights = queries[:, term]
-        rows = np.flatnonzero(weights)
-        postings = np.flatnonzero(candidates[:, term])
-        if not len(rows) or not len(postings):
+def _scores(queries: np.ndarray, columns: np.ndarray, postings: list[np.ndarray]) -> np.ndarray:
+    """Dense scores, one component at a time over its postings.
+
+    `columns` holds the candidates by component. Where most candidates have a component, its whole column is added, as
+    the zeros in it add nothing; scattering by position pays only for short posting lists.
+    """
+    scores = np.zeros((len(queries), columns.shape[1]), columns.dtype)
+    product = np.empty_like(scores)
+    for term in range(min(queries.shape[1], len(columns))):
+        weights = queries[:, term].astype(columns.dtype)
+        listed = postings[term]
+        if not len(listed) or not weights.any():
             continue
-        values = candidates[postings, term].astype(dtype)
-        weights = weights[rows].astype(dtype)
-        if len(rows) == len(queries) and len(postings) == len(candidates):
-            scores += weights[:, None] * values
+        if DENSE * len(listed) > columns.shape[1]:
+            np.multiply.outer(weights, columns[term], out=product)
+            scores += product
         else:
-            scores[np.ix_(rows, postings)] += weights[:, None] * values
+            rows = np.flatnonzero(weights)
+            scores[np.ix_(rows, listed)] += np.multiply.outer(weights[rows], columns[term, listed])
     return scores
 
 
@@ -71,8 +76,10 @@ def best_of_block(query_ids, queries, candidate_ids, candidates, k: int):
     bound = float(np.abs(queries).max(initial=0)) * float(np.abs(candidates).max(initial=0)) * max(1, queries.shape[1])
     dtype = np.int32 if bound < 2**31 else np.int64
     out_q, out_c, out_s = [], [], []
+    columns = np.ascontiguousarray(candidates.T.astype(dtype))
+    postings = [np.flatnonzero(column) for column in columns]
     for low in range(0, len(queries), SCORED_AT_ONCE):
-        scores = _scores(queries[low : low + SCORED_AT_ONCE], candidates, dtype)
+        scores = _scores(queries[low : low + SCORED_AT_ONCE], columns, postings)
         for own, row in zip(query_ids[low : low + SCORED_AT_ONCE], scores, strict=True):
             first, last = np.searchsorted(candidate_ids, own), np.searchsorted(candidate_ids, own, "right")
             ids = candidate_ids
