@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from paperloom.llm import bpe, decontaminate, licenses, quality, secret_scan, simhash, topk
+from paperloom.llm import bpe, decontaminate, langid, licenses, quality, secret_scan, simhash, topk, warc
 from paperloom.llm.tables import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -32,6 +32,15 @@ def op6_simhash_near_dedup(spark, sf_dir):
     return simhash.scan_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_warc_derivatives(spark, sf_dir):
+    records = warc.page_derivatives(table(spark, sf_dir, "pages"))
+    return records.withColumn("block_sha256", F.sha2("block", 256)).withColumn("block_chars", F.length("block")).drop("block")
+
+
+def op8_language_id(spark, sf_dir):
+    return langid.scan_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_license_scan(spark, sf_dir):
     return licenses.scan_documents(table(spark, sf_dir, "documents"))
 
@@ -44,7 +53,7 @@ REGISTERED = {
     f.__name__: f
     for f in (
         op1_quality_classifier, op2_secret_scan, op3_exact_top_k, op4_bpe_round_trip,
-        op6_simhash_near_dedup, op9_license_scan,        op10_benchmark_decontamination,
+        op6_simhash_near_dedup, op7_warc_derivatives, op8_language_id, op9_license_scan,        op10_benchmark_decontamination,
     )
 }
 SQL: dict[str, str] = {}
