@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from paperloom.llm import bpe, decontaminate, langid, licenses, quality, secret_scan, simhash, topk, warc
+from paperloom.llm import bpe, decontaminate, langid, licenses, quality, secret_scan, simhash, substring, topk, warc
 from paperloom.llm.tables import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -28,6 +28,10 @@ def op4_bpe_round_trip(spark, sf_dir):
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op5_substring_dedup(spark, sf_dir):
+    return substring.scan_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash_near_dedup(spark, sf_dir):
     return simhash.scan_documents(table(spark, sf_dir, "documents"))
 
@@ -52,7 +56,7 @@ def op10_benchmark_decontamination(spark, sf_dir):
 REGISTERED = {
     f.__name__: f
     for f in (
-        op1_quality_classifier, op2_secret_scan, op3_exact_top_k, op4_bpe_round_trip,
+        op1_quality_classifier, op2_secret_scan, op3_exact_top_k, op4_bpe_round_trip, op5_substring_dedup,
         op6_simhash_near_dedup, op7_warc_derivatives, op8_language_id, op9_license_scan,        op10_benchmark_decontamination,
     )
 }
