@@ -1,0 +1,72 @@
+import base64
+import gzip
+import hashlib
+import io
+
+from paperloom.llm import warc
+from paperloom.llm.tables import table
+
+PAGES = "page_id long,url string,html string,record_id string,block string"
+
+
+def _pages(spark, rows):
+    return spark.createDataFrame([(*row, "r", "b") for row in rows], PAGES)
+
+
+def test_plain_text():
+    html = (
+        "<html><head><title>no</title></head><body><!-- no --><h1>A &amp; B</h1><script>var x='</p>';</script><p>one<br>two"
+        "<b>three</b><td>x</td><td>y</td></p><style>no</style>5 < 6<noscript>no</noscript>\n  end&nbsp;.</body></html>"
+    )
+    assert warc.plain_text(html) == "A & B\none\ntwothree x y\n5 < 6 end ."
+    assert warc.plain_text("text<script>never closed") == "text"
+    assert warc.plain_text(None) == warc.plain_text("") == ""
+    assert warc.plain_text("<" * 50_000) == "<" * 50_000
+
+
+def test_linked_records(spark):
+    page = (1, "http://a/", "<p>Hé</p>")
+    response = warc.responses(_pages(spark, [page])).first()
+    metadata, conversion = sorted(warc.page_derivatives(_pages(spark, [page])).collect(), key=lambda r: r.record_type != "metadata")
+    payload = page[2].encode()
+    source = "sha1:" + base64.b32encode(hashlib.sha1(payload).digest()).decode()
+    for record in (metadata, conversion):
+        assert record.refers_to == response.record_id and record.target_uri == page[1]
+        assert record.source_payload_digest == source
+        assert record.block_digest == warc.digest(record.block.encode())
+        assert record.source_headers == response.http
+    assert conversion.block == "Hé" and conversion.record_id in metadata.block and source in metadata.block
+    assert f"http-header: Content-Length: {len(payload)}" in metadata.block
+    assert len({metadata.record_id, conversion.record_id, response.record_id}) == 3
+
+
+def test_one_pass_equals_two_and_whole_table(spark):
+    pages = table(spark, "/root/testdata/sf0.001", "pages")
+    one = sorted(map(tuple, warc.page_derivatives(pages).collect()))
+    assert one == sorted(map(tuple, warc.derivatives(warc.responses(pages)).collect()))
+    expected = [row for p in pages.collect() for row in warc.derive(*warc.response_of(p.page_id, p.url, p.html))]
+    assert one == sorted(expected) and len(one) == 2 * pages.count()
+
+
+def test_round_trip_through_files(spark, tmp_path):
+    rows = [(1, "http://a/x y", "<p>one</p>\r\n\r\n"), (2, None, None), (3, "http://b/", "é" * 1000)]
+    expected = warc.responses(_pages(spark, rows)).orderBy("page_id").collect()
+    with gzip.open(tmp_path / "r.warc.gz", "wb") as file:
+        for r in expected:
+            file.write(warc.serialise("response", r.record_id, r.target_uri, r.date, "application/http", (r.http + r.payload).encode()))
+    got = {r.record_id: r for r in warc.read_responses(spark, str(tmp_path)).collect()}
+    assert {r.record_id: (r.http, r.payload) for r in expected} == {k: (r.http, r.payload) for k, r in got.items()}
+    records = warc.derivatives(warc.read_responses(spark, str(tmp_path)))
+    members = warc.with_bytes(records).collect()
+    parsed = [record for m in members for record in warc.parse(io.BytesIO(gzip.decompress(m.member)))]
+    assert len(parsed) == 6
+    for fields, block in parsed:
+        assert fields["warc-block-digest"] == warc.digest(block)
+        assert fields["warc-refers-to"] in got
+
+
+def test_tables(spark):
+    rows = [(None, None, None), (1, "u", "<p>x</p>"), (1, "u", "<p>x</p>"), (2, "", "")]
+    got = warc.page_derivatives(_pages(spark, rows)).collect()
+    assert len(got) == 8 and len({r.record_id for r in got}) == 6
+    assert warc.page_derivatives(_pages(spark, [])).collect() == []
