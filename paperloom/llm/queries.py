@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from paperloom.llm import bpe, decontaminate, langid, licenses, quality, secret_scan, simhash, substring, topk, warc
+from paperloom.llm import bpe, decontaminate, langid, licenses, oracle, quality, secret_scan, simhash, substring, topk, warc
 from paperloom.llm.tables import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -60,4 +60,15 @@ REGISTERED = {
         op6_simhash_near_dedup, op7_warc_derivatives, op8_language_id, op9_license_scan,        op10_benchmark_decontamination,
     )
 }
-SQL: dict[str, str] = {}
+BASE_SECRETS = {
+    "assign": (secret_scan.ASSIGN, 2, secret_scan.LEAST["assign"]),
+    "access": (secret_scan.ACCESS, 1, secret_scan.LEAST["access"]),
+    "hex": ("([0-9a-f]+)", 1, secret_scan.LEAST["hex"]),
+}
+# The other queries hold learned models, tokens, XXH64, SHA-1 in base32 or edit distances, which SQL cannot express.
+SQL: dict[str, str] = {
+    "op2_secret_scan": oracle.secret_scan(secret_scan.KINDS, BASE_SECRETS, secret_scan.CLASSES, secret_scan.ALLOWED),
+    "op3_exact_top_k": oracle.EXACT_TOP_K,
+    "op5_substring_dedup": oracle.SUBSTRING_DEDUP,
+    "op9_license_scan": oracle.license_scan(licenses.BASE, licenses.TEMPLATES),
+}
