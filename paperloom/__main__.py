@@ -9,8 +9,9 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
+from paperloom.operators.export import RANDOM_EXPORT
 from paperloom.plans import commands as jobs
-from paperloom.session import configure
+from paperloom.session import configure, durable
 
 # Command -> (job, its positional arguments in order). Names and argument order are fixed values.
 COMMANDS = {
@@ -39,6 +40,7 @@ COMMANDS = {
 }
 NUMBERS = {"partition", "keep", "first", "amount"}
 SEEDED = {"extract-topic", "export-s2-cs-data-rand", "arxiv-s2-data-extract-rand"}
+REPORT_ROWS = 10_000  # of a printed report; all have a row or a row per label
 
 
 def parser() -> argparse.ArgumentParser:
@@ -53,6 +55,9 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument("--seed", type=int, default=0)
         if command == "extract-topic":
             sub.add_argument("--store", action="store_true", help="put the ids into the work-list")
+            sub.add_argument("--limit", type=int, help="draw so many ids instead of taking all")
+        if command == "export-s2-cs-data-rand":
+            sub.add_argument("--amount", type=int, default=RANDOM_EXPORT, help="papers to draw")
     return root
 
 
@@ -66,7 +71,11 @@ def main() -> None:
     spark = SparkSession.builder.appName("paperloom").getOrCreate()
     result = run(spark)
     if isinstance(result, DataFrame):
-        result.show(100, truncate=False)
+        rows = durable(result)
+        n = rows.count()
+        if n > REPORT_ROWS:
+            raise RuntimeError(f"a report of {n} rows is not printed; read it from the job's result")
+        rows.show(n, truncate=False)
     elif result is not None:
         print(result)
 

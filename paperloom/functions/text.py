@@ -32,9 +32,18 @@ def audit_title(title: Column, squeeze: bool) -> Column:
     return F.replace(line, F.lit("  "), F.lit(" ")) if squeeze else line
 
 
+# Endings that tell the format and the compression of a file.
+FORMAT_ENDINGS = r"(\.(jsonl?|ndjson|txt))?(\.(gz|bz2|zst|lz4|snappy|deflate))?$"
+
+
 def shard_name(file_name: Column) -> Column:
-    """Text before the first dot."""
-    return F.split_part(F.trim(file_name), F.lit("."), F.lit(1))
+    """The whole file name without its format and compression endings, so that different files differ."""
+    return F.regexp_replace(F.trim(file_name), FORMAT_ENDINGS, "")
+
+
+def decoded_path(encoded: Column) -> Column:
+    """A path or file name as file metadata has it (percent-encoded), in plain characters."""
+    return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
 
 
 def base_name(path: Column) -> Column:
@@ -44,7 +53,7 @@ def base_name(path: Column) -> Column:
 def source_label(path: Column) -> Column:
     """Short name of a variant source file, from its path."""
     name = base_name(path)
-    # File-name parts that carry no information.
+    # File-name parts that carry no information (the reader of the result expects them gone).
     for part in (".data", "completed_s2_arxiv_", "_all_"):
         name = F.replace(name, F.lit(part), F.lit(""))
     return name
@@ -66,7 +75,7 @@ def author_names(parsed: Column) -> Column:
 
 
 def eta(pending: Column, seconds_per_row: int = 3) -> Column:
-    """Time left at a fixed pace, as `H hrs MM min SS sec`."""
+    """Time left at a fixed pace, as `H hrs MM min SS sec` (fixed value: the format)."""
     seconds = pending.cast("bigint") * F.lit(seconds_per_row).cast("bigint")
     hours = (seconds / 3600).cast("bigint")
     minutes = (F.pmod(seconds, F.lit(3600)) / 60).cast("bigint")

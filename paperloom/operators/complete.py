@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.operators.extract import completed_authors
+from paperloom.operators.worklist import VALUES, best_outcome
 from paperloom.schemas import DONE, ERROR, TODO
 
 FORBIDDEN = 403
@@ -45,19 +46,18 @@ def with_state(responses: DataFrame) -> DataFrame:
 
 
 def settled_responses(responses: DataFrame) -> DataFrame:
-    """One settling outcome per id. Repeated responses are folded before the shuffle; a done one wins.
+    """One settling outcome per id. Repeated responses are folded before the shuffle; a done one wins, and of
+    several done ones the one with more values present.
 
-    Open responses become NULL outcomes, which `min` skips, and not a filter: the optimizer would push a filter
-    on the state below the parsing and so parse again in it.
+    Open responses take part and lose, and ids with nothing else are left out at the end: the optimizer would push
+    a filter on the state below the parsing and so parse again in it.
     """
-    outcome = F.struct(F.col("state").alias("filled"), "venue", "year", "n_citations")
     return (
         with_state(responses)
-        .select("id", F.when(F.col("state") != TODO, outcome).alias("outcome"))
         .groupBy("id")
-        .agg(F.min("outcome").alias("outcome"))
-        .filter(F.col("outcome").isNotNull())
-        .select("id", "outcome.*")
+        .agg(best_outcome(F.col("state")).alias("o"))
+        .filter(F.col("o.filled") != TODO)
+        .select("id", "o.filled", *[f"o.{v}" for v in VALUES])
     )
 
 

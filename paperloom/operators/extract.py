@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.functions.text import author_names, record_json, regex_search, title_key, topic_match
+from paperloom.operators.sample import sample
 from paperloom.registry import Category
+from paperloom.schemas import CORRUPT
 
 # Snapshot keys that are not kept.
 UNUSED_SNAPSHOT_KEYS = (
@@ -68,6 +70,11 @@ def topic_count(papers: DataFrame, regex: str) -> DataFrame:
     return papers.agg(F.count_if(is_topic(regex)).alias("matched"), F.count("*").alias("total"))
 
 
+def pick(ids: DataFrame, limit: int | None, seed: int) -> DataFrame:
+    """`limit` random rows of distinct ids, or all of them."""
+    return ids if limit is None else sample(ids, "id", limit, seed)
+
+
 def ragged_json(papers: DataFrame, column: str = "value") -> DataFrame:
     """Each row as JSON text that leaves out the row's own NULL fields."""
     return papers.select(record_json("*").alias(column))
@@ -104,15 +111,22 @@ def reshape_shard_records(records: DataFrame) -> DataFrame:
             F.coalesce(F.size("inCitations"), F.lit(0)).alias("n_citations"),
             title_key(F.col("title")).alias("title_key"),
             "partition",
+            *[c for c in ("file",) if c in records.columns],
         )
     )
 
 
-def unusable_counts(records: DataFrame) -> DataFrame:
-    """How many raw records lack a field that selecting them needs; such records are passed over."""
-    return records.agg(
+def unusable_metrics(records: DataFrame) -> list[Column]:
+    """Counts of raw records that lack a field that selecting them needs, or are no records; all are passed over."""
+    broken = F.col(CORRUPT).isNotNull() if CORRUPT in records.columns else F.lit(False)
+    return [
         F.count("*").alias("total"),
-        F.count_if(F.col("fieldsOfStudy").isNull()).alias("no_field_of_study"),
-        F.count_if(F.col("title").isNull()).alias("no_title"),
-        F.count_if(F.col("paperAbstract").isNull()).alias("no_abstract"),
-    )
+        F.count_if(broken).alias("unparsable"),
+        F.count_if(F.col("fieldsOfStudy").isNull() & ~broken).alias("no_field_of_study"),
+        F.count_if(F.col("title").isNull() & ~broken).alias("no_title"),
+        F.count_if(F.col("paperAbstract").isNull() & ~broken).alias("no_abstract"),
+    ]
+
+
+def unusable_counts(records: DataFrame) -> DataFrame:
+    return records.agg(*unusable_metrics(records))

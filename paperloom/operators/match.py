@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from paperloom.functions.text import audit_title, title_key
 from paperloom.operators.extract import label_papers
-from paperloom.registry import Category
+from paperloom.registry import Category, label_table
 
 # A key with more rows than this is spread over several tasks.
 HOT_ROWS = 1_000_000
@@ -19,9 +19,9 @@ BROADCAST_BYTES = 128 * 1024 * 1024
 def title_index(
     snapshot: DataFrame, registry: list[Category], ord: Column | None = None, drop_empty_key: bool = False
 ) -> DataFrame:
-    """Last snapshot paper per label and title key, by `ord` (default: the id).
+    """Last snapshot paper per label and title key, by `ord` (default: the id), then by id and content.
 
-    `max_by` folds repeated keys on the map side, so a title that fills a third of the snapshot does not
+    The order is total and puts a NULL `ord` first, so the choice never depends on the order of rows. `max_by` folds repeated keys on the map side, so a title that fills a third of the snapshot does not
     reach one task.
     """
     keyed = label_papers(
@@ -38,7 +38,7 @@ def title_index(
         keyed = keyed.filter("title_key <> ''")
     return (
         keyed.groupBy("cate", "title_key")
-        .agg(F.max_by(F.struct("id", "title", "categories"), F.col("_ord")).alias("paper"))
+        .agg(F.max_by(F.struct("id", "title", "categories"), F.struct("_ord", "id", "title", "categories")).alias("paper"))
         .select(
             "cate",
             "title_key",
@@ -124,11 +124,16 @@ def match_audit(matches: DataFrame) -> DataFrame:
     )
 
 
-def match_rate(index: DataFrame, matches: DataFrame) -> DataFrame:
-    """Matches per 100 keys and label; several corpus papers may share a key, so it can exceed 100."""
+def match_rate(index: DataFrame, matches: DataFrame, registry: list[Category]) -> DataFrame:
+    """Matches per 100 keys for every label of the registry; NULL for a label without keys.
+
+    Several corpus papers may share a key, so a rate can exceed 100.
+    """
     keys = index.groupBy("cate").agg(F.count("*").alias("n_keys"))
     found = matches.groupBy("cate").agg(F.count("*").alias("n_matches"))
-    joined = keys.join(found, "cate", "left").withColumn("n_matches", F.coalesce("n_matches", F.lit(0)))
+    labels = label_table(index.sparkSession, registry).select("cate")
+    joined = labels.join(keys, "cate", "left").join(found, "cate", "left")
+    joined = joined.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("n_keys", "n_matches")})
     return joined.withColumn("rate", rate(F.col("n_matches"), F.col("n_keys")))
 
 

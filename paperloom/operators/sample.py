@@ -54,23 +54,25 @@ def dense_id(df: DataFrame, key: str, seed: int, name: str = "id") -> DataFrame:
     return with_position(df, key, seed, name)
 
 
-def sample(df: DataFrame, key: str, n: int, seed: int, by: Sequence[str] = ()) -> DataFrame:
+def sample(
+    df: DataFrame, key: str, n: int, seed: int, by: Sequence[str] = (), max_cut_rows: int = MAX_CUT_ROWS
+) -> DataFrame:
     """Exactly `n` rows (all if there are fewer), the first in the seeded order; per group if `by` is given.
 
     The first pass, run at once, counts hash prefixes of the key column alone and finds the prefix in which
     row `n` falls: one row per group. The plan returned filters on that prefix, so hardly more than `n` rows
-    are ranked. `by` is for label-like columns: the cut is broadcast if there are at most `MAX_CUT_ROWS`
+    are ranked. `by` is for label-like columns: the cut is broadcast if there are at most `max_cut_rows`
     groups, else joined by a shuffle. `df` is read twice; checkpoint it if that is costly.
     """
     hashed = _hashed(df, key, seed)
     reached = _bucket_offsets(hashed.select(*by, _HASH, _BUCKET), by).filter(F.col(_OFFSET) < n)
     cut = reached.groupBy(*by).agg(F.max(_BUCKET).alias("_last"), F.max(_OFFSET).alias(_OFFSET))
-    rows = cut.limit(MAX_CUT_ROWS + 1).collect()
+    rows = cut.limit(max_cut_rows + 1).collect()
     if not by:
         last, offset = rows[0]
         kept = hashed.filter(F.col(_BUCKET) <= last).withColumns({"_last": F.lit(last), _OFFSET: F.lit(offset)})
     else:
-        if len(rows) <= MAX_CUT_ROWS:
+        if len(rows) <= max_cut_rows:
             cut = F.broadcast(df.sparkSession.createDataFrame(rows, cut.schema))
         kept = hashed.join(cut, list(by)).filter(F.col(_BUCKET) <= F.col("_last"))
     inside = F.row_number().over(Window.partitionBy(*by, _BUCKET).orderBy(_HASH, key))

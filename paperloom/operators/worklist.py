@@ -13,8 +13,7 @@ from paperloom.functions.text import eta
 from paperloom.operators.sample import three_way_split
 from paperloom.schemas import DONE, ERROR, TODO
 
-# Size of a full work-list, and the partition argument that means "all".
-FULL_WORKLIST = 30_000
+# Fixed value: the partition argument that means "all".
 ALL_PARTITIONS = -1
 
 
@@ -28,12 +27,13 @@ def insert_or_ignore(existing: DataFrame, new: DataFrame, key: str = "id") -> Da
     return new.dropDuplicates([key]).join(existing.select(key), key, "left_anti")
 
 
-def create_worklist(ids: DataFrame, existing: DataFrame, seed: int) -> DataFrame:
-    """`existing` plus the ids it lacks, split in three; unchanged if it is already full."""
+def create_worklist(ids: DataFrame, existing: DataFrame, seed: int, full: int | None = None) -> DataFrame:
+    """`existing` plus the ids it lacks, split in three. With `full`, a list of just that size stays as it is."""
+    split = three_way_split(ids.select("id").distinct(), "id", seed)
+    if full is not None:
+        split = split.filter(existing.agg(F.count("*")).scalar() != full)
     open_rows = (
-        three_way_split(ids.select("id").distinct(), "id", seed)
-        .filter(existing.agg(F.count("*")).scalar() != FULL_WORKLIST)
-        .select(
+        split.select(
             "id",
             F.lit(None).cast("string").alias("venue"),
             F.lit(None).cast("int").alias("year"),
@@ -60,21 +60,47 @@ def fill_status(main: DataFrame, staging: DataFrame, partition: int = ALL_PARTIT
 
     An id settled in staging only still counts as open. `pending_net` leaves those out.
     """
+    return _status(_states(main, staging, partition, "id"))
+
+
+def fill_status_by_partition(main: DataFrame, staging: DataFrame) -> DataFrame:
+    """The status of all partitions (column `part` -1) and of each that has rows, from one pass over both tables.
+
+    An id counts in a partition with the rows it has there, and once in all of them.
+    """
+    state = F.col("filled").isin(TODO, DONE, ERROR) & in_partition(ALL_PARTITIONS)
+    rows = (
+        main.filter(state)
+        .select("id", "filled", "partition", F.lit(1).alias("in_main"))
+        .unionByName(staging.filter(state).select("id", "filled", "partition", F.lit(0).alias("in_main")))
+    )
+    parts = rows.withColumn("part", F.explode(F.array(F.lit(ALL_PARTITIONS), "partition")))
+    return _status(_fold(parts, "part", "id"), "part")
+
+
+def _states(main: DataFrame, staging: DataFrame, partition: int, *keys: str) -> DataFrame:
     state = F.col("filled").isin(TODO, DONE, ERROR) & in_partition(partition)
     rows = (
         main.filter(state)
         .select("id", "filled", F.lit(1).alias("in_main"))
         .unionByName(staging.filter(state).select("id", "filled", F.lit(0).alias("in_main")))
     )
-    # One shuffle on (id): partial sums fold duplicates before it.
-    per_id = rows.groupBy("id").agg(
+    return _fold(rows, *keys)
+
+
+def _fold(rows: DataFrame, *keys: str) -> DataFrame:
+    """What is known of each id. One shuffle: partial sums fold duplicates before it."""
+    return rows.groupBy(*keys).agg(
         F.sum("in_main").alias("main_rows"),
         F.max((F.col("filled") == DONE)).alias("done"),
         F.max((F.col("filled") == ERROR)).alias("failed"),
         F.max((F.col("filled") == TODO) & (F.col("in_main") == 1)).alias("open"),
         F.max((F.col("filled") != TODO) & (F.col("in_main") == 0)).alias("staged"),
     )
-    return per_id.agg(
+
+
+def _status(per_id: DataFrame, *by: str) -> DataFrame:
+    return per_id.groupBy(*by).agg(
         F.count_if("done").alias("filled"),
         F.count_if("open").alias("unfilled"),
         F.count_if("failed").alias("error"),
@@ -83,10 +109,30 @@ def fill_status(main: DataFrame, staging: DataFrame, partition: int = ALL_PARTIT
     ).withColumn("eta", eta(F.col("unfilled")))
 
 
+VALUES = ("venue", "year", "n_citations")
+
+
+def best_outcome(filled: Column) -> Column:
+    """Aggregate: of several outcomes of an id a done one before an error, then one with more values present.
+
+    What is left of ties is decided by the values themselves, so the choice does not depend on the order of rows.
+    """
+    rank = F.when(filled == DONE, 0).when(filled == ERROR, 1).otherwise(2)
+    absent = sum((F.col(v).isNull().cast("int") for v in VALUES), F.lit(0))
+    return F.min(F.struct(rank.alias("rank"), absent.alias("absent"), *VALUES, filled.alias("filled")))
+
+
+def fold_staging(staging: DataFrame) -> DataFrame:
+    """One row per id: overlapping runs may have staged a paper more than once."""
+    rows = staging.filter(F.col("filled").isin(TODO, DONE, ERROR))
+    folded = rows.groupBy("id").agg(best_outcome(F.col("filled")).alias("o"))
+    return folded.select("id", *[f"o.{v}" for v in VALUES], "o.filled")
+
+
 def merge_staging(main: DataFrame, staging: DataFrame) -> DataFrame:
-    """Copy staged values into rows of the main table that are still open."""
-    values = ("venue", "year", "n_citations", "filled")
-    staged = staging.filter(F.col("filled").isin(TODO, DONE, ERROR)).select(
+    """Copy staged values into rows of the main table that are still open; ids stay distinct."""
+    values = (*VALUES, "filled")
+    staged = fold_staging(staging).select(
         "id", F.lit(True).alias("_staged"), *[F.col(v).alias(f"_{v}") for v in values]
     )
     takes = F.col("filled").eqNullSafe(TODO) & F.col("_staged")

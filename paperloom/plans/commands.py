@@ -1,7 +1,7 @@
 """The jobs a user runs, one function per command, over one folder layout.
 
 Mutable tables (work-list, checklist) are small and kept as numbered snapshots: a job reads the newest one and
-writes the next, so a failed job leaves the old state in place.
+writes the next. A snapshot counts once its write has left its success mark, so a failed job leaves the old state in place.
 """
 
 from __future__ import annotations
@@ -17,10 +17,9 @@ from paperloom import schemas
 from paperloom.functions.text import source_label, worklist_category
 from paperloom.operators import complete as complete_ops
 from paperloom.operators import counts, export, extract, mask, match, variant, worklist
-from paperloom.operators.sample import sample
 from paperloom.session import durable
 from paperloom.sources import readers, writers
-from paperloom.streaming.ingest import ingest, landed_shards
+from paperloom.streaming.ingest import FILES_PER_BATCH, ingest, landed_shards, passed_over, shards_read
 
 
 @dataclass(frozen=True)
@@ -88,13 +87,11 @@ class Layout:
 
 
 def latest(spark: SparkSession, path: str, schema: StructType) -> tuple[DataFrame, int]:
-    """Newest snapshot of a small mutable table and its number; an empty table and -1 if there is none."""
-    if not readers.exists(spark, path):
+    """Newest finished snapshot of a small mutable table and its number; an empty table and -1 if there is none."""
+    versions = readers.finished_versions(spark, path)
+    if not versions:
         return spark.createDataFrame([], schema), -1
-    versioned = spark.read.schema(schemas.plus(schema, "snapshot", schemas.INT)).parquet(path)
-    newest = versioned.agg(F.max("snapshot")).first()[0]
-    newest = 0 if newest is None else newest
-    return versioned.filter(F.col("snapshot") == newest).drop("snapshot"), newest
+    return spark.read.schema(schema).parquet(f"{path}/snapshot={versions[-1]}"), versions[-1]
 
 
 def _commit(spark: SparkSession, df: DataFrame, path: str, version: int) -> None:
@@ -102,7 +99,8 @@ def _commit(spark: SparkSession, df: DataFrame, path: str, version: int) -> None
 
 
 def _read_category(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
-    return spark.read.schema(schemas.CATEGORY_PAPERS).json(layout.category(name))
+    path = layout.category(name)
+    return spark.read.schema(readers.with_further_keys(spark, path, schemas.CATEGORY_PAPERS)).json(path)
 
 
 def _worklist(spark: SparkSession, layout: Layout, name: str) -> tuple[DataFrame, int]:
@@ -116,28 +114,41 @@ def _staging(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
 # --- categories, topics, completion -------------------------------------------------------------------
 
 
-def extract_category(spark: SparkSession, layout: Layout, cate: str) -> None:
-    papers = extract.category_papers(readers.read_snapshot(spark, layout.snapshot), reg.category(cate))
+# A registry of the caller's own, or None for the default one; every job that uses labels takes it.
+Registry = list[reg.Category] | None
+
+
+def extract_category(spark: SparkSession, layout: Layout, cate: str, registry: Registry = None) -> None:
+    papers = extract.category_papers(readers.read_snapshot(spark, layout.snapshot), reg.category(cate, registry))
     papers.write.mode("overwrite").json(layout.category(cate))
 
 
-def extract_topic(spark: SparkSession, layout: Layout, cate: str, topic: str, seed: int, store: bool) -> DataFrame:
-    """Ids of a topic's papers, at most one full work-list; `store` puts them into the work-list."""
-    regex = reg.topic_regex(cate, topic)
+def extract_topic(
+    spark: SparkSession, layout: Layout, cate: str, topic: str, seed: int = 0, store: bool = False, limit: int | None = None,
+    registry: Registry = None,
+) -> DataFrame:
+    """Ids of a topic's papers, `limit` random ones or all; `store` puts them into the work-list.
+
+    The ids go to the export folder. Returns one row: matched and total papers, and ids picked.
+    """
+    regex = reg.topic_regex(cate, topic, registry)
     if not readers.exists(spark, layout.category(cate)):
-        extract_category(spark, layout, cate)
-    matched = extract.in_topic(_read_category(spark, layout, cate), regex).select("id").distinct()
+        extract_category(spark, layout, cate, registry)
+    papers = _read_category(spark, layout, cate)
     # The regex scan is the costly part and sampling reads its input twice: keep the narrow id list.
-    ids = sample(durable(matched), "id", worklist.FULL_WORKLIST, seed)
+    ids = extract.pick(durable(extract.in_topic(papers, regex).select("id").distinct()), limit, seed)
+    name = f"{cate}_{topic}"
+    path = layout.export(f"ids_{name}")
+    ids.write.mode("overwrite").parquet(path)
+    ids = readers.read_table(spark, path, ids.schema)
     if store:
-        name = f"{cate}_{topic}"
         existing, version = _worklist(spark, layout, name)
         _commit(spark, worklist.create_worklist(ids, existing, seed), layout.worklist(name), version)
-    return ids
+    return extract.topic_count(papers, regex).withColumn("picked", F.lit(ids.count()))
 
 
-def topic_count(spark: SparkSession, layout: Layout, cate: str, topic: str) -> DataFrame:
-    return extract.topic_count(_read_category(spark, layout, cate), reg.topic_regex(cate, topic))
+def topic_count(spark: SparkSession, layout: Layout, cate: str, topic: str, registry: Registry = None) -> DataFrame:
+    return extract.topic_count(_read_category(spark, layout, cate), reg.topic_regex(cate, topic, registry))
 
 
 def fill_data(spark: SparkSession, layout: Layout, name: str, partition: int) -> None:
@@ -170,7 +181,7 @@ def export_data(spark: SparkSession, layout: Layout, name: str) -> None:
     main, _ = _worklist(spark, layout, name)
     cate = spark.range(1).select(worklist_category(F.lit(name))).first()[0]
     completed = complete_ops.completed_papers(_read_category(spark, layout, cate), main)
-    writers.write_records(completed, layout.export(f"completed_{name}.data"))
+    writers.write_completed(completed, layout.export(f"completed_{name}.data"))
 
 
 # --- corpus -------------------------------------------------------------------------------------------
@@ -182,22 +193,31 @@ def init_corpus(spark: SparkSession, layout: Layout) -> None:
     _commit(spark, worklist.init_checklist(shards, existing), layout.checklist, version)
 
 
-def ingest_corpus(spark: SparkSession, layout: Layout) -> None:
-    """Ingest new shards, then check everything that had landed when the run began."""
+def ingest_corpus(spark: SparkSession, layout: Layout, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
+    """Ingest new shards and check those the stream has read.
+
+    Returns one row: shards landed, read and left unread (they stay unchecked), and records read and passed over.
+    """
     landed = durable(landed_shards(spark, layout.landing))
-    ingest(spark, layout.landing, layout.papers, layout.chunks, layout.ingest_checkpoint)
+    ingest(spark, layout.landing, layout.papers, layout.chunks, layout.ingest_checkpoint, files_per_batch)
+    read = durable(shards_read(spark, layout.ingest_checkpoint))
     checklist, version = latest(spark, layout.checklist, schemas.CHECKLIST)
-    known = worklist.init_checklist(landed, checklist)
-    _commit(spark, worklist.mark_checked(known, landed), layout.checklist, version)
+    known = worklist.init_checklist(landed.union(read).distinct(), checklist)
+    _commit(spark, worklist.mark_checked(known, read), layout.checklist, version)
+    shards = {
+        "landed": landed.count(), "read": read.count(), "unread": landed.join(read, "partition", "left_anti").count()
+    }
+    counted = passed_over(spark, layout.chunks)
+    return counted.select(*[F.lit(n).alias(f"shards_{name}") for name, n in shards.items()], *counted.columns)
 
 
 def corpus_count(spark: SparkSession, layout: Layout) -> DataFrame:
     return counts.corpus_count(readers.read_papers(spark, layout.papers))
 
 
-def corpus_topic_count(spark: SparkSession, layout: Layout, topic: str) -> DataFrame:
+def corpus_topic_count(spark: SparkSession, layout: Layout, topic: str, registry: Registry = None) -> DataFrame:
     checklist, _ = latest(spark, layout.checklist, schemas.CHECKLIST)
-    regex = reg.topic_regex(reg.UMBRELLA.name, topic)
+    regex = reg.topic_regex(reg.UMBRELLA.name, topic, registry)
     return counts.corpus_topic_count(readers.read_papers(spark, layout.papers), regex, worklist.checked(checklist))
 
 
@@ -213,11 +233,11 @@ def export_range(spark: SparkSession, layout: Layout, first: int, amount: int) -
     return _export(export.by_range(papers, first - 1, amount), layout, export.range_name(first - 1, amount))
 
 
-def export_random(spark: SparkSession, layout: Layout, seed: int) -> str:
+def export_random(spark: SparkSession, layout: Layout, seed: int = 0, amount: int = export.RANDOM_EXPORT) -> str:
     papers = readers.read_papers(spark, layout.papers)
     token = export.crc_token(F.lit(str(seed)))
     token = spark.range(1).select(token).first()[0]
-    return _export(export.random_papers(papers, seed), layout, f"completed_s2_rand.{token}.data")
+    return _export(export.random_papers(papers, seed, amount), layout, f"completed_s2_rand.{token}.data")
 
 
 def export_from_ids(spark: SparkSession, layout: Layout, ids_path: str) -> str:
@@ -229,7 +249,8 @@ def export_from_ids(spark: SparkSession, layout: Layout, ids_path: str) -> str:
 
 def _match(spark: SparkSession, layout: Layout, labels: list[reg.Category]) -> tuple[DataFrame, DataFrame]:
     """Title index of the labels and its matches in the checked shards, both computed once and kept."""
-    index = durable(match.title_index(readers.read_snapshot(spark, layout.snapshot), labels))
+    snapshot = readers.read_snapshot(spark, layout.snapshot, schemas.SNAPSHOT)
+    index = durable(match.title_index(snapshot, labels))
     checklist, _ = latest(spark, layout.checklist, schemas.CHECKLIST)
     titles = readers.read_papers(spark, layout.papers, columns=("id", "title", "title_key", "partition"))
     # The checklist holds one row per shard file; the planner broadcasts it and prunes the other shards.
@@ -237,20 +258,22 @@ def _match(spark: SparkSession, layout: Layout, labels: list[reg.Category]) -> t
     return index, durable(match.match_titles(index, titles))
 
 
-def match_label(spark: SparkSession, layout: Layout, cate: str) -> DataFrame:
+def match_label(spark: SparkSession, layout: Layout, cate: str, registry: Registry = None) -> DataFrame:
     """Match one label's snapshot papers with the corpus; writes index and audit, returns the match rate."""
-    index, matches = _match(spark, layout, [reg.category(cate)])
+    labels = [reg.category(cate, registry)]
+    index, matches = _match(spark, layout, labels)
     writers.write_one_label(match.label_index(matches), layout.index, cate)
     match.match_audit(matches).drop("cate").write.mode("overwrite").json(layout.audit(cate))
-    return match.match_rate(index, matches)
+    return match.match_rate(index, matches, labels)
 
 
-def match_labels(spark: SparkSession, layout: Layout) -> DataFrame:
+def match_labels(spark: SparkSession, layout: Layout, registry: Registry = None) -> DataFrame:
     """Match all second-level labels in one pass over the corpus; replaces the whole index and audit."""
-    index, matches = _match(spark, layout, reg.second_level(reg.default_registry()))
+    labels = reg.second_level(registry or reg.default_registry())
+    index, matches = _match(spark, layout, labels)
     writers.write_label_index(match.label_index(matches), layout.index)
     writers.write_match_audit(match.match_audit(matches), layout.audits)
-    return match.match_rate(index, matches)
+    return match.match_rate(index, matches, labels)
 
 
 def _label_index(spark: SparkSession, layout: Layout) -> DataFrame:
@@ -270,9 +293,9 @@ def export_label(
     return _export(rows, layout, name)
 
 
-def label_counts(spark: SparkSession, layout: Layout) -> DataFrame:
+def label_counts(spark: SparkSession, layout: Layout, registry: Registry = None) -> DataFrame:
     """Papers per label, largest first, with the grand total and the number of labels on each row."""
-    labels = reg.second_level(reg.default_registry())
+    labels = reg.second_level(registry or reg.default_registry())
     per_label = counts.label_counts(_label_index(spark, layout), labels)
     # One row per registry entry: a window over all of them is small.
     every = Window.partitionBy()
@@ -288,7 +311,7 @@ def label_counts(spark: SparkSession, layout: Layout) -> DataFrame:
 
 def make_variants(spark: SparkSession, layout: Layout, seeds_path: str, source_path: str) -> str:
     source = spark.range(1).select(source_label(F.lit(source_path.rstrip("/")))).first()[0]
-    seeds, sources = readers.read_records(spark, seeds_path), readers.read_records(spark, source_path)
+    seeds, sources = readers.read_seeds(spark, seeds_path), readers.read_records(spark, source_path)
     path = layout.export("variant")
     writers.write_variants(variant.all_variants(seeds, sources, source), path)
     return path

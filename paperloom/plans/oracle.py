@@ -1,17 +1,29 @@
-"""The registered queries once more, as plain DuckDB SQL over the same tables."""
+"""The registered queries once more, as plain DuckDB SQL over the same tables.
+
+Nothing is imported from the engine: a wrong label, regex or seed there must show as a difference here.
+"""
 
 from __future__ import annotations
 
-from paperloom.plans.queries import LABELS, REGISTRY, SEED, TOPIC
-from paperloom.registry import CS_CODES, Category, category
+import zlib
+
+# Fixed values, written out a second time: codes in registry order, the labels made of them, topic and seed.
+CODES = (
+    "AI", "LG", "CV", "CL", "AR", "CC", "CE", "CG", "CR", "CY", "DB", "DC", "DL", "DM", "DS", "ET", "FL", "GL", "GR", "GT",
+    "HC", "IR", "IT", "LO", "MA", "MM", "MS", "NA", "NE", "NI", "OH", "OS", "PF", "PL", "RO", "SC", "SD", "SE", "SI", "SY",
+)
+LABELS = [("cs" + code.lower(), rf"cs\.{code}") for code in CODES]
+REGISTRY = [("cs", r"(^cs\.)|( cs\.)"), *LABELS]
+TOPIC = "and( |-)the"
+SEED = 42
 
 
 def _text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
-def _registry(registry: list[Category]) -> str:
-    rows = ", ".join(f"({_text(c.name)}, {_text(c.regex)}, {i})" for i, c in enumerate(registry))
+def _registry(registry: list[tuple[str, str]]) -> str:
+    rows = ", ".join(f"({_text(name)}, {_text(regex)}, {i})" for i, (name, regex) in enumerate(registry))
     return f"(VALUES {rows}) r(cate, regex, ord)"
 
 
@@ -19,7 +31,7 @@ def _with(sql: str, *names: str) -> str:
     return "WITH " + ", ".join(f"{n} AS ({CTES[n]})" for n in names) + " " + sql
 
 
-_CODES = "[" + ", ".join(_text(c) for c in CS_CODES) + "]"
+_CODES = "[" + ", ".join(_text(c) for c in CODES) + "]"
 _KEY = r"lower(regexp_replace(title, '[^\p{L}]', '', 'g'))"
 _TOPIC = f"(regexp_matches(title, {_text('(?im)' + TOPIC)}) OR regexp_matches(abstract, {_text('(?im)' + TOPIC)}))"
 
@@ -125,10 +137,33 @@ CTES = {
             ELSE 2 END AS INT) AS state
         FROM responses""",
     "seeds": """
-        SELECT item_id AS seed_id, 'documents' AS source, 'seed' || item_id AS s2_id FROM benchmark""",
+        SELECT item_id AS seed_id, 'documents' AS source, item_id AS id, 'seed' || item_id AS s2_id,
+               split_part(text, chr(10), 1) AS title, text AS abstract, 'seed venue' AS venue, 'A|B' AS authors
+        FROM benchmark""",
+    "toxic_french": """
+        SELECT DISTINCT source FROM documents JOIN labels USING (doc_id) WHERE lang = 'fr' AND toxic = 1""",
+    "repeated_staging": """
+        SELECT * FROM staging UNION ALL SELECT * FROM staging UNION ALL
+        SELECT id, NULL, NULL, NULL, partition, 2 FROM staging WHERE CAST(id AS BIGINT) % 2 = 0""",
+    "folded_staging": """
+        SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY CASE filled WHEN 1 THEN 0 WHEN 2 THEN 1 ELSE 2 END,
+            (venue IS NULL)::INT + (year IS NULL)::INT + (n_citations IS NULL)::INT) AS rn FROM repeated_staging) WHERE rn = 1""",
+    "asked_again": """
+        SELECT * FROM classified
+        UNION ALL
+        SELECT id, CASE WHEN CAST(id AS BIGINT) % 3 = 0 THEN '{"error": "gone"}'
+                   ELSE regexp_replace(body, '"venue": "v[0-9]+"', '"venue": null') END,
+               CAST(CASE WHEN CAST(id AS BIGINT) % 3 = 0 THEN 2 ELSE state END AS INT) FROM classified""",
+    "settled": """
+        SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY state,
+            (CASE WHEN state = 1 THEN body ->> '$.venue' END IS NULL)::INT) AS rn FROM asked_again WHERE state <> 0) WHERE rn = 1""",
     "checklist": """
-        SELECT source AS partition, CAST(max(CASE WHEN lang = 'de' AND n_chars > 3000 THEN 1 ELSE 0 END) AS INT) AS is_checked
+        SELECT source AS partition, CAST(max(CASE WHEN lang = 'de' AND n_chars > 3000 THEN 1
+            WHEN source IN (SELECT source FROM toxic_french) THEN 1 ELSE 0 END) AS INT) AS is_checked
         FROM documents GROUP BY source""",
+    "page_parts": """
+        SELECT page_id, split_part(url, '/', 3) AS host, split_part(url, '/', 4) AS lang, regexp_extract(url, '[^/]*$') AS last
+        FROM pages""",
 }
 
 _MATCH = ("snapshot", "labelled", "corpus_titles", "title_index", "matches")
@@ -189,7 +224,7 @@ def _text_variants() -> str:
 
 SQL: dict[str, str] = {
     "category_filter": _with(
-        f"SELECT id, title, categories FROM snapshot WHERE regexp_matches(categories, {_text(category('cspl').regex)})",
+        f"SELECT id, title, categories FROM snapshot WHERE regexp_matches(categories, {_text(dict(REGISTRY)['cspl'])})",
         "snapshot",
     ),
     "category_labels": _with(
@@ -232,15 +267,28 @@ SQL: dict[str, str] = {
         "papers", "gappy",
     ),
     "title_key": _with(f"SELECT id, {_KEY} AS title_key FROM corpus_titles", "corpus_titles"),
-    "derived_names": r"""
-        SELECT page_id, split_part(regexp_extract(url, '[^/]*$'), '.', 1) AS shard, 'cslg' AS source, 'cs' AS cate
-        FROM pages""",
+    "extract_topic": _with(
+        f"""SELECT DISTINCT id, (SELECT count(*) FROM papers WHERE {_TOPIC}) AS matched, (SELECT count(*) FROM papers) AS total,
+            (SELECT count(DISTINCT id) FROM papers WHERE {_TOPIC}) AS picked FROM papers WHERE {_TOPIC}""",
+        "papers",
+    ),
+    "derived_names": _with(
+        "SELECT page_id, last || '.' || lang AS shard, host AS source, split_part(lang, '_', 1) AS cate FROM page_parts",
+        "page_parts",
+    ),
+    "audit_cleanup": """
+        SELECT doc_id, replace(replace(replace(text, ' ', '  '), chr(10), ''), '  ', ' ') AS a_title,
+               replace(replace(text, ' ', '  '), chr(10), '') AS s_title FROM documents""",
+    # CRC-32 of the four languages, from the standard checksum.
+    "crc_tokens": f"""
+        SELECT lang, CASE lang {' '.join(f"WHEN '{c}' THEN '{hex(zlib.crc32(c.encode()))}'" for c in ('en', 'fr', 'de', 'es'))} END
+        AS token, count(*) AS n FROM documents GROUP BY lang""",
     "title_match": _with("SELECT cate, id, arxiv_id FROM matches", *_MATCH),
     "title_match_shuffled": _with("SELECT cate, id, arxiv_id FROM matches", *_MATCH),
     "match_rate": _with(
-        """SELECT k.cate, n_keys, coalesce(n_matches, 0) AS n_matches,
+        f"""SELECT r.cate, coalesce(n_keys, 0) AS n_keys, coalesce(n_matches, 0) AS n_matches,
                   CAST(round(100.0 * coalesce(n_matches, 0) / nullif(n_keys, 0), 2) AS DOUBLE) AS rate
-           FROM (SELECT cate, count(*) AS n_keys FROM title_index GROUP BY cate) k
+           FROM {_registry(LABELS)} LEFT JOIN (SELECT cate, count(*) AS n_keys FROM title_index GROUP BY cate) k USING (cate)
            LEFT JOIN (SELECT cate, count(*) AS n_matches FROM matches GROUP BY cate) m USING (cate)""",
         *_MATCH,
     ),
@@ -264,6 +312,9 @@ SQL: dict[str, str] = {
     "id_list_export": """
         SELECT o_orderkey AS id, o_custkey, o_orderpriority FROM orders
         WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')""",
+    "id_list_export_in_ranges": """
+        SELECT o_orderkey AS id, o_custkey, o_orderpriority FROM orders
+        WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')""",
     "label_export": _with(
         """SELECT id, s2_id, title, abstract, venue, authors, year, n_citations FROM papers
            WHERE id IN (SELECT id FROM matches WHERE cate = 'cspl')""",
@@ -282,12 +333,12 @@ SQL: dict[str, str] = {
     "paged_export": f"""
         SELECT pos AS id, o_orderkey, (pos - 1) // 1000 AS page FROM (SELECT *, {_ordered('orders', 'o_orderkey')})""",
     "random_sample": f"SELECT o_orderkey, o_custkey FROM orders ORDER BY md5('{SEED}:' || o_orderkey) LIMIT 1000",
-    "label_sample": _with(
+    **dict.fromkeys(("label_sample", "label_sample_joined"), _with(
         f"""SELECT id, cate FROM (
             SELECT s.id, r.cate, row_number() OVER (PARTITION BY r.cate ORDER BY md5('{SEED}:' || s.id), s.id) AS rn
             FROM snapshot s JOIN {_registry(REGISTRY)} ON regexp_matches(s.categories, r.regex)) WHERE rn <= 20""",
         "snapshot",
-    ),
+    )),
     "three_way_split": f"""
         SELECT o_orderkey, {_three_way('pos', 'n')} AS partition
         FROM (SELECT o_orderkey, count(*) OVER () AS n, {_ordered('orders', 'o_orderkey')})""",
@@ -320,17 +371,17 @@ SQL: dict[str, str] = {
                   CASE WHEN state = 1 THEN CAST(body ->> '$.year' AS INT) END AS year,
                   CASE WHEN state = 1 THEN CAST(body ->> '$.citationCount' AS INT) END AS n_citations,
                   partition, state AS filled
-           FROM pending p JOIN classified c ON c.id = p.id WHERE state <> 0"""),
-        "worklist", "staging", "pending", "complete_bodies", "responses", "classified",
+           FROM pending p JOIN settled c ON c.id = p.id"""),
+        "worklist", "staging", "pending", "complete_bodies", "responses", "classified", "asked_again", "settled",
     ),
     "merge_staging": _with(
         _comparable("""SELECT w.id, CASE WHEN t THEN s.venue ELSE w.venue END AS venue,
                   CASE WHEN t THEN s.year ELSE w.year END AS year,
                   CASE WHEN t THEN s.n_citations ELSE w.n_citations END AS n_citations, w.partition,
                   CASE WHEN t THEN s.filled ELSE w.filled END AS filled
-           FROM (SELECT w.*, w.filled = 0 AND s.id IS NOT NULL AS t FROM worklist w LEFT JOIN staging s USING (id)) w
-           LEFT JOIN staging s USING (id)"""),
-        "worklist", "staging",
+           FROM (SELECT w.*, w.filled = 0 AND s.id IS NOT NULL AS t FROM worklist w LEFT JOIN folded_staging s USING (id)) w
+           LEFT JOIN folded_staging s USING (id)"""),
+        "worklist", "staging", "repeated_staging", "folded_staging",
     ),
     "merged_count": _with("SELECT count(*) AS merged FROM staging WHERE filled <> 0", "staging"),
     "reset_partition": _with(
@@ -347,16 +398,19 @@ SQL: dict[str, str] = {
            FROM snapshot s JOIN worklist w USING (id) WHERE w.filled = 1 AND w.venue IS DISTINCT FROM ''""",
         "snapshot", "worklist",
     ),
-    "shard_checklist": _with("SELECT * FROM checklist", "checklist"),
-    "unchecked_shards": _with("SELECT partition FROM checklist WHERE is_checked = 0", "checklist"),
+    "shard_checklist": _with("SELECT * FROM checklist", "toxic_french", "checklist"),
+    "unchecked_shards": _with("SELECT partition FROM checklist WHERE is_checked = 0", "toxic_french", "checklist"),
     "variant_text": _with(_text_variants(), "papers"),
+    "variant_text_fragmented": _with(f"SELECT *, 'n' || id AS note FROM ({_text_variants()})", "papers"),
     "variant_year": _with(
-        """SELECT seed_id, source, 'year' AS feature, s2_id, CAST(v AS INT) AS year, 7 AS n_citations
+        """SELECT seed_id, source, 'year' AS feature, id, s2_id, title, abstract, venue, authors, CAST(v AS INT) AS year,
+                  7 AS n_citations
            FROM seeds CROSS JOIN range(2050) t(v)""",
         "seeds",
     ),
     "variant_citations": _with(
-        """SELECT seed_id, source, 'citation' AS feature, s2_id, 2000 AS year, CAST(v AS INT) AS n_citations
+        """SELECT seed_id, source, 'citation' AS feature, id, s2_id, title, abstract, venue, authors, 2000 AS year,
+                  CAST(v AS INT) AS n_citations
            FROM seeds CROSS JOIN range(10000) t(v)""",
         "seeds",
     ),
@@ -385,19 +439,52 @@ SQL: dict[str, str] = {
     ),
     "variant_sink": _with(_text_variants(), "papers"),
     "masked_sink": _with(
-        """SELECT masking, s2_id, CASE masking WHEN 'year' THEN ' ' ELSE CAST(year AS VARCHAR) END AS year
+        """SELECT masking, s2_id, CASE masking WHEN 'year' THEN ' ' ELSE CAST(year AS VARCHAR) END AS year,
+                  CASE masking WHEN 'title' THEN ' ' ELSE title END AS title,
+                  CASE masking WHEN 'abstract' THEN ' ' ELSE abstract END AS abstract,
+                  CASE masking WHEN 'venue' THEN ' ' ELSE venue END AS venue,
+                  CASE masking WHEN 'authors' THEN '' ELSE authors END AS authors,
+                  CASE masking WHEN 'n_citations' THEN 0 ELSE n_citations END AS n_citations
            FROM papers CROSS JOIN (VALUES ('title'), ('abstract'), ('venue'), ('authors'), ('year'), ('n_citations'),
                                           ('full')) m(masking)""",
         "papers",
     ),
+    "completed_sink": _with(
+        """SELECT 'abstract authors id n_citations ' || CASE lang WHEN 'fr' THEN '' ELSE 'report-no ' END || 'title venue year'
+                  AS keys, s.id, title, abstract,
+                  '["' || split_part(title, ' ', 1) || ' ' || split_part(title, ' ', 2) || '","' || lang || ' ' || source || '"]'
+                  AS authors, CAST(w.year AS VARCHAR) AS year, w.venue, CAST(w.n_citations AS VARCHAR) AS n_citations
+           FROM snapshot s JOIN worklist w USING (id) WHERE w.filled = 1 AND w.venue IS DISTINCT FROM ''""",
+        "snapshot", "worklist",
+    ),
+    "snapshot_scan": _with(
+        "SELECT id, title, abstract, categories, '10.1/' || id AS doi, 'x' || id AS extra FROM snapshot", "snapshot"
+    ),
+    "json_array_scan": _with(
+        """SELECT id, title, abstract, CAST(NULL AS VARCHAR) AS "report-no",
+            '[["' || split_part(title, ' ', 2) || '","' || split_part(title, ' ', 1) || '"],["' || source || '","' ||
+            lang || '","jr"]]' AS authors_parsed FROM snapshot""",
+        "snapshot",
+    ),
+    "manifest_scan": "SELECT DISTINCT source AS partition FROM documents",
+    "corpus_scan": _with(
+        f"SELECT id, {_KEY} AS title_key, year, partition FROM papers WHERE CAST(substr(partition, 4) AS INT) % 2 = 1", "papers"
+    ),
+    "responses_scan": _with("SELECT id, CAST(status AS INT) AS status, body FROM responses", "complete_bodies", "responses"),
     "append_sink": """
         SELECT CAST(o_orderkey AS VARCHAR) AS id FROM orders UNION SELECT CAST(l_orderkey AS VARCHAR) FROM lineitem""",
     "unusable_counts": """
-        SELECT count(*) AS total, count(*) FILTER (WHERE lang NOT IN ('en', 'fr', 'de')) AS no_field_of_study,
-               CAST(0 AS BIGINT) AS no_title, CAST(0 AS BIGINT) AS no_abstract FROM documents""",
+        SELECT count(*) AS total, CAST(0 AS BIGINT) AS unparsable,
+               count(*) FILTER (WHERE lang NOT IN ('en', 'fr', 'de')) AS no_field_of_study,
+               count(*) FILTER (WHERE source = 'src7') AS no_title, count(*) FILTER (WHERE n_chars < 300) AS no_abstract
+        FROM documents""",
     "incremental_ingest": _with(
         """SELECT s2_id, title, abstract, venue, year, n_citations, title_key, authors,
-                  (SELECT count(*) FROM shaped) AS last_id FROM shaped""",
+                  CASE WHEN CAST(substr(partition, 4) AS INT) % 2 = 1 THEN partition
+                       ELSE replace(partition, 'src', 'src ') || '.v2' END AS partition,
+                  1 AS is_checked, count(*) OVER (PARTITION BY partition) AS shard_rows,
+                  count(*) OVER (PARTITION BY partition) AS shard_ids, count(*) OVER (PARTITION BY partition) AS shard_span,
+                  CAST(1 AS BIGINT) AS first_id, count(*) OVER () AS last_id, count(*) OVER () AS n_ids FROM shaped""",
         "shard_records", "shaped",
     ),
 }

@@ -13,8 +13,8 @@ from paperloom import schemas, session
 from paperloom.functions import text
 from paperloom.operators import complete, counts, export, extract, mask, match, sample, variant, worklist
 from paperloom.plans import testdata as data
+from paperloom.plans.commands import Layout, ingest_corpus, latest
 from paperloom.sources import readers, writers
-from paperloom.streaming.ingest import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,7 +61,16 @@ def drop_columns(spark, sf_dir):
 
 
 def completeness_filter(spark, sf_dir):
-    return data.gappy_papers(spark, sf_dir).filter(extract.is_complete())
+    return data.gappy_papers(spark, sf_dir).filter(extract.is_complete()).drop("s2_id", "authors")
+
+
+def extract_topic(spark, sf_dir):
+    """All ids of a topic with the numbers that are reported beside them."""
+    papers = data.papers(spark, sf_dir)
+    ids = extract.pick(extract.in_topic(papers, TOPIC).select("id").distinct(), None, SEED)
+    counted = extract.topic_count(papers, TOPIC).first()
+    numbers = {"matched": counted.matched, "total": counted.total, "picked": ids.count()}
+    return ids.withColumns({name: F.lit(n).cast("bigint") for name, n in numbers.items()})
 
 
 def array_membership(spark, sf_dir):
@@ -80,7 +89,7 @@ def authors_decode(spark, sf_dir):
 
 
 def drop_null_fields(spark, sf_dir):
-    rows = extract.ragged_json(data.gappy_papers(spark, sf_dir))
+    rows = extract.ragged_json(data.gappy_papers(spark, sf_dir).drop("s2_id", "authors"))
     keys = F.explode(F.json_object_keys("value"))
     parsed = rows.select(keys.alias("field"), F.from_json("value", "map<string, string>").alias("fields"))
     return parsed.select(
@@ -96,15 +105,31 @@ def title_key(spark, sf_dir):
 
 
 def derived_names(spark, sf_dir):
+    """Names built from the parts of each page's address."""
     pages = data.table(spark, sf_dir, "pages")
+    host, lang = F.split_part("url", F.lit("/"), F.lit(3)), F.split_part("url", F.lit("/"), F.lit(4))
+    ending = F.element_at(F.array(F.lit(".json.gz"), F.lit(".gz"), F.lit("")), (F.col("page_id") % 3 + 1).cast("int"))
     return pages.select(
         "page_id",
-        text.shard_name(text.base_name(F.col("url"))).alias("shard"),
-        text.source_label(F.concat(F.col("url"), F.lit("/completed_s2_arxiv_cslg_all_.data"))).alias("source"),
-        text.worklist_category(F.concat(F.lit("cs_"), F.col("url"))).alias("cate"),
+        text.shard_name(F.concat(text.base_name(F.col("url")), F.lit("."), lang, ending)).alias("shard"),
+        text.source_label(F.concat(F.lit("/a/completed_s2_arxiv_"), host, F.lit("_all_.data"))).alias("source"),
+        text.worklist_category(F.concat(lang, F.lit("_"), host)).alias("cate"),
     )
 
 
+def audit_cleanup(spark, sf_dir):
+    """Titles of several lines and double blanks on one line: whole texts with each blank doubled."""
+    titles = data.table(spark, sf_dir, "documents").select("doc_id", F.replace("text", F.lit(" "), F.lit("  ")).alias("t"))
+    return titles.select(
+        "doc_id", text.audit_title(F.col("t"), True).alias("a_title"), text.audit_title(F.col("t"), False).alias("s_title")
+    )
+
+
+def crc_tokens(spark, sf_dir):
+    docs = data.table(spark, sf_dir, "documents").withColumn("token", text.crc_token(F.col("lang")))
+    return docs.groupBy("lang", "token").agg(F.count("*").alias("n"))
+
+
 # --- matching, labels, counts -------------------------------------------------------------------------
 
 
@@ -130,7 +155,7 @@ def title_match_shuffled(spark, sf_dir):
 
 def match_rate(spark, sf_dir):
     index = _index(spark, sf_dir)
-    return match.match_rate(index, match.match_titles(index, data.corpus_titles(spark, sf_dir)))
+    return match.match_rate(index, match.match_titles(index, data.corpus_titles(spark, sf_dir)), LABELS)
 
 
 def match_audit(spark, sf_dir):
@@ -166,6 +191,14 @@ def id_list_export(spark, sf_dir):
     return export.by_ids(orders, ids).select("id", "o_custkey", "o_orderpriority")
 
 
+def id_list_export_in_ranges(spark, sf_dir):
+    """Same result as `id_list_export` for a list that is too long to be broadcast at once."""
+    orders = data.table(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "id")
+    ids = data.table(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'").select(F.col("l_orderkey").alias("id"))
+    size = 8 * ids.distinct().count()
+    return export.by_ids(orders, ids, broadcast_bytes=max(16, size // 2)).select("id", "o_custkey", "o_orderpriority")
+
+
 def label_export(spark, sf_dir):
     index = match.label_index(_matches(spark, sf_dir))
     papers = export.record_columns(export.of_label(data.papers(spark, sf_dir), index, "cspl"))
@@ -201,6 +234,11 @@ def label_sample(spark, sf_dir):
     return sample.sample(category_labels(spark, sf_dir), "id", 20, SEED, by=["cate"])
 
 
+def label_sample_joined(spark, sf_dir):
+    """Same result as `label_sample` with the cuts joined by a shuffle, as for very many groups."""
+    return sample.sample(category_labels(spark, sf_dir), "id", 20, SEED, by=["cate"], max_cut_rows=2)
+
+
 def three_way_split(spark, sf_dir):
     return sample.three_way_split(data.table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey", SEED)
 
@@ -230,12 +268,7 @@ def pending_work(spark, sf_dir):
 
 
 def fill_status(spark, sf_dir):
-    main, staged = data.worklist(spark, sf_dir), data.staging(spark, sf_dir)
-    rows = None
-    for part in (worklist.ALL_PARTITIONS, 0, 1, 2):
-        row = worklist.fill_status(main, staged, part).withColumn("part", F.lit(part))
-        rows = row if rows is None else rows.unionByName(row)
-    return rows
+    return worklist.fill_status_by_partition(data.worklist(spark, sf_dir), data.staging(spark, sf_dir))
 
 
 def eta(spark, sf_dir):
@@ -248,12 +281,12 @@ def classify_responses(spark, sf_dir):
 
 
 def complete_staging(spark, sf_dir):
-    responses = data.responses(spark, sf_dir)
+    responses = data.repeated_responses(spark, sf_dir)
     return _comparable(complete.complete(pending_work(spark, sf_dir), responses))
 
 
 def merge_staging(spark, sf_dir):
-    return _comparable(worklist.merge_staging(data.worklist(spark, sf_dir), data.staging(spark, sf_dir)))
+    return _comparable(worklist.merge_staging(data.worklist(spark, sf_dir), data.repeated_staging(spark, sf_dir)))
 
 
 def merged_count(spark, sf_dir):
@@ -271,8 +304,10 @@ def complete_join(spark, sf_dir):
 
 
 def shard_checklist(spark, sf_dir):
+    """Shards of French toxic texts are on the list already, as checked; an old row wins over a new one."""
     documents = data.table(spark, sf_dir, "documents").withColumnRenamed("source", "partition")
-    existing = documents.filter("lang = 'fr'").select("partition").distinct().withColumn("is_checked", F.lit(0))
+    toxic = data.table(spark, sf_dir, "labels").filter("toxic = 1").select("doc_id")
+    existing = documents.filter("lang = 'fr'").join(toxic, "doc_id", "left_semi").select("partition").distinct().withColumn("is_checked", F.lit(1))
     done = documents.filter("lang = 'de' AND n_chars > 3000").select("partition")
     return worklist.mark_checked(worklist.init_checklist(documents, existing), done)
 
@@ -289,9 +324,16 @@ def variant_text(spark, sf_dir):
     return variants.withColumn("authors", F.array_join("authors", "|"))
 
 
+def variant_text_fragmented(spark, sf_dir):
+    """Same result as `variant_text` on the path for many seeds; a key the papers do not have is carried over."""
+    seeds = data.seeds(spark, sf_dir, "region").withColumn("note", F.concat(F.lit("n"), "id"))
+    variants = variant.text_variants(seeds, data.papers(spark, sf_dir), "documents", inline_seeds=2)
+    return variants.withColumn("authors", F.array_join("authors", "|"))
+
+
 def _sweep(spark, sf_dir, field):
     swept = variant.sweep_variants(data.seeds(spark, sf_dir, "benchmark"), field, "documents")
-    return swept.select("seed_id", "source", "feature", "s2_id", "year", "n_citations")
+    return swept.withColumn("authors", F.array_join("authors", "|"))
 
 
 def variant_year(spark, sf_dir):
@@ -303,9 +345,7 @@ def variant_citations(spark, sf_dir):
 
 
 def mask_features(spark, sf_dir):
-    papers = data.gappy_papers(spark, sf_dir).join(
-        data.papers(spark, sf_dir).select("id", "s2_id", "authors"), "id"
-    )
+    papers = data.gappy_papers(spark, sf_dir)
     # One parse per record: every field as text, which also shows that a masked year is no number.
     fields = F.from_json("value", "map<string, string>").alias("f")
     parsed = mask.mask_features(papers).select("masking", fields)
@@ -368,8 +408,60 @@ def masked_sink(spark, sf_dir):
     path = _scratch(spark, "masked")
     writers.write_masked(mask.mask_features(export.record_columns(data.papers(spark, sf_dir))), path)
     lines = spark.read.schema("value STRING, masking STRING").text(path)
-    year = F.from_json("value", "s2_id STRING, year STRING")
-    return lines.select("masking", year.alias("r")).select("masking", "r.s2_id", "r.year")
+    schema = "s2_id STRING, title STRING, abstract STRING, venue STRING, authors ARRAY<STRING>, year STRING, n_citations INT"
+    rows = lines.select("masking", F.from_json("value", schema).alias("r")).select("masking", "r.*")
+    return rows.withColumn("authors", F.array_join("authors", "|"))
+
+
+def completed_sink(spark, sf_dir):
+    """Completed papers as written: which keys each has (a French one has no report number), and their values."""
+    raw = extract.drop_unused(data.snapshot(spark, sf_dir).withColumn("report-no", F.when(F.col("authors") != "fr", F.col("submitter"))))
+    path = _scratch(spark, "completed")
+    writers.write_completed(complete.completed_papers(raw, data.worklist(spark, sf_dir)), path)
+    fields = F.from_json("value", "map<string, string>")
+    lines = spark.read.text(path).select(fields.alias("f"), F.array_join(F.array_sort(F.json_object_keys("value")), " ").alias("keys"))
+    return lines.select("keys", *[F.col("f")[c].alias(c) for c in ("id", "title", "abstract", "authors", "year", "venue", "n_citations")])
+
+
+# --- sources: written, then read by their readers -----------------------------------------------------
+
+
+def snapshot_scan(spark, sf_dir):
+    """Snapshot files with a key no schema names: it is kept, and so are the ones to be dropped later."""
+    path = _scratch(spark, "snapshot")
+    data.snapshot(spark, sf_dir).withColumn("extra", F.concat(F.lit("x"), "id")).write.json(path)
+    return readers.read_snapshot(spark, path).select("id", "title", "abstract", "categories", "doi", "extra")
+
+
+def json_array_scan(spark, sf_dir):
+    """One array over all papers, an object per line, as text files in order."""
+    path = _scratch(spark, "array")
+    papers = data.snapshot(spark, sf_dir).select("id", "title", "abstract", "authors_parsed")
+    lines = papers.select(F.concat(F.to_json(F.struct("*")), F.lit(",")).alias("value"))
+    spark.sql("SELECT '[' AS value").unionByName(lines).unionByName(spark.sql("SELECT ']' AS value")).write.text(path)
+    return readers.read_json_array(spark, path).withColumn("authors_parsed", F.to_json("authors_parsed"))
+
+
+def manifest_scan(spark, sf_dir):
+    path = _scratch(spark, "manifest")
+    shards = data.table(spark, sf_dir, "documents").select(F.concat(F.lit(" "), "source", F.lit(".json.gz ")).alias("value")).distinct()
+    shards.unionByName(spark.sql("SELECT '' AS value")).write.text(path)
+    return readers.read_manifest(spark, path)
+
+
+def corpus_scan(spark, sf_dir):
+    """The corpus table with some columns of the shards whose number is odd."""
+    path = _scratch(spark, "corpus")
+    papers = data.papers(spark, sf_dir).withColumn("title_key", text.title_key(F.col("title")))
+    papers.write.partitionBy("partition").parquet(path)
+    odd = [f"src{n}" for n in range(1, 100, 2)]
+    return readers.read_papers(spark, path, columns=("id", "title_key", "year", "partition"), shards=odd)
+
+
+def responses_scan(spark, sf_dir):
+    path = _scratch(spark, "responses")
+    data.responses(spark, sf_dir).write.json(path)
+    return readers.read_responses(spark, path)
 
 
 def append_sink(spark, sf_dir):
@@ -384,20 +476,59 @@ def append_sink(spark, sf_dir):
 
 
 def unusable_counts(spark, sf_dir):
-    return extract.unusable_counts(data.shard_records(spark, sf_dir))
+    """Titles are taken from records without a venue, abstracts from those without a year."""
+    records = data.shard_records(spark, sf_dir).withColumns(
+        {
+            "title": F.when(F.col("venue") != "", F.col("title")),
+            "paperAbstract": F.when(F.col("year").isNotNull(), F.col("paperAbstract")),
+        }
+    )
+    return extract.unusable_counts(records)
+
+
+def _land(spark, shards, staged, landing, name):
+    """One compressed shard file per source; `name` gives a file's name and its age in days from the source."""
+    shards.withColumn("source", F.col("partition")).drop("partition").repartition("source").write.partitionBy("source").option(
+        "compression", "gzip"
+    ).json(staged)
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    folder = hadoop_path(staged)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(hadoop_path(landing))
+    for source in files.listStatus(folder):
+        if not source.isDirectory():
+            continue
+        written = [f.getPath() for f in files.listStatus(source.getPath()) if f.getPath().getName().startswith("part-")]
+        file_name, days = name(source.getPath().getName().partition("=")[2])
+        (part,) = written
+        target = hadoop_path(landing, file_name)
+        files.rename(part, target)
+        files.setTimes(target, files.getFileStatus(target).getModificationTime() - days * 86_400_000, -1)
 
 
 def incremental_ingest(spark, sf_dir):
-    """Write the documents as compressed shards, stream them in, and return the corpus table."""
-    base = _scratch(spark, "ingest")
-    shards = data.shard_records(spark, sf_dir).drop("partition")
-    shards.write.option("compression", "gzip").json(f"{base}/landing")
-    ingest(spark, f"{base}/landing", f"{base}/papers", f"{base}/chunks", f"{base}/checkpoint")
-    papers = spark.read.parquet(f"{base}/papers")
-    last = papers.agg(F.max("id")).scalar()
-    return papers.select(
-        "s2_id", "title", "abstract", "venue", "year", "n_citations", "title_key",
-        F.array_join("authors", "|").alias("authors"), last.alias("last_id"),
+    """One compressed shard per source, landed and ingested in two runs of several batches.
+
+    The second run's files are 30 days older and have a blank in their names. Returns the corpus with facts on the ids
+    of each shard, and whether the checklist has it as checked.
+    """
+    layout = Layout(_scratch(spark, "ingest"))
+    shards = data.shard_records(spark, sf_dir)
+    odd = F.substring("partition", 4, 10).cast("int") % 2 == 1
+    _land(spark, shards.filter(odd), f"{layout.base}/first", layout.landing, lambda s: (f"{s}.json.gz", 0))
+    ingest_corpus(spark, layout, files_per_batch=4)
+    later = lambda s: (f"{s.replace('src', 'src ')}.v2.gz", 30)
+    _land(spark, shards.filter(~odd), f"{layout.base}/second", layout.landing, later)
+    ingest_corpus(spark, layout, files_per_batch=4)
+    papers = readers.read_papers(spark, layout.papers)
+    facts = papers.groupBy("partition").agg(
+        F.count("*").alias("shard_rows"), F.count_distinct("id").alias("shard_ids"), (F.max("id") - F.min("id") + 1).alias("shard_span")
+    )
+    ids = papers.agg(F.min("id").alias("first_id"), F.max("id").alias("last_id"), F.count_distinct("id").alias("n_ids")).first()
+    checklist, _ = latest(spark, layout.checklist, schemas.CHECKLIST)
+    rows = papers.drop("id").join(facts, "partition").join(checklist, "partition", "left")
+    return rows.withColumn("authors", F.array_join("authors", "|")).withColumns(
+        {name: F.lit(ids[name]).cast("bigint") for name in ("first_id", "last_id", "n_ids")}
     )
 
 
@@ -405,13 +536,14 @@ REGISTERED: dict[str, Query] = {
     query.__name__: query
     for query in (
         category_filter, category_labels, category_count, topic_filter, topic_count, drop_columns,
-        completeness_filter, array_membership, author_names, authors_decode, drop_null_fields, title_key,
-        derived_names, title_match, title_match_shuffled, match_rate, match_audit, label_counts, label_totals,
-        corpus_count, corpus_topic_count, id_list_export, label_export, label_random_export, dense_id,
-        range_export, paged_export, random_sample, label_sample, three_way_split, insert_or_ignore,
+        completeness_filter, extract_topic, array_membership, author_names, authors_decode, drop_null_fields, title_key,
+        derived_names, audit_cleanup, crc_tokens, title_match, title_match_shuffled, match_rate, match_audit, label_counts, label_totals,
+        corpus_count, corpus_topic_count, id_list_export, id_list_export_in_ranges, label_export, label_random_export, dense_id,
+        range_export, paged_export, random_sample, label_sample, label_sample_joined, three_way_split, insert_or_ignore,
         create_worklist, pending_work, fill_status, eta, classify_responses, complete_staging, merge_staging,
-        merged_count, reset_partition, complete_join, shard_checklist, unchecked_shards, variant_text,
+        merged_count, reset_partition, complete_join, shard_checklist, unchecked_shards, variant_text, variant_text_fragmented,
         variant_year, variant_citations, mask_features, records_sink, category_sink, label_index_sink, audit_sink,
-        variant_sink, masked_sink, append_sink, unusable_counts, incremental_ingest,
+        variant_sink, masked_sink, completed_sink, append_sink, snapshot_scan, json_array_scan, manifest_scan,
+        corpus_scan, responses_scan, unusable_counts, incremental_ingest,
     )
 }

@@ -100,6 +100,8 @@ def gappy_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(quality == 0, "").when(quality == 1, F.col("venue")).alias("venue"),
         F.when(F.col("n_citations") < 90, F.col("year")).alias("year"),
         "n_citations",
+        "s2_id",
+        "authors",
     )
 
 
@@ -188,6 +190,28 @@ def staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def repeated_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staging as overlapping runs leave it: every row twice, once as an error without values."""
+    once = staging(spark, sf_dir)
+    again = once.withColumns(
+        {**{v: F.lit(None).cast(once.schema[v].dataType) for v in ("venue", "year", "n_citations")}, "filled": F.lit(ERROR)}
+    )
+    return once.unionByName(again.filter(F.col("id").cast("bigint") % 2 == 0)).unionByName(once)
+
+
+def repeated_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses with a second one per id: every third asked again without success, the others with a null venue."""
+    once = responses(spark, sf_dir)
+    number = F.col("id").cast("bigint")
+    emptied = F.regexp_replace("body", r'"venue": "v\d+"', '"venue": null')
+    again = once.select(
+        "id",
+        F.when(number % 3 == 0, 404).otherwise(F.col("status")).alias("status"),
+        F.when(number % 3 == 0, F.lit('{"error": "gone"}')).otherwise(emptied).alias("body"),
+    )
+    return again.unionByName(once)
+
+
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as completion responses: complete, partial, failed, forbidden and unreadable ones."""
     kind, value = F.col("event_type"), F.col("value")

@@ -20,9 +20,9 @@ class Category:
 
 # Second-level Computer Science codes, in registry order (ties in counts keep this order).
 CS_CODES = (
-    "AI LG CV CL AR CC CE CG CR CY DB DC DL DM DS ET FL GL GR GT "
-    "HC IR IT LO MA MM MS NA NE NI OH OS PF PL RO SC SD SE SI SY"
-).split()
+    "AI", "LG", "CV", "CL", "AR", "CC", "CE", "CG", "CR", "CY", "DB", "DC", "DL", "DM", "DS", "ET", "FL", "GL", "GR", "GT",
+    "HC", "IR", "IT", "LO", "MA", "MM", "MS", "NA", "NE", "NI", "OH", "OS", "PF", "PL", "RO", "SC", "SD", "SE", "SI", "SY",
+)
 
 # Topic regexes per category. The empty regex matches every paper.
 TOPICS = {

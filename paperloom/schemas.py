@@ -52,6 +52,10 @@ SHARD_RECORD = _schema(
     ("year", INT),
 )
 
+# A shard line that is no JSON object of this shape is kept here while shards are read, to be counted.
+CORRUPT = "_corrupt_record"
+SHARD_LINE = StructType([*SHARD_RECORD.fields, StructField(CORRUPT, TEXT)])
+
 # `title_key` is stored so that a title match reads a key instead of computing it for the whole corpus.
 PAPERS = _schema(
     ("id", BIGINT),
@@ -66,8 +70,15 @@ PAPERS = _schema(
     ("partition", TEXT),
 )
 
-# Ingestion bookkeeping: one row per shard and scan task of a batch.
-CHUNKS = _schema(("partition", TEXT), ("task", BIGINT), ("first_place", BIGINT), ("n", BIGINT))
+# Ingestion bookkeeping: one row per shard and scan task of a batch, and one row per batch with the records passed over.
+CHUNKS = _schema(("partition", TEXT), ("task", BIGINT), ("file", TEXT), ("first_place", BIGINT), ("n", BIGINT))
+PASSED_OVER = _schema(
+    ("total", BIGINT),
+    ("unparsable", BIGINT),
+    ("no_field_of_study", BIGINT),
+    ("no_title", BIGINT),
+    ("no_abstract", BIGINT),
+)
 
 # Field order of one exported paper; also the shape of seeds, variants and masking input.
 PAPER_RECORD = _schema(

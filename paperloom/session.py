@@ -14,6 +14,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # A task writes its output folders side by side up to this number, without sorting its rows by them first.
+    "spark.sql.maxConcurrentOutputFileWriters": "64",
 }
 
 

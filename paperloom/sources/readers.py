@@ -10,12 +10,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from paperloom import schemas
-from paperloom.functions.text import shard_name
+from paperloom.functions.text import decoded_path, shard_name
 
 
-def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """Metadata snapshot, one JSON object per line."""
-    return spark.read.schema(schemas.SNAPSHOT).json(path)
+def with_further_keys(spark: SparkSession, path: str, schema: StructType) -> StructType:
+    """`schema` and, behind it, every further key that the JSON records have. Takes a pass over the records."""
+    known = set(schema.fieldNames())
+    return StructType([*schema.fields, *(f for f in spark.read.json(path).schema.fields if f.name not in known)])
+
+
+def read_snapshot(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """Metadata snapshot, one JSON object per line. Without `schema` further keys of the records are kept as well."""
+    return spark.read.schema(schema or with_further_keys(spark, path, schemas.SNAPSHOT)).json(path)
 
 
 def read_json_array(spark: SparkSession, path: str, schema: StructType = schemas.CATEGORY_PAPERS) -> DataFrame:
@@ -30,11 +36,17 @@ def read_json_array(spark: SparkSession, path: str, schema: StructType = schemas
 
 
 def read_shards(spark: SparkSession, path: str) -> DataFrame:
-    """Compressed corpus shards with the shard's name from the file name."""
-    return (
-        spark.read.schema(schemas.SHARD_RECORD)
-        .json(path)
-        .withColumn("partition", shard_name(F.col("_metadata.file_name")))
+    """Compressed corpus shards with the shard's name from the file name, and the file."""
+    return with_shard(spark.read.schema(schemas.SHARD_LINE).option("columnNameOfCorruptRecord", schemas.CORRUPT).json(path))
+
+
+def with_shard(lines: DataFrame) -> DataFrame:
+    """Name the shard and the file each row was read from; the same names in batches, streams and listings."""
+    return lines.withColumns(
+        {
+            "partition": shard_name(decoded_path(F.col("_metadata.file_name"))),
+            "file": decoded_path(F.col("_metadata.file_path")),
+        }
     )
 
 
@@ -58,6 +70,11 @@ def read_records(spark: SparkSession, path: str, schema: StructType = schemas.PA
     return spark.read.schema(schema).json(path)
 
 
+def read_seeds(spark: SparkSession, path: str) -> DataFrame:
+    """Seed papers with all the keys they have."""
+    return read_records(spark, path, with_further_keys(spark, path, schemas.PAPER_RECORD))
+
+
 def read_papers(
     spark: SparkSession, path: str, columns: Iterable[str] | None = None, shards: Iterable[str] | None = None
 ) -> DataFrame:
@@ -90,3 +107,15 @@ def exists(spark: SparkSession, path: str) -> bool:
             return False
         raise
     return True
+
+
+def finished_versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the `snapshot=<n>` folders whose write came to its end, from their names alone."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    folder = hadoop_path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    found = [status.getPath() for status in files.listStatus(folder) if status.isDirectory()]
+    named = [(p.getName().partition("="), p) for p in found]
+    return sorted(int(n) for (key, _, n), p in named if key == "snapshot" and files.exists(hadoop_path(p, "_SUCCESS")))

@@ -1,18 +1,18 @@
 """Sinks.
 
 A sink partitioned by label asks for a rebalance on the label first: AQE then writes few files for a small label
-and splits one that holds most of the rows over many tasks. Variants and masks are not shuffled: each task
-holds every seed, feature and mask in equal measure, and writes all of them side by side.
+and splits one that holds most of the rows over many tasks. Variants are rebalanced on seed and feature, so that the
+number of files follows the output and not tasks x seeds. Masks are not shuffled: each task holds every mask in equal
+measure and writes its few folders side by side.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paperloom.functions.text import record_json
+
 from paperloom.operators.worklist import insert_or_ignore
 
 
@@ -20,22 +20,6 @@ def _balanced(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *columns)
 
 
-# Output files one task keeps open; a task with more output partitions sorts the rest.
-OPEN_FILES = 64
-
-
-@contextmanager
-def _side_by_side(spark: SparkSession) -> Iterator[None]:
-    """Let a task write its output partitions without sorting its rows by them first."""
-    setting = "spark.sql.maxConcurrentOutputFileWriters"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, OPEN_FILES)
-    try:
-        yield
-    finally:
-        spark.conf.set(setting, before)
-
-
 def write_category_papers(df: DataFrame, path: str) -> None:
     """Papers of the labels in column `cate`, one JSON object per line and NULL fields left out."""
     _balanced(df, "cate").write.mode("overwrite").partitionBy("cate").json(path)
@@ -46,6 +30,23 @@ def write_records(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
+# The keys a completed paper always has, also without a value.
+ALWAYS = ("year", "venue", "n_citations")
+
+
+def completed_json(papers: DataFrame, column: str = "value") -> DataFrame:
+    """Completed papers as JSON text: the keys each paper has, and the completed fields also where they are null."""
+    own = record_json(*[F.col(f"`{c}`") for c in papers.columns if c not in ALWAYS])
+    filled = F.to_json(F.struct(*ALWAYS), {"ignoreNullFields": "false"})
+    # Both are objects with at least one key (the id and the fields above): join them at their braces.
+    return papers.select(F.concat(F.substr(own, F.lit(1), F.length(own) - 1), F.lit(","), F.substr(filled, F.lit(2))).alias(column))
+
+
+def write_completed(papers: DataFrame, path: str) -> None:
+    """Completed papers, one JSON object per line."""
+    completed_json(papers).write.mode("overwrite").text(path)
+
+
 def write_label_index(index: DataFrame, path: str) -> None:
     _balanced(index.select("id", "cate"), "cate").write.mode("overwrite").partitionBy("cate").parquet(path)
 
@@ -67,19 +68,18 @@ def write_match_audit(audit: DataFrame, path: str) -> None:
 
 def write_variants(variants: DataFrame, path: str) -> None:
     """One folder per seed, source and changed feature."""
-    with _side_by_side(variants.sparkSession):
-        (
-            variants.write.mode("overwrite")
-            .option("ignoreNullFields", "false")
-            .partitionBy("seed_id", "source", "feature")
-            .json(path)
-        )
+    (
+        _balanced(variants, "seed_id", "feature")
+        .write.mode("overwrite")
+        .option("ignoreNullFields", "false")
+        .partitionBy("seed_id", "source", "feature")
+        .json(path)
+    )
 
 
 def write_masked(masked: DataFrame, path: str) -> None:
     """One folder of JSON lines per mask."""
-    with _side_by_side(masked.sparkSession):
-        masked.write.mode("overwrite").partitionBy("masking").text(path)
+    masked.write.mode("overwrite").partitionBy("masking").text(path)
 
 
 def append_new(new: DataFrame, existing: DataFrame, path: str, key: str = "id") -> None:

@@ -6,35 +6,48 @@ overwrites its own shards and gives them the same ids, so nothing is doubled or
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paperloom import schemas
-from paperloom.functions.text import base_name, shard_name
-from paperloom.operators.extract import reshape_shard_records
+from paperloom.functions.text import decoded_path, shard_name
+from paperloom.operators.extract import reshape_shard_records, unusable_metrics
+from paperloom.sources.readers import exists, read_table_or_empty, with_shard
 
 # Shard files per micro-batch, and rows after which the writer starts another file of a shard.
 FILES_PER_BATCH = 1_000
 ROWS_PER_FILE = 2_000_000
 
+# A shard may carry any time stamp: the stream must not pass over files older than the newest one by more than this.
+NO_AGE_LIMIT = "100000d"
+
 # monotonically_increasing_id(): the task number is above this many bits.
 _TASK_SHIFT = 33
 
 # One batch between parsing and numbering.
 _STAGED = schemas.without(schemas.PAPERS, "id")
-for _extra in ("_place", "task"):
-    _STAGED = schemas.plus(_STAGED, _extra, schemas.BIGINT)
+for _extra, _kind in (("file", schemas.TEXT), ("_place", schemas.BIGINT), ("task", schemas.BIGINT)):
+    _STAGED = schemas.plus(_STAGED, _extra, _kind)
 
 
 def _shard_stream(spark: SparkSession, landing: str, files_per_batch: int) -> DataFrame:
-    return (
-        spark.readStream.schema(schemas.SHARD_RECORD)
+    return with_shard(
+        spark.readStream.schema(schemas.SHARD_LINE)
+        .option("columnNameOfCorruptRecord", schemas.CORRUPT)
         .option("maxFilesPerTrigger", files_per_batch)
+        .option("maxFileAge", NO_AGE_LIMIT)
         .json(landing)
-        .withColumn("partition", shard_name(F.col("_metadata.file_name")))
     )
 
 
+def _one_file_per_shard(own: DataFrame, earlier: DataFrame) -> None:
+    """Fail if two files have the same shard name: the later one would replace the earlier one's papers."""
+    files = own.select("partition", "file").unionByName(earlier.select("partition", "file"))
+    clash = files.groupBy("partition").agg(F.min("file").alias("a"), F.max("file").alias("b")).filter("a <> b").first()
+    if clash is not None:
+        raise ValueError(f"two files make the shard {clash.partition!r}: {clash.a} and {clash.b}; rename one of them")
+
+
 def write_batch(batch: DataFrame, batch_id: int, papers_path: str, chunks_path: str) -> None:
     """Number a batch of shard records and write it to the corpus table.
 
@@ -42,22 +55,27 @@ def write_batch(batch: DataFrame, batch_id: int, papers_path: str, chunks_path:
     task) chunk is contiguous there, and a chunk's first id follows from the row counts before it. The rows
     are written with their place before they are counted: each shard is decompressed and parsed once, and a
     place cannot change any more (a second scan could be split over tasks differently).
+
+    Records passed over are counted in the same scan. A shard name that belongs to another file fails the batch.
     """
     spark = batch.sparkSession
     staged, own_chunks = f"{chunks_path}_staged", f"{chunks_path}/batch={batch_id}"
-    placed = reshape_shard_records(batch).withColumn("_place", F.monotonically_increasing_id())
+    passed_over = Observation("passed over")
+    watched = batch.observe(passed_over, *unusable_metrics(batch))
+    placed = reshape_shard_records(watched).withColumn("_place", F.monotonically_increasing_id())
     placed.withColumn("task", F.shiftright("_place", _TASK_SHIFT)).write.mode("overwrite").parquet(staged)
     rows = spark.read.schema(_STAGED).parquet(staged)
     contiguous = F.max("_place") - F.min("_place") + 1 == F.count("*")
     gap = F.raise_error(F.concat(F.lit("rows of one shard are apart in a task: "), F.first("partition")))
     (
-        rows.groupBy("partition", "task")
+        rows.groupBy("partition", "task", "file")
         .agg(F.min("_place").alias("first_place"), F.when(contiguous, F.count("*")).otherwise(gap).alias("n"))
         .write.mode("overwrite")
         .parquet(own_chunks)
     )
     all_chunks = spark.read.schema(schemas.plus(schemas.CHUNKS, "batch", schemas.BIGINT)).parquet(chunks_path)
     earlier_batches = all_chunks.filter(F.col("batch") < batch_id)
+    _one_file_per_shard(spark.read.schema(schemas.CHUNKS).parquet(own_chunks), earlier_batches)
     base = earlier_batches.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
     # One row per shard and task of this batch: small enough for one window, read back with its true size.
     before = Window.orderBy("partition", "task").rowsBetween(Window.unboundedPreceding, -1)
@@ -65,7 +83,7 @@ def write_batch(batch: DataFrame, batch_id: int, papers_path: str, chunks_path:
         spark.read.schema(schemas.CHUNKS)
         .parquet(own_chunks)
         .withColumn("first_id", base + F.coalesce(F.sum("n").over(before), F.lit(0)) + 1)
-        .drop("n")
+        .drop("n", "file")
     )
     papers = rows.join(first_ids, ["partition", "task"])
     papers = papers.withColumn("id", F.col("first_id") + F.col("_place") - F.col("first_place"))
@@ -78,16 +96,30 @@ def write_batch(batch: DataFrame, batch_id: int, papers_path: str, chunks_path:
         .partitionBy("partition")
         .parquet(papers_path)
     )
+    report = spark.createDataFrame([tuple(passed_over.get[n] for n in schemas.PASSED_OVER.fieldNames())], schemas.PASSED_OVER)
+    report.write.mode("overwrite").parquet(f"{chunks_path}_passed_over/batch={batch_id}")
 
 
 def landed_shards(spark: SparkSession, landing: str) -> DataFrame:
     """Names of the shard files in the landing folder; lists files without opening them."""
-    return (
-        spark.read.format("binaryFile")
-        .load(landing)
-        .select(shard_name(base_name(F.col("path"))).alias("partition"))
-        .distinct()
-    )
+    listed = with_shard(spark.read.format("binaryFile").load(landing).select("*", "_metadata"))
+    return listed.select("partition").distinct()
+
+
+def shards_read(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Names of the shards the stream has read, also of those without a usable row, from its own log of files."""
+    log = f"{checkpoint}/sources/0"
+    if not exists(spark, log):
+        return spark.createDataFrame([], "partition STRING")
+    path = F.get_json_object("value", "$.path")
+    name = decoded_path(F.substring_index(path, "/", -1))
+    return spark.read.text(log).filter(path.isNotNull()).select(shard_name(name).alias("partition")).distinct()
+
+
+def passed_over(spark: SparkSession, chunks_path: str) -> DataFrame:
+    """Number of records read and passed over, over all batches."""
+    rows = read_table_or_empty(spark, f"{chunks_path}_passed_over", schemas.PASSED_OVER)
+    return rows.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in schemas.PASSED_OVER.fieldNames()])
 
 
 def ingest(

@@ -2,12 +2,15 @@
 
 import gzip
 import json
+import os
+import time
 from collections import Counter
 from pathlib import Path
 
 import pytest
 
 from paperloom import schemas
+from paperloom.operators import variant
 from paperloom.operators.mask import MASKS
 from paperloom.plans import commands as jobs
 from paperloom.sources import readers, writers
@@ -65,7 +68,9 @@ def _shard(layout, name, titles, fields=("Computer Science",), venue="V"):
 
 
 def test_topic_worklist_completion_export(spark, layout):
-    ids = jobs.extract_topic(spark, layout, "cs", "ml", seed=1, store=True)
+    report = jobs.extract_topic(spark, layout, "cs", "ml", seed=1, store=True)
+    assert tuple(report.first()) == (3, 4, 3)
+    ids = spark.read.parquet(layout.export("ids_cs_ml"))
     assert sorted(r.id for r in ids.collect()) == ["0701", "0702", "0705"]
     assert tuple(jobs.topic_count(spark, layout, "cs", "ml").first()) == (3, 4)
     kept = {frozenset(r) for r in _records(layout.category("cs"))}
@@ -158,7 +163,8 @@ def test_corpus(spark, layout, tmp_path):
 
     one_by_one = {(r.cate, r.id) for r in spark.read.parquet(layout.index).collect()}
     rates = {r.cate: r.rate for r in jobs.match_labels(spark, layout).collect()}
-    assert rates == {"cslg": 150.0, "csai": 100.0, "csdb": 100.0}
+    assert len(rates) == 40
+    assert {c: r for c, r in rates.items() if r is not None} == {"cslg": 150.0, "csai": 100.0, "csdb": 100.0}
     at_once = {(r.cate, r.id) for r in spark.read.parquet(layout.index).collect()}
     assert one_by_one <= at_once and {c for c, _ in at_once - one_by_one} == {"csai"}
 
@@ -207,6 +213,91 @@ def test_many_batches(spark, layout):
     assert sorted(r.id for r in readers.read_papers(spark, layout.papers).collect()) == list(range(1, 16))
 
 
+def _set_age(layout, name, days):
+    path = Path(layout.landing) / name
+    os.utime(path, (time.time() - days * 86_400,) * 2)
+
+
+def test_old_shards_odd_names_and_unread_ones(spark, layout):
+    """Shards that landed late with an old time stamp or a name that is encoded in paths are read, counted and checked."""
+    _shard(layout, "s2-000", ["Databases"])
+    jobs.ingest_corpus(spark, layout)
+    _shard(layout, "s-old", ["machine learning one"])
+    _set_age(layout, "s-old.gz", 30)
+    _shard(layout, "sp ace+x%41", ["machine learning two"])
+    _shard(layout, "nothing", [], fields=())
+    with gzip.open(Path(layout.landing) / "broken.json.gz", "wt") as f:
+        f.write('{"id": "b", "title"\n')
+    report = jobs.ingest_corpus(spark, layout).first()
+    assert (report.shards_landed, report.shards_read, report.shards_unread) == (5, 5, 0)
+    assert (report.total, report.unparsable) == (4, 1)
+    papers = readers.read_papers(spark, layout.papers).collect()
+    assert {r.partition for r in papers} == {"s2-000", "s-old", "sp ace+x%41"} and sorted(r.id for r in papers) == [1, 2, 3]
+    checklist, _ = jobs.latest(spark, layout.checklist, schemas.CHECKLIST)
+    names = {"s2-000", "s-old", "sp ace+x%41", "nothing", "broken"}
+    assert {r.partition: r.is_checked for r in checklist.collect()} == dict.fromkeys(names, 1)
+    assert jobs.corpus_topic_count(spark, layout, "ml").first()[0] == 3
+
+
+def test_names_with_one_prefix_stay_apart(spark, layout):
+    _shard(layout, "d.1", ["one"])
+    jobs.ingest_corpus(spark, layout)
+    _shard(layout, "d.2", ["two"])
+    jobs.ingest_corpus(spark, layout)
+    got = {r.title: (r.id, r.partition) for r in readers.read_papers(spark, layout.papers).collect()}
+    assert got == {"one": (1, "d.1"), "two": (2, "d.2")}
+
+
+def test_two_files_of_one_shard_name_fail_the_batch(spark, layout):
+    _shard(layout, "d", ["one"])
+    jobs.ingest_corpus(spark, layout)
+    _shard(layout, "d.json", ["two"])
+    with pytest.raises(Exception, match="two files make the shard 'd'"):
+        jobs.ingest_corpus(spark, layout)
+    assert [r.title for r in readers.read_papers(spark, layout.papers).collect()] == ["one"]
+
+
+def test_a_broken_off_snapshot_does_not_count(spark, layout):
+    rows = spark.createDataFrame([("a", 0)], schemas.CHECKLIST)
+    writers.write_snapshot(rows, f"{layout.checklist}/snapshot=0")
+    writers.write_snapshot(rows.selectExpr("partition", "1 AS is_checked"), f"{layout.checklist}/snapshot=1")
+    (Path(layout.checklist) / "snapshot=1" / "_SUCCESS").unlink()
+    table, version = jobs.latest(spark, layout.checklist, schemas.CHECKLIST)
+    assert version == 0 and table.first().is_checked == 0
+
+
+def test_further_keys_pass_through(spark, layout, tmp_path):
+    """A key that no schema names stays with a snapshot paper and with a seed; a completed paper gets no foreign key."""
+    record = json.dumps({**SNAPSHOT[0], "id": "0799", "extra": {"a": [1]}})
+    (Path(layout.snapshot) / "more.json").write_text(record)
+    jobs.extract_category(spark, layout, "cs")
+    kept = {r["id"]: r for r in _records(layout.category("cs"))}
+    assert kept["0799"]["extra"] == {"a": [1]} and "extra" not in kept["0701"]
+    seed = {"id": 1, "s2_id": "x", "title": "t", "abstract": "a", "venue": "v", "authors": ["A"], "year": 1, "n_citations": 2}
+    for name, more in (("seeds", {"report-no": "R"}), ("source", {})):
+        (tmp_path / name).write_text(json.dumps({**seed, **more}))
+    jobs.make_variants(spark, layout, str(tmp_path / "seeds"), str(tmp_path / "source"))
+    assert {r["report-no"] for r in _records(layout.export("variant"))} == {"R"}
+    completed = spark.createDataFrame(
+        [("1", "t", "R", 1, None, None), ("2", "t", None, None, "v", 3)], "id string,title string,`report-no` string,year int,venue string,n_citations int"
+    )
+    writers.write_completed(completed, str(tmp_path / "completed"))
+    assert sorted(_records(tmp_path / "completed"), key=lambda r: r["id"]) == [
+        {"id": "1", "title": "t", "report-no": "R", "year": 1, "venue": None, "n_citations": None},
+        {"id": "2", "title": "t", "year": None, "venue": "v", "n_citations": 3},
+    ]
+
+
+def test_variant_files_follow_the_output(spark, tmp_path):
+    papers = spark.range(400).selectExpr(
+        "id", "'s' AS s2_id", "'t' AS title", "'a' AS abstract", "'v' AS venue", "array('A') AS authors", "1 AS year", "1 AS n_citations"
+    )
+    seeds = papers.limit(5)
+    writers.write_variants(variant.text_variants(seeds, papers.repartition(20), "x"), str(tmp_path / "v"))
+    assert len(list((tmp_path / "v").rglob("part-*.json"))) <= 2 * 5 * 4
+    assert len(_lines(tmp_path / "v")) == 5 * 400 * 4
+
+
 def test_json_array_and_sinks(spark, tmp_path):
     array = tmp_path / "raw.json"
     objects = [{"id": "1", "title": "a, b", "authors_parsed": [["x", "y"]]}, {"id": "2", "abstract": "[\n]"}]
@@ -240,11 +331,13 @@ def test_command_line(spark, layout):
     def call(*arguments):
         return run(spark, ["--base", layout.base, *map(str, arguments)])
 
-    assert call("extract-topic", "cs", "ml", "--seed", 1, "--store").count() == 3
+    assert call("extract-topic", "cs", "ml", "--seed", 1, "--limit", 2).first().picked == 2
+    assert call("extract-topic", "cs", "ml", "--seed", 1, "--store").first().picked == 3
     assert call("topic-count", "cs", "ml").first().matched == 3
     assert call("fill-data-status", "cs_ml", "-1").first().total == 3
     _shard(layout, "s2-000", ["Databases"])
     call("extract-s2-cs-data")
     assert call("s2-cs-data-count").first()[0] == 1
     assert len(_records(call("export-s2-cs-data", 1, 30))) == 1
+    assert len(_records(call("export-s2-cs-data-rand", "--amount", 1))) == 1
     assert len(COMMANDS) == 22

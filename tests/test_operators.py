@@ -60,7 +60,7 @@ def test_unusable_counts(spark):
     schema = schemas.plus(schemas.SHARD_RECORD, "partition", schemas.TEXT)
     row = ("a", "T", "text", [], [], ["Computer Science"], "v", 2001, "s")
     rows = [row, ("b", None, *row[2:]), (*row[:5], None, *row[6:])]
-    assert tuple(extract.unusable_counts(spark.createDataFrame(rows, schema)).first()) == (3, 1, 1, 0)
+    assert tuple(extract.unusable_counts(spark.createDataFrame(rows, schema)).first()) == (3, 0, 1, 1, 0)
 
 
 # --- random order -------------------------------------------------------------------------------------
@@ -119,9 +119,23 @@ def test_title_match(spark, options):
     index, got = _match(spark, **options)
     expected = [("csai", i, "2") for i in (10, 11, 12)] + [("csai", 13, "3")] + [("cslg", i, "2") for i in (10, 11, 12)]
     assert _rows(got, "cate", "id", "arxiv_id") == expected
-    assert _rows(match.match_rate(index, got), "cate", "n_keys", "n_matches", "rate") == [
+    labels = reg.second_level(reg.default_registry())
+    rates = match.match_rate(index, got, labels)
+    assert rates.count() == 40
+    assert _rows(rates.filter("n_keys > 0"), "cate", "n_keys", "n_matches", "rate") == [
         ("csai", 2, 4, 200.0), ("cslg", 1, 3, 300.0),
     ]
+    assert {(r.n_keys, r.n_matches, r.rate) for r in rates.filter("n_keys = 0").collect()} == {(0, 0, None)}
+
+
+def test_keep_last_does_not_depend_on_the_order_of_rows(spark):
+    rows = [("1", "A b", "cs.AI", 5), ("1", "a-b", "cs.AI x", 5), ("2", "AB", "cs.AI", None), ("0", "A.B", "cs.AI", 5)]
+    kept = set()
+    for order in (rows, rows[::-1], rows[2:] + rows[:2]):
+        snapshot = spark.createDataFrame(order, "id STRING, title STRING, categories STRING, o INT").coalesce(1)
+        got = match.title_index(snapshot, [reg.category("csai")], F.col("o")).collect()
+        kept |= {tuple(r) for r in got}
+    assert kept == {("csai", "ab", "1", "a-b", "cs.AI x")}
 
 
 def test_title_match_without_letterless_titles(spark):
@@ -192,15 +206,44 @@ def test_create_worklist_keeps_existing_rows(spark):
     assert got.filter("id = '1'").first()["venue"] == "v"
 
 
-@pytest.mark.parametrize("size, added", [(30_000, 0), (29_999, 2)])
-def test_full_worklist_is_left_alone(spark, size, added):
+@pytest.mark.parametrize("size, full, added", [(30_000, 30_000, 0), (29_999, 30_000, 2), (30_000, None, 2)])
+def test_full_worklist_is_left_alone_only_on_demand(spark, size, full, added):
     existing = spark.range(size).select(
         F.col("id").cast("string").alias("id"), F.lit(None).cast("string").alias("venue"),
         *[F.lit(None).cast("int").alias(c) for c in ("year", "n_citations")],
         F.lit(0).alias("partition"), F.lit(0).alias("filled"),
     )
     ids = spark.createDataFrame([("a",), ("b",), ("7",)], "id STRING")
-    assert worklist.create_worklist(ids, existing, 1).count() == size + added
+    assert worklist.create_worklist(ids, existing, 1, full).count() == size + added
+
+
+def test_repeated_staging_and_responses_leave_one_row_per_id(spark):
+    schema = schemas.WORKLIST
+    main = spark.createDataFrame([("a", None, None, None, 0, 0), ("b", None, None, None, 1, 0)], schema)
+    staging = spark.createDataFrame(
+        [
+            ("a", None, None, None, 0, 2), ("a", None, 2000, None, 0, 1), ("a", "V", 2000, 3, 0, 1), ("a", None, None, None, 0, 0),
+            ("b", None, None, None, 1, 2), ("b", None, None, None, 1, 2),
+        ],
+        schema,
+    )
+    merged = worklist.merge_staging(main, staging)
+    assert [tuple(r) for r in merged.orderBy("id").collect()] == [("a", "V", 2000, 3, 0, 1), ("b", None, None, None, 1, 2)]
+    again = worklist.merge_staging(merged, staging)
+    assert again.count() == again.select("id").distinct().count() == 2
+    good = '{"venue": "ICML", "year": 2019, "citationCount": 1}'
+    empty = '{"venue": null, "year": 2019, "citationCount": 1}'
+    rows = [("a", 200, empty), ("a", 200, good), ("a", 404, '{"error": "x"}'), ("b", 403, "{}"), ("c", 404, '{"error": "x"}')]
+    settled = complete.settled_responses(spark.createDataFrame(rows, schemas.RESPONSES))
+    assert sorted((r.id, r.filled, r.venue) for r in settled.collect()) == [("a", 1, "ICML"), ("c", 2, None)]
+
+
+def test_status_by_partition_equals_the_single_ones(spark):
+    rows = [("a", None, None, None, 0, 0), ("b", None, None, None, 1, 1), ("c", None, None, None, 2, 2), ("d", None, None, None, 7, 0)]
+    staged = [("a", None, None, None, 0, 1), ("a", None, None, None, 1, 2), ("e", None, None, None, 2, 0)]
+    main, staging = (spark.createDataFrame(r, schemas.WORKLIST) for r in (rows, staged))
+    got = {r.part: tuple(r)[1:] for r in worklist.fill_status_by_partition(main, staging).collect()}
+    assert got == {part: tuple(worklist.fill_status(main, staging, part).first()) for part in (-1, 0, 1, 2)}
 
 
 def test_pending(spark):

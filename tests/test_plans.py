@@ -9,6 +9,7 @@ import __spark_entry__ as contract
 from paperloom import registry as reg
 from paperloom.operators import complete, counts, export, extract, mask, match, sample, variant, worklist
 from paperloom.plans import testdata
+from paperloom.plans.queries import REGISTERED
 from paperloom.sources import readers
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -35,7 +36,7 @@ def corpus(spark, tmp_path_factory):
     return readers.read_papers(spark, str(base / "papers")), spark.read.parquet(str(base / "ids")), base
 
 
-@pytest.mark.parametrize("name", [n for n in contract.queries() if n != "incremental_ingest"])
+@pytest.mark.parametrize("name", [n for n in REGISTERED if n != "incremental_ingest"])
 def test_queries_stay_in_the_jvm_and_off_cross_joins(spark, name):
     plan = _plan(contract.queries()[name](spark, SF_DIR))
     assert not re.search("Python|Pandas|CartesianProduct|NestedLoop", plan)
@@ -70,10 +71,15 @@ def test_short_id_list_is_broadcast_and_long_one_shuffled(spark, corpus):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        short, long = export.by_ids(papers, ids), export.by_ids(papers, ids, broadcast_ids=2)
+        short = export.by_ids(papers, ids)
+        ranges, long = export.by_ids(papers, ids, broadcast_bytes=16), export.by_ids(papers, ids, broadcast_bytes=16, most_parts=2)
         assert re.search("BroadcastHashJoin.*LeftSemi", _plan(short))
+        # A list above the threshold: one pushed-down range and broadcast per part, and no shuffle of the wide papers.
+        plan = _plan(ranges)
+        assert plan.count("BroadcastHashJoin") == 5 and not re.search("Exchange hashpartitioning|SortMergeJoin", plan)
+        assert re.search(r"PushedFilters: \[[^\]]*GreaterThan\(id", plan)
         assert re.search("SortMergeJoin.*LeftSemi", _plan(long))
-        assert short.count() == long.count() == 4
+        assert short.count() == ranges.count() == long.count() == 4
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
@@ -121,6 +127,25 @@ def test_variants_have_no_join(spark, corpus):
     assert "Join" not in plan
     plan = _plan(variant.text_variants(seeds, corpus[0], "x", inline_seeds=1))
     assert re.search(r"Join \[fragment#\w+, split#\w+\]", plan)
+    # The sources are read from their files, not from a copy.
+    assert "FileScan parquet" in plan and "Scan ExistingRDD" not in plan
+    heavy = variant.text_variants(seeds, corpus[0], "x")
+    assert heavy.count() == 3 * 2_000 * 4
+
+
+def test_long_seed_texts_do_not_travel_with_the_plan(spark, corpus):
+    seeds = corpus[0].filter("id <= 3")
+    paired = variant.pair_with_seeds(corpus[0], seeds, inline_bytes=300)
+    assert "Join" in _plan(paired) and paired.count() == 3 * 2_000
+
+
+def test_status_scans_each_table_once(spark):
+    plan = _plan(contract.queries()["fill_status"](spark, SF_DIR))
+    assert plan.count("orders.parquet") == 1 and plan.count("lineitem.parquet") == 1
+
+
+def test_masks_of_gappy_papers_scan_documents_once(spark):
+    assert _plan(contract.queries()["mask_features"](spark, SF_DIR)).count("documents.parquet") == 1
 
 
 def test_masks_take_one_scan_without_shuffle(corpus):
