@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from paperloom.llm.fm_index import FMIndex, repeated_windows
 from paperloom.llm.tables import arrow_schema
-from paperloom.session import shared_dir
+from paperloom.session import durable, shared_dir
 
 WINDOW = 35
 GRAM = 8  # words of an anchor
@@ -43,16 +43,19 @@ RUN = WINDOW - GRAM + 1  # most windows of a run
 COUNT_BITS = 5  # windows of a run less one; a place is the start, a bit for an anchor met twice, and this
 PLACE_BITS = COUNT_BITS + 1
 HOT_RUNS = 512
+HEAVY_SHARE = 4096  # an anchor with more than one in so many of all runs is folded before it is shuffled
 SHARD_WORDS = 1_000_000
-CACHED_WORDS = 500_000
+CACHED_WORDS, LONGEST_CACHED = 500_000, 64  # words whose hashes a task remembers, and bytes of such a word
 _U = np.uint64
 
 
 class _WordHashes(dict):
     def __missing__(self, word):
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
+        value = xxhash.xxh64_intdigest(word)
+        if len(word) <= LONGEST_CACHED:
+            if len(self) >= CACHED_WORDS:
+                self.clear()
+            self[word] = value
         return value
 
 
@@ -207,20 +210,32 @@ def repeated_runs(keyed: DataFrame) -> DataFrame:
     """(a, b, found): for each document with repeated windows, its runs' places and masks of repeated windows."""
     runs = _runs(keyed)
     often = runs.groupBy("anchor").agg(F.expr(f"sum(1 + ((place >> {COUNT_BITS}) & 1))").alias("n")).where("n > 1")
-    # Plus zero: a new column, so that equal pieces are folded before they are shuffled.
-    alive = runs.join(often, "anchor").selectExpr("a", "b", "place", "anchor", "anchor + 0L as anchor0", "piece", f"n > {HOT_RUNS} as hot")
-    distinct = alive.groupBy("anchor0", "piece").agg(
-        F.count("*").alias("weight"), F.min(F.struct("a", "b", "place")).alias("at"), F.max("hot").alias("hot")
-    )
+    often = durable(often)
+    total = runs.count()
+    # At most 2 * HEAVY_SHARE anchors can be that frequent, so they may be broadcast.
+    heavy = F.broadcast(often.where(F.col("n") > max(HOT_RUNS, total // HEAVY_SHARE)))
+    columns = ["a", "b", "place", "anchor", "piece", F.expr(f"n > {HOT_RUNS} as hot")]
+    light_runs = runs.join(heavy, "anchor", "left_anti").join(often, "anchor").select(*columns)
+    heavy_runs = runs.join(heavy, "anchor").select(*columns)
+
+    def folded(rows: DataFrame) -> DataFrame:
+        """Pieces of equal words: their weight and one place they stand at."""
+        return rows.groupBy("anchor", "piece").agg(
+            F.count("*").alias("weight"), F.min(F.struct("a", "b", "place")).alias("at"), F.max("hot").alias("hot")
+        )
+
+    # The rows of a light anchor are together after the join and are folded there; those of heavy anchors are not
+    # shuffled as they are, but folded in their tasks first.
+    distinct = folded(light_runs).unionByName(folded(heavy_runs))
     wanted = distinct.groupBy(F.col("at.a").alias("a"), F.col("at.b").alias("b")).agg(
-        F.collect_list(F.struct(F.col("at.place").alias("place"), "anchor0", "piece", "weight", "hot")).alias("wanted")
+        F.collect_list(F.struct(F.col("at.place").alias("place"), "anchor", "piece", "weight", "hot")).alias("wanted")
     )
     sources = keyed.join(wanted, ["a", "b"]).select("wanted", "text", "doc_id")
 
     def plain():
         def pieces(wanted, text, _):
             for item, words, start, count in _pieces_of([w for w in wanted if not w["hot"]], text):
-                yield item["anchor0"], item["piece"], item["weight"], b" ".join(words[start : start + count + WINDOW - 1])
+                yield item["anchor"], item["piece"], item["weight"], b" ".join(words[start : start + count + WINDOW - 1])
 
         return pieces
 
@@ -236,20 +251,24 @@ def repeated_runs(keyed: DataFrame) -> DataFrame:
         def windows(wanted, text, _):
             for item, words, start, count in _pieces_of([w for w in wanted if w["hot"]], text):
                 for i, _, p1, p2 in _window_ids(words, start, count):
-                    yield p1, p2, item["anchor0"], item["piece"], 1 << i
+                    yield p1, p2, item["anchor"], item["piece"], 1 << i
 
         return windows
 
     schema = "p1 long,p2 long,weight long,words binary"
     hot = sources.where(F.exists("wanted", lambda w: w.hot))
     windows = _map(hot, cut, schema).groupBy("p1", "p2").agg(F.sum("weight").alias("weight"), F.first("words").alias("words"))
-    answers = _search(_map(sources, plain, schema).unionByName(windows))
+    # Read twice below, each time with all its columns: dealt out once, so that the shards are searched once.
+    answers = _search(_map(sources, plain, schema).unionByName(windows)).repartition("p1", "p2")
     # Answers to windows go back to the pieces they were cut from; the others are pieces themselves.
-    links = _map(hot, linked, "p1 long,p2 long,anchor0 long,piece long,mask long")
-    of_windows = links.join(answers.select("p1", "p2"), ["p1", "p2"]).groupBy("anchor0", "piece").agg(F.bit_or("mask").alias("mask"))
-    masks = answers.selectExpr("p1 as anchor0", "p2 as piece", "mask").unionByName(of_windows)
+    links = _map(hot, linked, "p1 long,p2 long,anchor long,piece long,bit long")
+    of_windows = links.join(answers, ["p1", "p2"]).groupBy("anchor", "piece").agg(
+        F.bit_or(F.when(F.col("mask") != 0, F.col("bit")).otherwise(0)).alias("mask")
+    )
+    masks = answers.selectExpr("p1 as anchor", "p2 as piece", "mask").unionByName(of_windows)
+    alive = light_runs.unionByName(heavy_runs)
     return (
-        alive.join(masks, ["anchor0", "piece"])
+        alive.join(masks, ["anchor", "piece"])
         .groupBy("a", "b").agg(F.collect_list(F.struct("place", "mask")).alias("found"))
     )
 
