@@ -33,6 +33,7 @@ PIECES = (
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 )
 CACHED_PIECES = 400_000  # pieces whose tokens a task remembers; the older half is forgotten beyond it
+LONGEST_CACHED = 64  # characters of such a piece
 CACHED_PAIRS = 1_000_000  # pairs whose compatibility a task remembers
 
 
@@ -51,10 +52,12 @@ class _Pieces(dict):
         self.encode = encode
 
     def __missing__(self, piece):
-        if len(self) >= CACHED_PIECES:
-            for old in list(islice(self, CACHED_PIECES // 2)):
-                del self[old]
-        tokens = self[piece] = np.array(self.encode(piece.encode()), "<u4").tobytes()
+        tokens = np.array(self.encode(piece.encode()), "<u4").tobytes()
+        if len(piece) <= LONGEST_CACHED:
+            if len(self) >= CACHED_PIECES:
+                for old in list(islice(self, CACHED_PIECES // 2)):
+                    del self[old]
+            self[piece] = tokens
         return tokens
 
 

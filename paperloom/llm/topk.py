@@ -9,7 +9,8 @@ rows, not keys.
 
 Vectors that are null or hold null or non-finite components, and rows without an id, take no part. Vectors of unequal
 length are compared as if the shorter one ended in zeros. Rows that repeat an id are candidates each on their own, and
-none of them is a candidate of a query of that id; repeated queries are answered once. Ties go to the smaller vec_id.
+none of them is a candidate of a query of that id; a query whose id is repeated is answered
+once, for the smallest of its vectors. Ties go to the smaller vec_id.
 Scores are exact while they fit into 64 bits. An empty table gives no rows.
 """
 
@@ -102,7 +103,7 @@ def top_k(
     query_block: int = QUERY_BLOCK, candidate_block: int = CANDIDATE_BLOCK,
 ) -> DataFrame:
     """query_id, rank, vec_id, score of the k best candidates of each query; both inputs as `quantise` returns them."""
-    queries = queries.dropDuplicates(["vec_id"])
+    queries = queries.groupBy("vec_id").agg(F.min("v").alias("v"))
     n_queries, n_candidates = queries.count(), candidates.count()
     q_blocks, c_blocks = max(1, -(-n_queries // query_block)), max(1, -(-n_candidates // candidate_block))
     # Equal ids would meet in one block if candidates were not dealt by their components as well.
