@@ -29,7 +29,7 @@ from paperloom.session import durable
 FOLDS, HELD_OUT = 3, 1  # rows with crc32(doc_id) % 3 == 1 are never learned from
 SHRINK_TO_POOLED, SHRINK_TO_DIAGONAL = 0.1, 0.05
 TEMPERATURES = (0.5, 1.0, 1.5, 2.0, 3.0, 4.0, 6.0, 8.0, 12.0, 16.0)
-FLOOR = 0.5  # pseudo-count of a share, so that its logarithm is finite
+FLOOR = 5.0  # pseudo-count of a share: keeps its logarithm finite, and the shares of very short texts near the middle
 
 _UPPER, _LOWER, _DIGIT = slice(0x41, 0x5B), slice(0x61, 0x7B), slice(0x30, 0x3A)
 _MARKS = {"stops": b".?", "commas": b",;:", "shouts": b"!", "bars": b"|", "odd": b"#$%&*<>=@\\^_~{}[]+/", "quotes": b"\"'()-"}
