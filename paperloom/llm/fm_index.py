@@ -46,9 +46,7 @@ class WaveletMatrix:
 def suffix_array(symbols: np.ndarray, depth: int = DEPTH) -> np.ndarray:
     """Suffix order by at least `depth` symbols, by doubling the sorted length."""
     n = len(symbols)
-    ranks = symbols.astype(np.int64) + 1
-    known = 1
-    order = np.argsort(ranks, kind="stable")
+    ranks, order, known = symbols.astype(np.int64) + 1, np.arange(n), 1
     while known < depth:
         following = np.zeros(n, np.int64)
         following[: n - known] = ranks[known:]

@@ -168,8 +168,12 @@ def _window_ids(words: list[bytes], start: int, count: int):
 
 
 def _search(rows: DataFrame) -> DataFrame:
-    """(p1, p2, mask) of the pieces with repeated windows; rows (p1, p2, weight, words) stand together by p1."""
-    schema = "p1 long,p2 long,mask long"
+    """(p1, p2, flipped, mask) of the pieces with repeated windows, from rows (p1, p2, weight, words).
+
+    `flipped` names p1 once more, as a column that no shuffle has dealt out: a join by it shuffles both sides, and only
+    then the rows of a frequent piece can be split.
+    """
+    schema = "p1 long,p2 long,flipped long,mask long"
 
     def shard(p1, p2, weight, texts):
         cache = _WordHashes()
@@ -183,9 +187,8 @@ def _search(rows: DataFrame) -> DataFrame:
         index = FMIndex(text, len(distinct) + 1, np.repeat(np.array(weight, np.int64), lengths + 1))
         masks = repeated_windows(index, text, starts, lengths, WINDOW)
         hit = np.flatnonzero(masks)
-        return pa.RecordBatch.from_pydict(
-            {"p1": np.array(p1, np.int64)[hit], "p2": np.array(p2, np.int64)[hit], "mask": masks[hit]}
-        )
+        p1, p2 = np.array(p1, np.int64)[hit], np.array(p2, np.int64)[hit]
+        return pa.RecordBatch.from_pydict({"p1": p1, "p2": p2, "flipped": p1 ^ 1, "mask": masks[hit]})
 
     def run(batches):
         held, words, last = ([], [], [], []), 0, None
@@ -251,24 +254,24 @@ def repeated_runs(keyed: DataFrame) -> DataFrame:
         def windows(wanted, text, _):
             for item, words, start, count in _pieces_of([w for w in wanted if w["hot"]], text):
                 for i, _, p1, p2 in _window_ids(words, start, count):
-                    yield p1, p2, item["anchor"], item["piece"], 1 << i
+                    yield p1 ^ 1, p2, item["anchor"] ^ 1, item["piece"], 1 << i
 
         return windows
 
     schema = "p1 long,p2 long,weight long,words binary"
     hot = sources.where(F.exists("wanted", lambda w: w.hot))
     windows = _map(hot, cut, schema).groupBy("p1", "p2").agg(F.sum("weight").alias("weight"), F.first("words").alias("words"))
-    # Read twice below, each time with all its columns: dealt out once, so that the shards are searched once.
+    # Read twice below, each time with the same columns: dealt out once, so that the shards are searched once.
     answers = _search(_map(sources, plain, schema).unionByName(windows)).repartition("p1", "p2")
     # Answers to windows go back to the pieces they were cut from; the others are pieces themselves.
-    links = _map(hot, linked, "p1 long,p2 long,anchor long,piece long,bit long")
-    of_windows = links.join(answers, ["p1", "p2"]).groupBy("anchor", "piece").agg(
+    links = _map(hot, linked, "flipped long,p2 long,owner long,piece long,bit long")
+    of_windows = links.join(answers.select("flipped", "p2", "mask"), ["flipped", "p2"]).groupBy("owner", "piece").agg(
         F.bit_or(F.when(F.col("mask") != 0, F.col("bit")).otherwise(0)).alias("mask")
     )
-    masks = answers.selectExpr("p1 as anchor", "p2 as piece", "mask").unionByName(of_windows)
-    alive = light_runs.unionByName(heavy_runs)
+    masks = answers.selectExpr("flipped", "p2 as piece", "mask").unionByName(of_windows.withColumnRenamed("owner", "flipped"))
+    alive = light_runs.unionByName(heavy_runs).selectExpr("a", "b", "place", "anchor ^ 1L as flipped", "piece")
     return (
-        alive.join(masks, ["anchor", "piece"])
+        alive.join(masks, ["flipped", "piece"])
         .groupBy("a", "b").agg(F.collect_list(F.struct("place", "mask")).alias("found"))
     )
 
