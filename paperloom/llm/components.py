@@ -29,11 +29,12 @@ def local_roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def connected(links: DataFrame) -> DataFrame:
-    """(node, root) of every node with a link; `links` has the columns a and b of one orderable type.
+    """(node, root) of every node with a link; `links` has the columns a and b of type long.
 
     Each round links a node's larger neighbours to its smallest one (large star) and then its smaller ones likewise
     (small star), until every node is linked to its component's smallest node. Minima are combined before the shuffle and
-    nothing is collected per node, so a node with very many links is no hot group. Rounds grow with the logarithm of the
+    nothing is collected per node, and the minima are joined by a column that no shuffle has dealt out yet, so that the
+    rows of a node with very many links can be split. Rounds grow with the logarithm of the
     number of links; each is checkpointed.
     """
     down = lambda frame: frame.where("a <> b").selectExpr("greatest(a, b) as a", "least(a, b) as b").distinct()
@@ -46,8 +47,9 @@ def connected(links: DataFrame) -> DataFrame:
             return edges.selectExpr("a as node", "b as root")
         state = now
         both = edges.unionByName(edges.selectExpr("b as a", "a as b"))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).selectExpr("a", "least(a, m) as m")
-        large = down(both.where("b > a").join(least, "a").selectExpr("b as a", "m as b"))
+        least = both.groupBy("a").agg(F.min("b").alias("m")).selectExpr("a ^ 1L as k", "least(a, m) as m")
+        large = down(both.where("b > a").selectExpr("a ^ 1L as k", "b").join(least, "k").selectExpr("b as a", "m as b"))
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").selectExpr("b as a", "m as b").unionByName(least.selectExpr("a", "m as b"))
+        small = large.selectExpr("a ^ 1L as k", "b").join(least.selectExpr("a ^ 1L as k", "m"), "k")
+        small = small.selectExpr("b as a", "m as b").unionByName(least.selectExpr("a", "m as b"))
         edges = durable(down(small))

@@ -267,8 +267,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rooted = per_print.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
-    component = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(component, "root").select("fp", "component_id")
+    # Joined by a column that no shuffle has dealt out yet, so that the rows of a large component can be split.
+    component = rooted.groupBy("root").agg(F.min("least").alias("component_id")).selectExpr("root ^ 1L as k", "component_id")
+    named = rooted.selectExpr("fp", "root ^ 1L as k").join(component, "k").select("fp", "component_id")
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
