@@ -60,7 +60,7 @@ def fill_status(main: DataFrame, staging: DataFrame, partition: int = ALL_PARTIT
 
     An id settled in staging only still counts as open. `pending_net` leaves those out.
     """
-    return _status(_states(main, staging, partition, "id"))
+    return _status(_fold(_states(main, staging, partition), "id"))
 
 
 def fill_status_by_partition(main: DataFrame, staging: DataFrame) -> DataFrame:
@@ -68,24 +68,16 @@ def fill_status_by_partition(main: DataFrame, staging: DataFrame) -> DataFrame:
 
     An id counts in a partition with the rows it has there, and once in all of them.
     """
-    state = F.col("filled").isin(TODO, DONE, ERROR) & in_partition(ALL_PARTITIONS)
-    rows = (
-        main.filter(state)
-        .select("id", "filled", "partition", F.lit(1).alias("in_main"))
-        .unionByName(staging.filter(state).select("id", "filled", "partition", F.lit(0).alias("in_main")))
-    )
+    rows = _states(main, staging, ALL_PARTITIONS)
     parts = rows.withColumn("part", F.explode(F.array(F.lit(ALL_PARTITIONS), "partition")))
     return _status(_fold(parts, "part", "id"), "part")
 
 
-def _states(main: DataFrame, staging: DataFrame, partition: int, *keys: str) -> DataFrame:
+def _states(main: DataFrame, staging: DataFrame, partition: int) -> DataFrame:
+    """Rows of both tables that are in one of the three states, and which table each is from."""
     state = F.col("filled").isin(TODO, DONE, ERROR) & in_partition(partition)
-    rows = (
-        main.filter(state)
-        .select("id", "filled", F.lit(1).alias("in_main"))
-        .unionByName(staging.filter(state).select("id", "filled", F.lit(0).alias("in_main")))
-    )
-    return _fold(rows, *keys)
+    tables = [t.filter(state).select("id", "filled", "partition", F.lit(n).alias("in_main")) for t, n in ((main, 1), (staging, 0))]
+    return tables[0].unionByName(tables[1])
 
 
 def _fold(rows: DataFrame, *keys: str) -> DataFrame:
