@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.session import durable
@@ -53,3 +53,25 @@ def connected(links: DataFrame) -> DataFrame:
         small = large.selectExpr("a ^ 1L as k", "b").join(least.selectExpr("a ^ 1L as k", "m"), "k")
         small = small.selectExpr("b as a", "m as b").unionByName(least.selectExpr("a", "m as b"))
         edges = durable(down(small))
+
+
+def one_row_each(docs: DataFrame, key: Column, members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Of each component the row of `docs` with the smallest doc_id, of rows with that id or without any the smallest key.
+
+    `key` is computed from `docs`, `members` holds doc_id and key of its rows and `roots` (key, root) the keys with a link. Rows
+    that repeat doc_id and key count as one.
+    """
+    columns = docs.columns
+    rows = members.groupBy("doc_id", "key").agg(F.count("*").alias("n")).join(roots, "key", "left")
+    order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "key", "n")
+    kept = durable(rows.groupBy(F.coalesce("root", "key").alias("root")).agg(F.min(order).alias("kept")).select(
+        F.col("kept.doc_id").alias("__id"), F.col("kept.key").alias("__own"), F.col("kept.n").alias("__n")
+    ))
+    marked = docs.withColumn("__key", key)
+    same = (F.col("__key") == F.col("__own")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
+    out = marked.join(kept.where("__n = 1"), same, "left_semi").select(*columns)
+    repeated = kept.where("__n > 1")
+    if not repeated.isEmpty():
+        again = marked.join(repeated, same, "left_semi")
+        out = out.unionByName(again.dropDuplicates(["doc_id", "__key"]).select(*columns))
+    return out

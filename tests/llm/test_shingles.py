@@ -1,0 +1,79 @@
+import itertools
+import re
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from paperloom.llm import shingles, simhash
+from paperloom.llm.tables import table
+
+
+def slow_set(text):
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", lowered)
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def brute(rows):
+    """The smallest (doc_id, text) of each component, ids before none."""
+    sets = [slow_set(text) for _, text in rows]
+    root = list(range(len(rows)))
+    for i, j in itertools.combinations(range(len(rows)), 2):
+        if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) and root[i] != root[j]:
+            root = [root[i] if r == root[j] else r for r in root]
+    groups = {}
+    for r, (doc_id, _) in zip(root, rows, strict=True):
+        groups.setdefault(r, []).append((doc_id is None, doc_id or 0))
+    return sorted(min(g) for g in groups.values())
+
+
+def kept(docs):
+    return sorted((r.doc_id is None, r.doc_id or 0) for r in docs.collect())
+
+
+def _copies():
+    """Copies around the threshold, a passage that many texts share and a large group."""
+    rng = np.random.default_rng(3)
+    passage = [f"p{i}" for i in range(60)]
+    rows = []
+    for i in range(60):
+        words = [f"W{x}" for x in rng.integers(0, 400, rng.integers(1, 250))] + (passage if i % 3 == 0 else [])
+        for j in range(40 if i == 5 else rng.integers(1, 5)):
+            copy = list(words)
+            for at in rng.integers(0, len(copy), min(j % 5, max(1, len(copy) // 40))):
+                copy[at] = f"changed{j}"
+            rows.append((int(i * 100 + j), " ".join(copy)))
+    return rows
+
+
+@pytest.mark.parametrize("bucket_rows", [1024, 7])
+def test_equals_brute_force(docs_of, edge_rows, monkeypatch, bucket_rows):
+    monkeypatch.setattr(shingles, "BUCKET_ROWS", bucket_rows)
+    rows = [*_copies(), *((None if i is None else i + 50_000, t) for i, t in edge_rows if t is None or len(t) < 1000)]
+    docs = docs_of(rows)
+    got = shingles.one_of_each(docs)
+    assert got.columns == docs.columns
+    assert kept(got) == brute(rows) and len(brute(rows)) < len(rows)
+    assert shingles.one_of_each(docs_of([])).collect() == []
+
+
+def test_stage_drops_similar_texts_of_distant_fingerprints(spark, docs_of):
+    """Every pair from 0.8 up and none below, at sf0.001; one pair of it differs in more bits than operator 6 allows."""
+    sf_dir = "/root/testdata/sf0.001"
+    docs = table(spark, sf_dir, "documents")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    got = kept(corpus_pipeline.drop_near_duplicates(spark, docs, sf_dir))
+    assert got == brute(rows) and got != kept(simhash.one_of_each(docs))
+    # 100 shingles: two changed words keep the pair above 0.8, three do not.
+    base = [f"w{i}" for i in range(104)]
+    below, above = [*base[:50], "x", *base[51:90], "y", *base[91:98], "z", *base[99:]], [*base[:50], "x", *base[51:90], "y", *base[91:]]
+    rows = [(1, " ".join(base)), (2, " ".join(above)), (3, " ".join(f"v{w}" for w in base)), (4, " ".join(f"v{w}" for w in below))]
+    assert kept(shingles.one_of_each(docs_of(rows))) == brute(rows) == [(False, 1), (False, 3), (False, 4)]
+
+
+def test_one_id_with_two_unrelated_texts(docs_of):
+    """Each component keeps a row though the smallest id of both is the same."""
+    a, b = " ".join(f"a{i}" for i in range(80)), " ".join(f"b{i}" for i in range(80))
+    rows = [(1, a), (1, b), (2, a + " more"), (3, b + " more"), (None, a), (1, a)]
+    assert sorted((r.doc_id, r.text) for r in shingles.one_of_each(docs_of(rows)).collect()) == [(1, a), (1, b)]
