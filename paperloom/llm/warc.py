@@ -37,8 +37,11 @@ RECORDS = (
 
 # What is not text: comments, declarations and the content of elements that are not shown. An unclosed one runs to the end.
 _HIDDEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(script|style|noscript|template|head)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?:(script|style)\b[^>]*>.*?(?:</\1\s*>|\Z)|(noscript|template|head|title)\b[^>]*>)", re.S | re.I
 )
+# Of these an unclosed one hides nothing. A head, whose end tag may be left out, then hides its title, which is text elsewhere.
+_ENDS = {kind: re.compile(rf"</{kind}\s*>", re.I) for kind in ("noscript", "template", "title")} | {"head": re.compile(r"</head\s*>|<body\b", re.I)}
+_IN_HEAD = re.compile(r"</?(?:meta|link|base|basefont|bgsound)\b[^>]*>", re.I)
 _BREAK = re.compile(
     r"</?(?:p|div|br|li|ul|ol|tr|table|h[1-6]|article|section|header|footer|nav|blockquote|pre|hr|dl|dt|dd|title|body|html)\b[^>]*>", re.I
 )
@@ -48,9 +51,33 @@ _BLANKS = re.compile(r"[^\S\n]+")
 _LINES = re.compile(r" ?\n[ \n]*")
 
 
+def _shown(html: str) -> str:
+    """A page with a blank for each hidden element."""
+    parts, at, begun = [], 0, 0
+    in_head = False
+    ends: dict[str, re.Match | None] = {}  # the next end of each kind, looked for once
+    while found := _HIDDEN.search(html, at):
+        in_head = in_head and not _IN_HEAD.sub("", html[at : found.start()]).strip()
+        at = found.end()
+        kind = (found[2] or "").lower()
+        if kind == "title" and not in_head:
+            continue
+        parts.append(html[begun : found.start()])
+        if kind:
+            if kind not in ends or ends[kind] and ends[kind].start() < at:
+                ends[kind] = _ENDS[kind].search(html, at)
+            end = ends[kind]
+            if kind == "head" and (end is None or end[0][1] != "/"):
+                in_head = True
+            elif end:
+                at = end.end()
+        begun = at
+    return " ".join([*parts, html[begun:]])
+
+
 def plain_text(html: str | None) -> str:
     """Text of a page: hidden elements dropped, block elements as line breaks, entities resolved, blanks folded."""
-    text = _HIDDEN.sub(" ", html or "")
+    text = _shown(html or "")
     text = _TAG.sub("", _CELL.sub(" ", _BREAK.sub("\n", text.replace("\r", "\n").replace("\n", " "))))
     return _LINES.sub("\n", _BLANKS.sub(" ", entities.unescape(text))).strip()
 

@@ -24,6 +24,17 @@ def test_plain_text():
     assert warc.plain_text("<" * 50_000) == "<" * 50_000
 
 
+def test_unclosed_elements_leave_the_text():
+    assert warc.plain_text("<html><head><title>x</title><body><p>All of the text.</p></body></html>") == "All of the text."
+    assert warc.plain_text("<head><meta charset=utf-8><script>a = '<body>'</script><title>x</title>\n<p>one</p>two") == "one\ntwo"
+    assert warc.plain_text("<head><script>a = '<body>'</script><title>x</title></head>one") == "one"
+    assert warc.plain_text("<head>odd<b>x</b></head>one<head>two") == "one two"
+    assert warc.plain_text("<p>one</p><noscript>two<template>three") == "one\ntwo three"
+    assert warc.plain_text("one<template>no</template><noscript>no</NOSCRIPT >two") == "one two"
+    assert warc.plain_text("one<style>never closed") == warc.plain_text("one<!-- never closed") == "one"
+    assert warc.plain_text("<head><template>" * 50_000 + "end") == "end"
+
+
 def test_linked_records(spark):
     page = (1, "http://a/", "<p>Hé</p>")
     response = warc.responses(_pages(spark, [page])).first()
