@@ -255,18 +255,22 @@ def links(distinct: DataFrame, plan: list[tuple[list[int], int]], allowed: int =
     return spread.mapInArrow(search, "a long,b long")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, fp and component_id of each row."""
-    prints = durable(fingerprints(docs))
+def _rooted(prints: DataFrame) -> DataFrame:
+    """(fp, least, root) of each distinct fingerprint: its smallest doc_id and the fingerprint that names its component."""
     per_print = durable(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    distinct = per_print.select("fp")
-    plan = plan_search(distinct)
+    plan = plan_search(per_print.select("fp"))
     if not plan:
-        return prints.withColumn("component_id", F.col("doc_id"))
-    roots = connected(links(distinct, plan))
-    rooted = per_print.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
+        return per_print.withColumn("root", F.col("fp"))
+    roots = connected(links(per_print.select("fp"), plan))
+    return per_print.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, fp and component_id of each row."""
+    prints = durable(fingerprints(docs))
+    rooted = _rooted(prints)
     # Joined by a column that no shuffle has dealt out yet, so that the rows of a large component can be split.
     component = rooted.groupBy("root").agg(F.min("least").alias("component_id")).selectExpr("root ^ 1L as k", "component_id")
     named = rooted.selectExpr("fp", "root ^ 1L as k").join(component, "k").select("fp", "component_id")
@@ -279,33 +283,32 @@ def scan_documents(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` without the near-duplicates: of each component the row with the smallest doc_id stays.
 
-    Rows that repeat that doc_id and text count as one. Rows without doc_id stay only if their component has no doc_id
-    at all, and then one of the smallest fingerprint.
+    Rows without doc_id come after those with one; of several rows with that id, those of the smallest fingerprint, and of
+    these the one whose columns come first as JSON text. All columns are kept as they are, whatever their names.
     """
-    columns = docs.columns
-    found = near_duplicates(docs)
-    kept = found.groupBy("doc_id").agg(
-        F.min(F.when(F.col("doc_id") == F.col("component_id"), F.col("fp"))).alias("fp"), F.count("*").alias("n")
-    ).where("fp is not null")
-    nameless = durable(found.where("component_id is null"))
-    marked = docs.withColumn("__fp", _fingerprint_column(F.col("text")))
-    single = marked.join(kept.where("n = 1").select(F.col("doc_id").alias("__id")), F.col("doc_id") == F.col("__id"), "left_semi")
-    out = single.select(*columns)
-    repeated = kept.where("n > 1")
-    if not repeated.isEmpty():
-        again = marked.join(
-            repeated.selectExpr("doc_id as __id", "fp as __own"),
-            (F.col("doc_id") == F.col("__id")) & (F.col("__fp") == F.col("__own")), "left_semi",
-        )
-        out = out.unionByName(again.dropDuplicates(["doc_id", "__fp"]).select(*columns))
-    if not nameless.isEmpty():
-        # Without an id the text itself tells rows apart; near copies among these rows were never given a name.
-        rest = marked.where("doc_id is null").join(nameless.selectExpr("fp as __own").distinct(), F.col("__fp") == F.col("__own"), "left_semi")
-        out = out.unionByName(rest.dropDuplicates(["__fp"]).select(*columns))
-    return out
+    rows = docs.select(
+        F.struct("*").alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
+    )
+    prints = durable(fingerprints(docs, id_col, text_col))
+    order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "fp")
+    first = prints.groupBy("fp").agg(F.min(order).alias("first"))
+    kept = _rooted(prints).join(first, "fp").groupBy("root").agg(F.min("first").alias("first"))
+    kept = kept.select(F.col("first.doc_id").alias("kept_id"), F.col("first.fp").alias("kept_fp"))
+    # An id that one row holds names its row; only rows that share an id need their fingerprint again.
+    shared = prints.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("shared_id"))
+    same_id = F.col("kept_id").eqNullSafe(F.col("shared_id"))
+    single = durable(kept.join(shared, same_id, "left_anti"))
+    again = durable(kept.join(shared, same_id, "left_semi"))
+    out = rows.join(single, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").select("row.*")
+    if again.isEmpty():
+        return out
+    among = rows.join(again, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").withColumn("fp", _fingerprint_column(F.col("text")))
+    same_row = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("fp") == F.col("kept_fp"))
+    chosen = among.join(again, same_row, "left_semi").groupBy("doc_id", "fp").agg(F.min_by("row", F.to_json("row")).alias("row"))
+    return out.unionByName(chosen.select("row.*"))
 
 
 def _fingerprint_column(text: Column) -> Column:

@@ -123,12 +123,31 @@ def test_components(spark):
 
 
 def test_one_of_each(docs_of, edge_rows):
+    """One row per component: its smallest id, also where rows without id or with a shared id are in it."""
     rows = [*_copies(), *((None if i is None else i + 5000, t) for i, t in edge_rows if t is None or len(t) < 1000)]
+    rows += [(9000, rows[0][1]), (9000, rows[0][1] + " x"), (9001, "a wholly different pair of texts under one id"), (9001, "nothing like the other one at all, is it")]
+    rows += [(9002, "a wholly different pair of texts under one id"), (9003, "nothing like the other one at all, is it"), (None, "no id at all")]
     docs = docs_of(rows)
     kept = simhash.one_of_each(docs)
     assert kept.columns == docs.columns
-    found = brute(rows)
-    components_with_id = {c for (_, _, c) in found if c is not None}
-    ids = [r.doc_id for r in kept.collect()]
-    assert sorted(i for i in ids if i is not None) == sorted(components_with_id)
-    assert ids.count(None) == len({p for (_, p, c) in found if c is None})
+    prints = {t: slow_fingerprint(t) for _, t in rows}
+    groups = []
+    for p in set(prints.values()):
+        near = [g for g in groups if any((p ^ q).bit_count() <= 4 for q in g)]
+        groups = [g for g in groups if g not in near] + [{p}.union(*near)]
+    expected = collections.Counter()
+    for g in groups:
+        member = [(i is None, i or 0, simhash._signed(prints[t])) for i, t in rows if prints[t] in g]
+        nameless, i, p = min(member)
+        expected[None if nameless else i, p] += 1
+    assert collections.Counter((r.doc_id, simhash._signed(slow_fingerprint(r.text))) for r in kept.collect()) == expected
+    assert simhash.one_of_each(docs_of([])).collect() == []
+
+
+def test_one_of_each_keeps_clashing_columns(spark):
+    """Columns under the names that the operator works with are passed on as they are."""
+    schema = "doc_id long, text string, row string, fp long, kept_id int, kept_fp int, shared_id int, n int, root int, __key int"
+    rows = [(1, "one text of its own", "r", 5, 6, 7, 8, 9, 10, 11), (2, "one text of its own", "s", 1, 2, 3, 4, 5, 6, 7), (3, None, "t", *[None] * 7), (3, None, "t", *[None] * 7)]
+    docs = spark.createDataFrame(rows, schema)
+    kept = simhash.one_of_each(docs)
+    assert kept.columns == docs.columns and sorted(map(tuple, kept.collect())) == [rows[0], rows[2]]
