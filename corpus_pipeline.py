@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import bpe, decontaminate, quality, secret_scan, shingles
+from paperloom.llm import bpe, decontaminate, quality, secret_scan, simhash
 from paperloom.llm.queries import TOKENIZER
 from paperloom.llm.tables import table
 from paperloom.session import configure, shared_dir
@@ -19,8 +19,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: texts whose 5-word shingles have a similarity of 0.8 or more."""
-    return shingles.one_of_each(docs)
+    """One document of each component of SimHash links (4-word shingles, at most 4 differing bits): the smallest doc_id."""
+    return simhash.one_of_each(docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +45,7 @@ def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality classifier", keep_quality),
-    ("shingle near-dedup", drop_near_duplicates),
+    ("SimHash near-dedup", drop_near_duplicates),
     ("benchmark decontamination", drop_leaks),
     ("secret scans", redact_secrets),
     ("BPE encoding and decoding", tokenise),
