@@ -1,0 +1,104 @@
+import base64
+import collections
+import functools
+import hashlib
+
+import public_tokenizers
+import pytest
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from paperloom.llm import byte_bpe
+from paperloom.llm.queries import RANKS
+
+
+@functools.cache
+def _both():
+    pairs = [line.split() for line in open(RANKS, "rb")]
+    ranks = {base64.b64decode(a): int(b) for a, b in pairs}
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return byte_bpe.RankCodec(RANKS), library
+
+
+def _stitched(text, chunk, overlap):
+    stitch, out = byte_bpe.Stitch(), []
+    for _, begin, last, own in byte_bpe.chunks_of(text, chunk, overlap):
+        out += stitch.feed(begin, own, byte_bpe.chunk_ends(own), last)
+    return out
+
+
+WIDE = st.text(alphabet=st.characters(max_codepoint=0x24FF, exclude_categories=("Cs", "Cn")), max_size=120)
+NARROW = st.text(alphabet="aAblr2 '\n\t\x1c\x85!e", max_size=200)
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.one_of(WIDE, NARROW))
+def test_equals_library(text):
+    codec, library = _both()
+    ids = codec.encode(byte_bpe.SPLIT.findall(text))
+    assert ids == library.encode_ordinary(text)
+    assert codec.decode(ids) == text.encode()
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.one_of(WIDE, NARROW), st.integers(1, 12), st.integers(0, 6))
+def test_stitched_cut_equals_the_whole_cut(text, chunk, overlap):
+    """Chunks far shorter than any real one, so that pieces span several and boundaries often differ."""
+    assert _stitched(text, chunk, overlap) == byte_bpe.SPLIT.findall(text)
+
+
+@pytest.mark.parametrize("text", ["a" * 3000, " " * 3000, "'ll" * 900, "ab1 " * 800, "x'l" * 900, "!" * 2000 + "\n" * 700, " a" * 1500, "\n \n" * 900])
+def test_stitched_cut_of_long_pieces(text):
+    for chunk, overlap in ((7, 0), (64, 3), (64, 16), (1000, 100)):
+        assert _stitched(text, chunk, overlap) == byte_bpe.SPLIT.findall(text)
+
+
+def test_resynchronises_within_the_overlap():
+    """On prose the next chunk's cut is taken over at once: nothing is searched again."""
+    text = "It's a plain sentence, with 12 numbers\n and  some space. " * 200
+    stitch = byte_bpe.Stitch()
+    for _, begin, last, own in byte_bpe.chunks_of(text, 500, 60):
+        if begin:
+            assert byte_bpe._holds(byte_bpe.chunk_ends(own), stitch.at - begin)
+        stitch.feed(begin, own, byte_bpe.chunk_ends(own), last)
+
+
+def test_a_very_long_piece_takes_linear_time():
+    text = "a" * 3_000_000
+    assert _stitched(text, 4096, 64) == [text]
+    codec, library = _both()
+    assert codec.encode([text[:60_000]]) == library.encode_ordinary(text[:60_000])
+    odd = "abcdefghij" * 3000
+    assert codec.encode([odd]) == library.encode_ordinary(odd)
+
+
+def test_both_merges_agree():
+    codec, _ = _both()
+    for raw in (b"antidisestablishmentarianism", b"zzzzqqqq", "漢字漢字é".encode(), bytes(range(200, 240))):
+        assert codec._merge_short(raw) == codec._merge_long(raw)
+
+
+@pytest.mark.parametrize("chunk", [byte_bpe.CHUNK, 40])
+def test_tables(docs_of, edge_rows, chunk):
+    rows = [*edge_rows, (20, "it's " * 300), (20, "it's " * 300), (21, "it's " * 300), (None, "it's " * 300)]
+    _, library = _both()
+    got = byte_bpe.round_trip_digests(docs_of(rows), RANKS, chunk=chunk, overlap=min(chunk, 8))
+    expected = []
+    for doc_id, text in rows:
+        ids = library.encode_ordinary(text or "")
+        joined = " ".join(map(str, ids))
+        expected.append((doc_id, len(ids), hashlib.sha256(joined.encode()).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest()))
+    assert got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    assert collections.Counter(map(tuple, got.collect())) == collections.Counter(expected)
+    assert byte_bpe.round_trip_digests(docs_of([]), RANKS).collect() == []
+
+
+def test_encode_then_decode(docs_of):
+    rows = [(1, "some words, é " * 30), (2, None), (3, "漢")]
+    encoded = byte_bpe.encode_documents(docs_of(rows), RANKS, chunk=64, overlap=8)
+    assert {r.doc_id: bytes(r.raw).decode() for r in byte_bpe.decode_documents(encoded, RANKS).collect()} == {1: rows[0][1], 2: "", 3: "漢"}
+    # Raw bytes need not be whole characters.
+    codec, _ = _both()
+    ids = codec.encode(["漢"])
+    assert codec.decode(ids[:1]) + codec.decode(ids[1:]) == "漢".encode()
