@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from paperloom.llm import bpe, byte_bpe, decontaminate, langid, licenses, oracle, periodic, quality, secret_scan, simhash, substring, topk, warc
+from paperloom.llm import (
+    bpe, byte_bpe, decontaminate, langid, licenses, oracle, periodic, quality, secret_scan, simhash, substring, topk, warc, whitening,
+)
 from paperloom.llm.tables import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -54,6 +56,10 @@ def op10_benchmark_decontamination(spark, sf_dir):
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_embedding_whitening(spark, sf_dir):
+    return whitening.scan_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op12_periodic_runs(spark, sf_dir):
     return periodic.scan_documents(table(spark, sf_dir, "documents"))
 
@@ -67,7 +73,7 @@ REGISTERED = {
     for f in (
         op1_quality_classifier, op2_secret_scan, op3_exact_top_k, op4_bpe_round_trip, op5_substring_dedup,
         op6_simhash_near_dedup, op7_warc_derivatives, op8_language_id, op9_license_scan, op10_benchmark_decontamination,
-        op12_periodic_runs, op13_byte_bpe_round_trip,
+        op11_embedding_whitening, op12_periodic_runs, op13_byte_bpe_round_trip,
     )
 }
 BASE_SECRETS = {
