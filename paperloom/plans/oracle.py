@@ -466,9 +466,17 @@ SQL: dict[str, str] = {
             lang || '","jr"]]' AS authors_parsed FROM snapshot""",
         "snapshot",
     ),
+    "json_array_layouts": _with(
+        """SELECT id, title, abstract, source AS report_no, layout,
+            '[["' || split_part(title, ' ', 2) || '","' || split_part(title, ' ', 1) || '"],["' || source || '","' ||
+            lang || '","jr"]]' AS authors_parsed FROM snapshot, (VALUES ('one line'), ('pretty')) l(layout)""",
+        "snapshot",
+    ),
     "manifest_scan": "SELECT DISTINCT source AS partition FROM documents",
     "corpus_scan": _with(
-        f"SELECT id, {_KEY} AS title_key, year, partition FROM papers WHERE CAST(substr(partition, 4) AS INT) % 2 = 1", "papers"
+        f"""SELECT id, {_KEY} AS title_key, year, partition FROM papers
+            WHERE partition IN (SELECT partition FROM checklist WHERE is_checked = 1)""",
+        "papers", "toxic_french", "checklist",
     ),
     "responses_scan": _with("SELECT id, CAST(status AS INT) AS status, body FROM responses", "complete_bodies", "responses"),
     "append_sink": """

@@ -433,15 +433,25 @@ def snapshot_scan(spark, sf_dir):
     return readers.read_snapshot(spark, path).select("id", "title", "abstract", "categories", "doi", "extra")
 
 
-def json_array_scan(spark, sf_dir):
-    """One array over all papers, an object per line, as text files in order."""
+def _array_files(spark, sf_dir, layout, *further):
+    """The papers as JSON array files of one layout, read again."""
     path = _scratch(spark, "array")
-    papers = data.snapshot(spark, sf_dir).select("id", "title", "abstract", "authors_parsed")
-    lines = papers.select(F.concat(F.to_json(F.struct("*")), F.lit(",")).alias("value"))
-    spark.sql("SELECT '[' AS value").unionByName(lines).unionByName(spark.sql("SELECT ']' AS value")).write.text(path)
+    papers = data.snapshot(spark, sf_dir).select("id", "title", "abstract", "authors_parsed", *further)
+    writers.write_json_arrays(papers, path, layout=layout, rows_per_file=2_000)
     return readers.read_json_array(spark, path).withColumn("authors_parsed", F.to_json("authors_parsed"))
 
 
+def json_array_scan(spark, sf_dir):
+    """Arrays over all papers, an object per line."""
+    return _array_files(spark, sf_dir, "lines")
+
+
+def json_array_layouts(spark, sf_dir):
+    """The same papers from arrays on one line and from pretty-printed ones."""
+    one, two = (_array_files(spark, sf_dir, layout, "report-no").withColumn("layout", F.lit(layout)) for layout in ("one line", "pretty"))
+    return one.unionByName(two).withColumnRenamed("report-no", "report_no")
+
+
 def manifest_scan(spark, sf_dir):
     path = _scratch(spark, "manifest")
     shards = data.table(spark, sf_dir, "documents").select(F.concat(F.lit(" "), "source", F.lit(".json.gz ")).alias("value")).distinct()
@@ -450,12 +460,12 @@ def manifest_scan(spark, sf_dir):
 
 
 def corpus_scan(spark, sf_dir):
-    """The corpus table with some columns of the shards whose number is odd."""
+    """The corpus table with some columns of the shards that are on the list of checked ones."""
     path = _scratch(spark, "corpus")
     papers = data.papers(spark, sf_dir).withColumn("title_key", text.title_key(F.col("title")))
     papers.write.partitionBy("partition").parquet(path)
-    odd = [f"src{n}" for n in range(1, 100, 2)]
-    return readers.read_papers(spark, path, columns=("id", "title_key", "year", "partition"), shards=odd)
+    shards = worklist.checked(shard_checklist(spark, sf_dir))
+    return readers.read_papers(spark, path, columns=("id", "title_key", "year", "partition"), shards=shards)
 
 
 def responses_scan(spark, sf_dir):
@@ -543,7 +553,7 @@ REGISTERED: dict[str, Query] = {
         create_worklist, pending_work, fill_status, eta, classify_responses, complete_staging, merge_staging,
         merged_count, reset_partition, complete_join, shard_checklist, unchecked_shards, variant_text, variant_text_fragmented,
         variant_year, variant_citations, mask_features, records_sink, category_sink, label_index_sink, audit_sink,
-        variant_sink, masked_sink, completed_sink, append_sink, snapshot_scan, json_array_scan, manifest_scan,
+        variant_sink, masked_sink, completed_sink, append_sink, snapshot_scan, json_array_scan, json_array_layouts, manifest_scan,
         corpus_scan, responses_scan, unusable_counts, incremental_ingest,
     )
 }

@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from paperloom import schemas
 from paperloom.functions.text import decoded_path, shard_name
+from paperloom.sources.json_arrays import read_json_array  # noqa: F401
 
 
 def with_further_keys(spark: SparkSession, path: str, schema: StructType) -> StructType:
@@ -24,17 +25,6 @@ def read_snapshot(spark: SparkSession, path: str, schema: StructType | None = No
     return spark.read.schema(schema or with_further_keys(spark, path, schemas.SNAPSHOT)).json(path)
 
 
-def read_json_array(spark: SparkSession, path: str, schema: StructType = schemas.CATEGORY_PAPERS) -> DataFrame:
-    """A JSON array with one object per line, read line by line so that a large file is split over tasks."""
-    line = F.trim(F.col("value"))
-    return (
-        spark.read.text(path)
-        .filter(~line.isin("[", "]", ""))
-        .select(F.from_json(F.regexp_replace(line, r",$", ""), schema).alias("record"))
-        .select("record.*")
-    )
-
-
 def read_shards(spark: SparkSession, path: str) -> DataFrame:
     """Compressed corpus shards with the shard's name from the file name, and the file."""
     return with_shard(spark.read.schema(schemas.SHARD_LINE).option("columnNameOfCorruptRecord", schemas.CORRUPT).json(path))
@@ -76,11 +66,17 @@ def read_seeds(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_papers(
-    spark: SparkSession, path: str, columns: Iterable[str] | None = None, shards: Iterable[str] | None = None
+    spark: SparkSession, path: str, columns: Iterable[str] | None = None, shards: Iterable[str] | DataFrame | None = None
 ) -> DataFrame:
-    """Corpus table; `shards` prunes partitions and `columns` prunes the scan."""
+    """Corpus table; `columns` prunes the scan and `shards` its partitions.
+
+    A table of shards (column `partition`) is joined: the planner prunes partitions by its values when the query runs, and
+    the list may be of any length.
+    """
     papers = spark.read.schema(schemas.PAPERS).parquet(path)
-    if shards is not None:
+    if isinstance(shards, DataFrame):
+        papers = papers.join(shards.select("partition"), "partition", "left_semi")
+    elif shards is not None:
         papers = papers.filter(F.col("partition").isin(list(shards)))
     return papers if columns is None else papers.select(*columns)
 

@@ -8,7 +8,7 @@ measure and writes its few folders side by side.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperloom.functions.text import record_json
@@ -25,6 +25,29 @@ def write_category_papers(df: DataFrame, path: str) -> None:
     _balanced(df, "cate").write.mode("overwrite").partitionBy("cate").json(path)
 
 
+LAYOUTS = ("lines", "pretty", "one line")
+ROWS_PER_ARRAY = 1_000_000
+
+
+def write_json_arrays(df: DataFrame, path: str, key: str = "id", layout: str = "lines", rows_per_file: int = ROWS_PER_ARRAY) -> None:
+    """JSON array files of about so many rows, ordered by `key` and dealt by its hash; NULL fields are left out.
+
+    `layout` is one object per line, pretty-printed, or all on one line. No rows make one file with an empty array.
+    """
+    if layout not in LAYOUTS:
+        raise ValueError(f"no layout {layout!r}, only {LAYOUTS}")
+    files = max(1, -(-df.count() // rows_per_file))
+    record = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"pretty": "true"} if layout == "pretty" else {})
+    rows = df.select(F.pmod(F.xxhash64(key), F.lit(files)).alias("file"), F.struct(F.col(key).alias("key"), record.alias("record")).alias("r"))
+    order = Window.partitionBy("file").orderBy("r")
+    first, last = F.row_number().over(order) == 1, F.lead("r").over(order).isNull()
+    value = F.concat(F.when(first, "[").otherwise(","), F.lit(" "), F.col("r.record"), F.when(last, "]").otherwise(""))
+    lines = rows.select("file", value.alias("value"))
+    nothing = df.sparkSession.sql("SELECT 0L AS file, '[]' AS value").filter(F.lit(df.isEmpty()))
+    separator = " " if layout == "one line" else "\n"
+    lines.unionByName(nothing).write.mode("overwrite").option("lineSep", separator).partitionBy("file").text(path)
+
+
 def write_records(df: DataFrame, path: str) -> None:
     """Papers as JSON lines; NULL fields are written as null."""
     df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
