@@ -19,7 +19,7 @@ from paperloom.operators import complete as complete_ops
 from paperloom.operators import counts, export, extract, mask, match, variant, worklist
 from paperloom.session import durable
 from paperloom.sources import readers, writers
-from paperloom.streaming.ingest import FILES_PER_BATCH, ingest, landed_shards, passed_over, shards_read
+from paperloom.streaming.ingest import BYTES_PER_BATCH, ingest, passed_over, shards_read
 
 
 @dataclass(frozen=True)
@@ -193,22 +193,23 @@ def init_corpus(spark: SparkSession, layout: Layout) -> None:
     _commit(spark, worklist.init_checklist(shards, existing), layout.checklist, version)
 
 
-def ingest_corpus(spark: SparkSession, layout: Layout, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
-    """Ingest new shards and check those the stream has read.
+def ingest_corpus(spark: SparkSession, layout: Layout, bytes_per_batch: int = BYTES_PER_BATCH) -> DataFrame:
+    """Ingest new shards and check those that were read.
 
     Returns one row: shards landed, read and left unread (they stay unchecked), and records read and passed over.
     """
-    landed = durable(landed_shards(spark, layout.landing))
-    ingest(spark, layout.landing, layout.papers, layout.chunks, layout.ingest_checkpoint, files_per_batch)
-    read = durable(shards_read(spark, layout.ingest_checkpoint))
+    landed = ingest(spark, layout.landing, layout.papers, layout.chunks, layout.ingest_checkpoint, bytes_per_batch)
+    read = shards_read(spark, layout.chunks)
     checklist, version = latest(spark, layout.checklist, schemas.CHECKLIST)
     known = worklist.init_checklist(landed.union(read).distinct(), checklist)
     _commit(spark, worklist.mark_checked(known, read), layout.checklist, version)
-    shards = {
-        "landed": landed.count(), "read": read.count(), "unread": landed.join(read, "partition", "left_anti").count()
-    }
+    both = landed.withColumn("landed", F.lit(1)).join(read.withColumn("read", F.lit(1)), "partition", "full")
+    shards = both.agg(
+        F.count("landed").alias("shards_landed"), F.count("read").alias("shards_read"),
+        F.count_if(F.col("read").isNull()).alias("shards_unread"),
+    ).first()
     counted = passed_over(spark, layout.chunks)
-    return counted.select(*[F.lit(n).alias(f"shards_{name}") for name, n in shards.items()], *counted.columns)
+    return counted.select(*[F.lit(n).alias(name) for name, n in shards.asDict().items()], *counted.columns)
 
 
 def corpus_count(spark: SparkSession, layout: Layout) -> DataFrame:

@@ -516,8 +516,14 @@ def _land(spark, shards, staged, landing, name):
         files.setTimes(target, files.getFileStatus(target).getModificationTime() - days * 86_400_000, -1)
 
 
+def _third(spark, landing):
+    """A third of the bytes of the landed files."""
+    files = spark.read.format("binaryFile").load(landing)
+    return max(1, files.agg(F.sum("length")).first()[0] // 3)
+
+
 def incremental_ingest(spark, sf_dir):
-    """One compressed shard per source, landed and ingested in two runs of several batches.
+    """One compressed shard per source, landed and ingested in two runs, each in batches of a third of the bytes landed.
 
     The second run's files are 30 days older and have a blank in their names. Returns the corpus with facts on the ids
     of each shard, and whether the checklist has it as checked.
@@ -526,10 +532,10 @@ def incremental_ingest(spark, sf_dir):
     shards = data.shard_records(spark, sf_dir)
     odd = F.substring("partition", 4, 10).cast("int") % 2 == 1
     _land(spark, shards.filter(odd), f"{layout.base}/first", layout.landing, lambda s: (f"{s}.json.gz", 0))
-    ingest_corpus(spark, layout, files_per_batch=4)
+    ingest_corpus(spark, layout, _third(spark, layout.landing))
     later = lambda s: (f"{s.replace('src', 'src ')}.v2.gz", 30)
     _land(spark, shards.filter(~odd), f"{layout.base}/second", layout.landing, later)
-    ingest_corpus(spark, layout, files_per_batch=4)
+    ingest_corpus(spark, layout, _third(spark, layout.landing))
     papers = readers.read_papers(spark, layout.papers)
     facts = papers.groupBy("partition").agg(
         F.count("*").alias("shard_rows"), F.count_distinct("id").alias("shard_ids"), (F.max("id") - F.min("id") + 1).alias("shard_span")

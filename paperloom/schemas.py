@@ -128,5 +128,9 @@ def without(schema: StructType, name: str) -> StructType:
     return StructType([f for f in schema.fields if f.name != name])
 
 
+def only(schema: StructType, *names: str) -> StructType:
+    return StructType([schema[name] for name in names])
+
+
 # Status values of the work-list.
 TODO, DONE, ERROR = 0, 1, 2

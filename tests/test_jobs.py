@@ -3,6 +3,7 @@
 import gzip
 import json
 import os
+import random
 import time
 from collections import Counter
 from pathlib import Path
@@ -206,11 +207,42 @@ def test_replayed_batch(spark, layout):
     assert sorted(r.title for r in shards.collect()) == ["five", "four"]
 
 
-def test_many_batches(spark, layout):
-    for n in range(5):
-        _shard(layout, f"s2-00{n}", [f"title {n} {i}" for i in range(n + 1)])
-    stream.ingest(spark, layout.landing, layout.papers, layout.chunks, layout.ingest_checkpoint, files_per_batch=2)
-    assert sorted(r.id for r in readers.read_papers(spark, layout.papers).collect()) == list(range(1, 16))
+def test_batches_are_bounded_in_bytes(spark, layout):
+    """Small shards share a batch, a shard beyond the bound has one of its own, and ids do not depend on the batches."""
+    rng = random.Random(1)
+    sizes = {}
+    for n, rows in enumerate([1, 2, 300, 3, 4, 5]):
+        _shard(layout, f"s2-00{n}", [f"title {n} {i} {rng.random()}" for i in range(rows)])
+        sizes[f"s2-00{n}"] = (Path(layout.landing) / f"s2-00{n}.gz").stat().st_size
+        _set_age(layout, f"s2-00{n}.gz", 10 - n)
+    bound = 2 * sizes["s2-000"] + 200
+    assert sizes["s2-002"] > bound
+    landed = stream.ingest(spark, layout.landing, layout.papers, layout.chunks, layout.ingest_checkpoint, bytes_per_batch=bound)
+    assert landed.count() == 6 and stream.shards_read(spark, layout.chunks).count() == 6
+    assert sorted(r.id for r in readers.read_papers(spark, layout.papers).collect()) == list(range(1, 316))
+    batches = {}
+    for r in spark.read.parquet(layout.chunks).select("batch", "partition").distinct().collect():
+        batches.setdefault(r.batch, []).append(sizes[r.partition])
+    assert 3 <= len(batches) < 6
+    assert all(len(own) == 1 or sum(own) <= bound for own in batches.values())
+
+
+def test_a_batch_that_failed_does_not_count_as_read(spark, layout):
+    _shard(layout, "d", ["one"])
+    jobs.ingest_corpus(spark, layout)
+    _shard(layout, "d.json", ["two"])
+    _shard(layout, "e", ["three"])
+    with pytest.raises(Exception, match="two files make the shard 'd'"):
+        jobs.ingest_corpus(spark, layout)
+    assert [r.partition for r in stream.shards_read(spark, layout.chunks).collect()] == ["d"]
+
+
+def test_rows_of_one_large_shard_are_staged_in_several_files(spark, layout, monkeypatch):
+    monkeypatch.setattr(stream, "ROWS_PER_STAGED_FILE", 20)
+    _shard(layout, "s2-000", [f"title {i}" for i in range(90)])
+    jobs.ingest_corpus(spark, layout)
+    assert len(list(Path(layout.chunks + "_staged").glob("part-*"))) == 5
+    assert sorted(r.id for r in readers.read_papers(spark, layout.papers).collect()) == list(range(1, 91))
 
 
 def _set_age(layout, name, days):
