@@ -84,7 +84,7 @@ def license_scan(base: dict[str, str], templates: dict[str, str]) -> str:
     """
 
 
-def secret_scan(kinds, patterns: dict[str, tuple[str, int, int]], classes, allowed) -> str:
+def secret_scan(kinds, patterns: dict[str, tuple[str, int, int]], classes, allowed, placeholders: str, stretch: str) -> str:
     """`patterns`: regular expression, number of groups and least length of its last group, for each base kind."""
 
     def quoted(text: str) -> str:
@@ -114,9 +114,14 @@ def secret_scan(kinds, patterns: dict[str, tuple[str, int, int]], classes, allow
         parts.append(matches(own.kind, own.pattern, 1))
         suppressed = " OR ".join(f"regexp_matches(word, {quoted(a)})" for a in allowed)
         parts.append(f"""{own.kind}_windows AS (
-            SELECT row, i, stop - length(whole) AS origin, s, substr(word, s, {own.window}) AS part
-            FROM (SELECT *, unnest(range(1, length(word) - {own.window} + 2)) AS s FROM {own.kind}
-                  WHERE regexp_matches(word, '[0-9]') AND NOT ({suppressed}))
+            SELECT row, i, origin, s, part FROM (
+                SELECT row, i, stop - length(whole) AS origin, s, substr(array_to_string(list_transform(
+                        regexp_extract_all(word, {quoted(stretch)}),
+                        lambda x: CASE WHEN regexp_matches(x, {quoted(placeholders)}) THEN repeat('.', length(x)) ELSE x END), ''),
+                    s, {own.window}) AS part
+                FROM (SELECT *, unnest(range(1, length(word) - {own.window} + 2)) AS s FROM {own.kind}
+                      WHERE regexp_matches(word, '[0-9]') AND NOT ({suppressed})))
+            WHERE NOT contains(part, '.')
         ), {own.kind}_entropies AS (
             SELECT row, i, origin, s, -sum(n / {own.window}.0 * log2(n / {own.window}.0)) AS h
             FROM (SELECT row, i, origin, s, c, count(*) AS n FROM

@@ -83,7 +83,9 @@ BASE_SECRETS = {
 }
 # The other queries hold learned models, tokens, XXH64, SHA-1 in base32 or edit distances, which SQL cannot express.
 SQL: dict[str, str] = {
-    "op2_secret_scan": oracle.secret_scan(secret_scan.KINDS, BASE_SECRETS, secret_scan.CLASSES, secret_scan.ALLOWED),
+    "op2_secret_scan": oracle.secret_scan(
+        secret_scan.KINDS, BASE_SECRETS, secret_scan.CLASSES, secret_scan.ALLOWED, secret_scan.PLACEHOLDERS, secret_scan.STRETCH
+    ),
     "op3_exact_top_k": oracle.EXACT_TOP_K,
     "op5_substring_dedup": oracle.SUBSTRING_DEDUP,
     "op9_license_scan": oracle.license_scan(licenses.BASE, licenses.TEMPLATES),

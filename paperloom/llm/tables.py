@@ -13,6 +13,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(frame: DataFrame, stem: str) -> str:
+    """A column name that the frame does not have (names are compared without case)."""
+    taken = {c.lower() for c in frame.columns}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem
+
+
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the two columns an operator needs, under fixed names, so that no other column can clash."""
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))

@@ -113,6 +113,30 @@ def test_stages_take_edge_rows_and_empty_tables(spark, docs_of, edge_rows):
     given = table(spark, SF_DIR, "documents")
     rows = [(*row, None, None, None) for row in edge_rows]
     edge = spark.createDataFrame(rows, given.schema)
-    for name, stage in corpus_pipeline.STAGES:
-        assert stage(spark, edge, SF_DIR).count() >= 0, name
+    by_name = dict(corpus_pipeline.STAGES)
+    for name, stage in by_name.items():
         assert stage(spark, edge.limit(0), SF_DIR).count() == 0, name
+    ids = lambda stage: sorted((r.doc_id is None, r.doc_id or 0) for r in by_name[stage](spark, edge, SF_DIR).collect())
+    every = sorted((i is None, i or 0) for i, _ in edge_rows)
+    scores = quality.score_documents(edge, table(spark, SF_DIR, "labels")).where("score >= 0.5").collect()
+    assert ids("quality classifier") == sorted((r.doc_id is None, r.doc_id or 0) for r in scores)
+    # Null and blank texts are one component, equal texts another; each other text is its own.
+    assert ids("SimHash near-dedup") == [(False, i) for i in (1, 4, 5, 7, 8, 8)] + [(True, 0)]
+    assert ids("benchmark decontamination") == ids("secret scans") == ids("BPE encoding and decoding") == every
+    redacted = {r.doc_id: r for r in by_name["secret scans"](spark, edge, SF_DIR).collect()}
+    assert redacted[7].text.endswith("[SECRET]") and redacted[7].n_chars == len(redacted[7].text) and redacted[1].text is None
+
+
+def test_stages_pass_clashing_columns_on(spark):
+    """Columns under names that operators work with themselves are kept as they are."""
+    more = "spans string, spans_ string, __base int, __more int, __key int, __own int, __id int, fp long, row int, found int, a int, b int, x string, root long"
+    names = [part.split()[0] for part in more.split(", ")]
+    schema = f"doc_id long, text string, lang string, source string, n_chars long, {more}"
+    values = ("s", "t", 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, "x", 11)
+    rows = [(i, f"some plain words of text number {i} with password=abcdefghij{i}{i}", "en", "s", 9, *values) for i in (11, 12)]
+    docs = spark.createDataFrame(rows, schema)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF_DIR)
+        assert out.columns == docs.columns, name
+        assert all(tuple(r[n] for n in names) == values for r in out.collect()), name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR).count() == 2

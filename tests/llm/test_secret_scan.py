@@ -1,7 +1,9 @@
 import collections
 import hashlib
 import math
+import random
 import re
+import time
 
 from paperloom.llm import secret_scan as s
 from pyspark.sql import functions as F
@@ -23,7 +25,11 @@ def brute(text):
             if not re.search("[0-9]", m[0]) or any(re.search(a, m[0]) for a in s.ALLOWED):
                 continue
             hot = []
+            held = [re.search(s.PLACEHOLDERS, x) for x in re.findall("[=/]|[^=/]+", m[0])]
+            bad = [bool(h) for h, x in zip(held, re.findall("[=/]|[^=/]+", m[0]), strict=True) for _ in x]
             for i in range(len(m[0]) - own.window + 1):
+                if any(bad[i : i + own.window]):
+                    continue
                 counts = collections.Counter(m[0][i : i + own.window]).values()
                 if -sum(c / own.window * math.log2(c / own.window) for c in counts) >= own.threshold:
                     hot.append(i)
@@ -68,6 +74,43 @@ def test_allow_list(docs_of):
     assert not s.with_spans(frame, spans_col="s", allowed=("^x7G",)).first().s
 
 
+def test_a_key_beside_a_placeholder_word_is_found(docs_of):
+    key = "9fK2xQ7LmZ0pR4tVbN8sW1yHcD6e"
+    rows = [(1, f"sample_key={key}"), (2, f"/example/{key}"), (3, f"k={key}"), (4, f"{key}EXAMPLE"), (5, f"x={key[:14]}sample{key[14:]}")]
+    got = {r.doc_id: [(a, b) for a, _, b, _ in r.s] for r in s.with_spans(docs_of(rows), spans_col="s").collect()}
+    assert got[4] == got[5] == []
+    for doc_id, text in rows[:3]:
+        ((start, stop),) = got[doc_id]
+        assert stop == len(text) and start <= text.index(key)
+
+
+def test_many_hits_in_one_text(spark):
+    """A log of hashes: time in proportion to the hits, for the scan and for the redaction."""
+    rng = random.Random(2)
+    words = [f"{rng.getrandbits(64):016x}" for _ in range(50_000)]
+    frame = spark.createDataFrame([(1, "é " + " ".join(words))], "doc_id long,text string")
+    start = time.perf_counter()
+    row = s.scan_documents(frame).first()
+    assert (row.n_assign, row.n_access, row.n_hex) == (0, 0, 50_000)
+    assert row.spans.split(",")[:2] == ["hex:2:18", "hex:19:35"] and row.spans.split(",")[-1] == f"hex:{2 + 17 * 49_999}:{2 + 17 * 49_999 + 16}"
+    assert s.with_spans(frame, "text", "s").select(s.redacted(F.col("text"), F.col("s")).alias("t")).first().t == "é " + " ".join(["[SECRET]"] * 50_000)
+    assert time.perf_counter() - start < 60
+
+
+def test_counts_stay_right_over_long_candidates(docs_of):
+    rng = random.Random(5)
+    text = "".join(rng.choice(s.CLASSES[0].alphabet) for _ in range(400)) + "a" * 60 + "".join(rng.choice("ab1") for _ in range(200))
+    text += " " + "".join(rng.choice("0123456789abcdefABCDEF") for _ in range(300)) + "0" * 80
+    assert s.scan_documents(docs_of([(1, text)])).first().spans == listed(brute(text)[1])
+
+
+def test_columns_with_clashing_names_are_passed_on(spark):
+    schema = "text string, __base string, __more int, a int, x string, s string, l int, block int, p string"
+    rows = [("password=abcdefghijkl", "b", 1, 2, "x", "s", 3, 4, "p")]
+    got = s.with_spans(spark.createDataFrame(rows, schema), spans_col="found").first()
+    assert tuple(got)[:-1] == rows[0] and [tuple(f) for f in got.found] == [(0, 0, 21, 0)]
+
+
 def test_no_python_in_the_plan(docs_of):
     plan = s.scan_documents(docs_of([(1, "a")]))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
