@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from paperloom.llm import bpe, decontaminate, quality, secret_scan, simhash
 from paperloom.llm.queries import TOKENIZER
-from paperloom.llm.tables import table
+from paperloom.llm.tables import free_name, table
 from paperloom.session import configure, shared_dir
 
 
@@ -30,9 +30,10 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets replaced in their texts and n_chars counted anew where one was."""
-    spans = secret_scan.with_spans(docs, "text", "__spans")
-    changed = F.size("__spans") > 0
-    out = spans.withColumn("text", secret_scan.redacted(F.col("text"), F.col("__spans")))
+    name = free_name(docs, "spans")
+    spans = secret_scan.with_spans(docs, "text", name)
+    changed = F.size(name) > 0
+    out = spans.withColumn("text", secret_scan.redacted(F.col("text"), F.col(name)))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)
