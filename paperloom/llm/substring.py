@@ -233,7 +233,8 @@ def repeated_runs(keyed: DataFrame) -> DataFrame:
     wanted = distinct.groupBy(F.col("at.a").alias("a"), F.col("at.b").alias("b")).agg(
         F.collect_list(F.struct(F.col("at.place").alias("place"), "anchor", "piece", "weight", "hot")).alias("wanted")
     )
-    sources = keyed.join(wanted, ["a", "b"]).select("wanted", "text", "doc_id")
+    # Rows of one identity hold the same text: one of them gives the pieces.
+    sources = keyed.join(wanted, ["a", "b"]).dropDuplicates(["a", "b"]).select("wanted", "text", "doc_id")
 
     def plain():
         def pieces(wanted, text, _):
@@ -272,7 +273,7 @@ def repeated_runs(keyed: DataFrame) -> DataFrame:
     alive = light_runs.unionByName(heavy_runs).selectExpr("a", "b", "place", "anchor ^ 1L as flipped", "piece")
     return (
         alive.join(masks, ["flipped", "piece"])
-        .groupBy("a", "b").agg(F.collect_list(F.struct("place", "mask")).alias("found"))
+        .groupBy("a", "b").agg(F.collect_set(F.struct("place", "mask")).alias("found"))
     )
 
 

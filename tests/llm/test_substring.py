@@ -1,5 +1,6 @@
 import collections
 import hashlib
+import time
 
 import numpy as np
 import pytest
@@ -59,6 +60,17 @@ def test_equals_brute_force(docs_of, edge_rows, monkeypatch, hot):
     assert sum(n > 0 for (_, _, n, _) in expected) > 40
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_many_rows_of_one_identity(docs_of, doc_id):
+    """Rows of one text without id, or with one id, cost what copies under different ids cost."""
+    text = " ".join(f"n{i}" for i in range(400))
+    rows = [(doc_id, text)] * 2000 + [(i + 100, text if i % 2 else f"{i} alone") for i in range(20)]
+    start = time.perf_counter()
+    got = collections.Counter(map(tuple, substring.scan_documents(docs_of(rows)).collect()))
+    assert got == brute(rows)
+    assert time.perf_counter() - start < 60
+
+
 def test_kept_words(docs_of):
     words = [f"w{i}" for i in range(40)]
     rows = [(1, " ".join(["head", *words, "tail"])), (2, " ".join(words))]
