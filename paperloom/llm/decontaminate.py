@@ -1,20 +1,25 @@
 """Benchmark decontamination by pigeonhole edit matching (operator 10).
 
-Texts are lower-cased and cut into words. Each benchmark item is cut into passages of at most 32 words, and each passage
-into error-budget-plus-one pieces: a place in a document within the budget of word edits must hold one piece unchanged.
-An Aho-Corasick automaton finds the piece hits in one pass over a text; the words around a hit are verified with Myers'
-bit-parallel edit distance. Both are exact for the stated budget: a fifth of a passage's words.
+Texts are lower-cased and cut into words. Every item is matched as a whole, whatever its length: it may differ from a
+stretch of a document by at most a fifth of its words (edits of whole words, rounded down; none in an item under five
+words). Beside that, each passage of PASSAGE words of a longer item, at every STRIDE words and at the end, is matched in
+the same way, so that a quotation is found as well; column `whole` tells the two apart. A pattern is cut into
+error-budget-plus-one pieces: a place within the budget must hold one piece unchanged. An Aho-Corasick automaton finds
+the piece hits in one pass over a text; the words around a hit are verified with Myers' bit-parallel edit distance. Both
+are exact for the stated budget.
 
 The automaton travels with the tasks while the benchmark is within MAX_BYTES; a larger benchmark is worked on in parts
 of that size, one pass over the documents each.
 
-Nulls count as the empty text. Items with a null id or text, and items under MIN_WORDS words, which say nothing about
-where a text comes from, match nothing. Repeated items and documents give repeated results only for repeated documents
-(an item is reported once per document, with its best place; ties go to the earliest). Other columns are ignored.
+Nulls count as the empty text. Items with a null id, a null text or without a word match nothing; `least_words` leaves
+shorter items out. Repeated documents give repeated results, repeated items don't: an item is reported once per document,
+as a whole if it is found as a whole, with its least distance there and the earliest such place. Other columns are
+ignored.
 """
 
 from __future__ import annotations
 
+import functools
 import re
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -31,10 +36,9 @@ from paperloom.llm.tables import arrow_schema, id_text
 from paperloom.session import durable
 
 PASSAGE, STRIDE = 32, 16  # words of a passage, and between the starts of two
-MIN_WORDS = 5
 BUDGET = 0.2  # word edits per word of a passage
 MAX_BYTES = 8_000_000  # of benchmark text that travels with the tasks at once
-SCHEMA = "doc_id long,item_id long,distance long,first_word long,last_word long"
+SCHEMA = "doc_id long,item_id long,distance long,first_word long,last_word long,whole boolean"
 _WORD = re.compile(r"\w+")
 
 
@@ -63,46 +67,48 @@ class Passage:
     words: list[str]
     budget: int
     masks: dict[str, int]
+    whole: bool
 
 
 class Matcher:
     """Pieces of all passages in one automaton."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], least_words: int = 1):
         self.passages: list[Passage] = []
         pieces: dict[str, list[tuple[int, int]]] = {}
         for item, text in items:
             words = words_of(text)
-            if len(words) < MIN_WORDS:
+            if len(words) < max(1, least_words):
                 continue
-            last = max(0, len(words) - PASSAGE)
-            for low in sorted({*range(0, last, STRIDE), last}):
-                self._add(item, words[low : low + PASSAGE], pieces)
+            self._add(item, words, True, pieces)
+            last = len(words) - PASSAGE
+            for low in sorted({*range(0, last, STRIDE), last}) if last > 0 else ():
+                self._add(item, words[low : low + PASSAGE], False, pieces)
         self.automaton = ahocorasick.Automaton()
         for piece, owners in pieces.items():
             self.automaton.add_word(piece, (len(piece), owners))
         self.automaton.make_automaton()
         self.empty = not pieces
 
-    def _add(self, item: int, words: list[str], pieces: dict) -> None:
+    def _add(self, item: int, words: list[str], whole: bool, pieces: dict) -> None:
         budget = int(len(words) * BUDGET)
         masks: dict[str, int] = {}
         for i, word in enumerate(words):
             masks[word] = masks.get(word, 0) | 1 << i
         number = len(self.passages)
-        self.passages.append(Passage(item, words, budget, masks))
+        self.passages.append(Passage(item, words, budget, masks, whole))
         cuts = [len(words) * i // (budget + 1) for i in range(budget + 2)]
         for low, high in zip(cuts, cuts[1:], strict=False):
             pieces.setdefault(f" {' '.join(words[low:high])} ", []).append((number, low))
 
-    def matches(self, text: str | None) -> list[tuple[int, int, int, int]]:
-        """item, distance, first and last word (by pattern length) of each item's best place in the text."""
+    def matches(self, text: str | None) -> list[tuple[int, int, int, int, bool]]:
+        """item, distance, first and last word (by pattern length) of each item's best place in the text, and whether whole."""
         words = words_of(text)
-        if self.empty or len(words) < MIN_WORDS - int(MIN_WORDS * BUDGET):
+        if self.empty or not words:
             return []
         joined = f" {' '.join(words)} "
         starts, tried = None, set()
-        best: dict[int, tuple[int, int, int]] = {}
+        best: dict[int, tuple[bool, int, int, int]] = {}
         for end, (length, owners) in self.automaton.iter(joined):
             if starts is None:
                 sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
@@ -119,9 +125,9 @@ class Matcher:
                 score, place = min(distance_ends(passage.masks, len(passage.words), stretch))
                 if score <= passage.budget:
                     last = low + place
-                    found = score, max(0, last - len(passage.words) + 1), last
+                    found = not passage.whole, score, max(0, last - len(passage.words) + 1), last
                     best[passage.item] = min(best.get(passage.item, found), found)
-        return [(item, *found) for item, found in sorted(best.items())]
+        return [(item, *found, not part) for item, (part, *found) in sorted(best.items())]
 
 
 def _parts(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
@@ -134,45 +140,40 @@ def _parts(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
         yield [(row.item_id, row.text) for row in part.collect()]
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, item_id, distance, first_word, last_word of every benchmark item found in a whole text."""
-    narrow, found = id_text(docs), None
+def leaks(docs: DataFrame, benchmark: DataFrame, least_words: int = 1) -> DataFrame:
+    """doc_id, item_id, distance, first_word, last_word, whole of every benchmark item found in a whole text."""
+    narrow = id_text(docs)
 
     def scan(items):
         def run(batches):
-            matcher = Matcher(items)
+            matcher = Matcher(items, least_words)
             kinds = arrow_schema(SCHEMA)
             for batch in batches:
                 rows = [(batch.column(0)[i].as_py(), *m) for i in range(batch.num_rows) for m in matcher.matches(batch.column(1)[i].as_py())]
                 columns = list(zip(*rows, strict=True)) or [()] * len(kinds)
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=kinds)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k.type) for c, k in zip(columns, kinds, strict=True)], schema=kinds)
 
         return narrow.mapInArrow(run, SCHEMA)
 
-    for i, items in enumerate(_parts(benchmark)):
-        if i == 0:
-            found = scan(items)
-            continue
-        found = durable(found.unionByName(scan(items)))
-    return found
+    return functools.reduce(DataFrame.unionByName, map(scan, _parts(benchmark)))
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def without_leaks(docs: DataFrame, benchmark: DataFrame, least_words: int = 1) -> DataFrame:
     """The rows of `docs`, unchanged, whose text holds no benchmark item."""
     for i, items in enumerate(_parts(benchmark)):
         if i:
             docs = durable(docs)
-        docs = docs.where(_clean(items)(F.col("text")))
+        docs = docs.where(_clean(items, least_words)(F.col("text")))
     return docs
 
 
-def _clean(items: list[tuple[int, str]]):
+def _clean(items: list[tuple[int, str]], least_words: int):
     made: list[Matcher] = []
 
     @F.pandas_udf("boolean")
     def clean(texts: pd.Series) -> pd.Series:
         if not made:
-            made.append(Matcher(items))
+            made.append(Matcher(items, least_words))
         return pd.Series([not made[0].matches(t) for t in texts], dtype="boolean")
 
     return clean

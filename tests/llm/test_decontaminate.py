@@ -45,27 +45,52 @@ def test_finds_exactly_what_brute_force_finds():
             place = rng.randint(0, len(words))
             words[place:place] = copy
         expected = {}
-        for passage in matcher.passages:
-            least = min(_distances(passage.words, words), default=99)
-            if least <= passage.budget:
-                expected[passage.item] = min(least, expected.get(passage.item, 99))
-        assert {m[0]: m[1] for m in matcher.matches(" ".join(words))} == expected
+        for i, item in items:
+            pattern = item.split()
+            parts = [pattern[low : low + 32] for low in (*range(0, len(pattern) - 32, 16), len(pattern) - 32)] if len(pattern) > 32 else []
+            for own, whole in ((pattern, True), *((part, False) for part in parts)):
+                least = min(_distances(own, words), default=99)
+                if least <= len(own) // 5:
+                    expected[i] = min((not whole, least), expected.get(i, (True, 99)))
+        assert {m[0]: (not m[4], m[1]) for m in matcher.matches(" ".join(words))} == expected
 
 
 def test_place_of_a_match():
     item = "one two three four five six seven eight nine ten"
-    assert d.Matcher([(3, item)]).matches("x y. One, two three four FIVE six seven eight nine ten! z") == [(3, 0, 2, 11)]
-    assert d.Matcher([(3, item)]).matches("One two three zero five six seven eight nine ten") == [(3, 1, 0, 9)]
+    assert d.Matcher([(3, item)]).matches("x y. One, two three four FIVE six seven eight nine ten! z") == [(3, 0, 2, 11, True)]
+    assert d.Matcher([(3, item)]).matches("One two three zero five six seven eight nine ten") == [(3, 1, 0, 9, True)]
     assert d.Matcher([(3, item)]).matches("One two three and five or seven eight but ten") == []
 
 
+def test_an_item_is_matched_as_a_whole_at_every_length():
+    """The same share of edits is found at 32, 33 and 200 words, and an item under five words as it stands."""
+    for n in (1, 4, 5, 31, 32, 33, 59, 200):
+        words = [f"w{i}" for i in range(n)]
+        matcher = d.Matcher([(1, " ".join(words))])
+        changed = list(words)
+        for i in range(n // 5):
+            changed[i * 5] = "x"
+        assert matcher.matches("a b " + " ".join(changed) + " c") == [(1, n // 5, 2, n + 1, True)]
+        changed[next(i for i in range(n // 2, n) if changed[i] == words[i])] = "y"  # one edit more
+        assert not any(m[4] for m in matcher.matches(" ".join(changed)))
+    assert d.Matcher([(1, "one two")], least_words=3).matches("one two three") == []
+
+
+def test_a_quotation_from_a_longer_item():
+    words = [f"w{i}" for i in range(100)]
+    matcher = d.Matcher([(1, " ".join(words))])
+    for low in range(0, 53):
+        found = matcher.matches("a " + " ".join(words[low : low + 47]) + " b")
+        assert found and not found[0][4]
+
+
 def test_tables(spark, docs_of, edge_rows):
     item = "alpha beta gamma delta epsilon zeta eta theta"
-    benchmark = spark.createDataFrame([(1, item), (1, item), (2, None), (None, item), (3, ""), (4, "word another"), (5, "no id at all now")], ITEMS)
+    benchmark = spark.createDataFrame([(1, item), (1, item), (2, None), (None, item), (3, ""), (4, "nowhere to be found"), (5, "no id at all now")], ITEMS)
     rows = [*edge_rows, (20, f"before {item} after"), (20, f"before {item} after"), (21, "alpha beta gamma")]
     docs = docs_of(rows)
     got = sorted(map(tuple, d.leaks(docs, benchmark).where("doc_id is not null").collect()))
-    assert got == [(20, 1, 0, 1, 8)] * 2
+    assert got == [(20, 1, 0, 1, 8, True)] * 2
     assert [r.item_id for r in d.leaks(docs, benchmark).where("doc_id is null").collect()] == [5]
     kept = d.without_leaks(docs, benchmark)
     assert kept.columns == docs.columns and kept.count() == len(rows) - 3
