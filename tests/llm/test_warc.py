@@ -2,6 +2,12 @@ import base64
 import gzip
 import hashlib
 import io
+import random
+import time
+import zlib
+from html.parser import HTMLParser
+
+import pytest
 
 from paperloom.llm import warc
 from paperloom.llm.tables import table
@@ -35,6 +41,117 @@ def test_unclosed_elements_leave_the_text():
     assert warc.plain_text("<head><template>" * 50_000 + "end") == "end"
 
 
+def test_markup_that_is_malformed():
+    assert warc.plain_text('a<img alt="a > b">c') == "ac"
+    assert warc.plain_text("a<img alt = 'a > \"b'>c<p title=x>d") == "ac\nd"
+    assert warc.plain_text('one <a href="x>two</a> three') == "one two three"  # no closing quote: the tag ends at its >
+    assert warc.plain_text("1 < 2 <3 <<b>four</b> <p") == "1 < 2 <3 <four <p"
+    assert warc.plain_text("<!DOCTYPE html><?xml a?>x<!doctype") == "x<!doctype"
+    assert warc.plain_text("<p-x>a</p-x><pre>b</pre>") == "a\nb"
+
+
+@pytest.mark.parametrize(
+    "part", ["<script ", "<p ", "<", "<!", "</", "<p a=\"", "<a b=\">\"", "<a b='x", "<head><p", "<noscript>", "<!--", "<p =", "<td a='\"", "<template><title>"],
+)
+def test_any_markup_takes_linear_time(part):
+    start = time.perf_counter()
+    for tail in ("", ">", "'", '">'):
+        warc.plain_text(part * 20_000 + tail)
+        assert time.perf_counter() - start < 10
+
+
+class _Reader(HTMLParser):
+    """The same rules on top of Python's own parser, for pages without mistakes."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.out, self.hidden = [], []
+
+    def handle_starttag(self, tag, attrs):
+        if tag in ("script", "style", "noscript", "template", "head"):
+            self.hidden.append(tag)
+            self.out.append(" ")
+        self._mark(tag)
+
+    def handle_endtag(self, tag):
+        if self.hidden and self.hidden[-1] == tag:
+            self.hidden.pop()
+        self._mark(tag)
+
+    def _mark(self, tag):
+        if not self.hidden:
+            self.out.append("\n" if tag in warc.LINES else " " if tag in warc.CELLS else "")
+
+    def handle_comment(self, data):
+        self.out.append(" ")
+
+    def handle_data(self, data):
+        if not self.hidden:
+            self.out.append(data.replace("\r", " ").replace("\n", " "))
+
+    def text(self):
+        lines = (" ".join(line.split()) for line in "".join(self.out).split("\n"))
+        return "\n".join(line for line in lines if line)
+
+
+def test_equals_another_parser():
+    rng = random.Random(3)
+    words = ["one", "zwei", "漢字", "a &amp; b", "&lt;x&gt;", "5 &#62; 4", "\n", "\t ", "é", "x=y", "&nbsp;", '"q"', "it's"]
+    values = ['class="a b"', "title='x > y'", 'alt="1 > 2 \' 3"', "hidden", "data-x=1", 'a = "<p>"', ""]
+
+    def page(depth):
+        out = []
+        for _ in range(rng.randrange(5)):
+            kind = rng.choice(["p", "div", "b", "td", "span", "h2", "li", "noscript", "template", "br", "script", "comment", "text", "text", "a", "section"])
+            if kind == "text":
+                out.append(" ".join(rng.choices(words, k=rng.randrange(1, 4))))
+            elif kind == "comment":
+                out.append(f"<!-- {rng.choice(words)} <p> -->")
+            elif kind == "br":
+                out.append(rng.choice(["<br>", "<br/>", "<BR />"]))
+            elif kind == "script":
+                out.append("<script>if (a < b) { x = '<p>' }</script >" if rng.random() < 0.5 else "<style>p > b {}</style>")
+            else:
+                inner = rng.choice(words) if kind in ("noscript", "template") else page(depth + 1) if depth < 4 else "end"
+                out.append(f"<{kind} {rng.choice(values)}>{inner}</{kind}>")
+        return "".join(out)
+
+    for _ in range(1500):
+        html = f"<!DOCTYPE html><html><head><title>no</title><meta charset=utf-8></head><body>{page(0)}</body></html>"
+        reader = _Reader()
+        reader.feed(html)
+        reader.close()
+        assert warc.plain_text(html) == reader.text(), html
+
+
+def test_payloads_in_other_codings(spark, tmp_path):
+    page = "<p>Grüße &amp; Küsse</p>"
+    latin = page.encode("latin-1")
+    chunked = b"".join(f"{len(part):x};q=1\r\n".encode() + part + b"\r\n" for part in (latin[:5], latin[5:])) + b"0\r\n\r\n"
+    head = "HTTP/1.1 200 OK\r\n"
+    cases = {
+        "latin": (head + "Content-Type: text/html; charset=ISO-8859-1\r\n\r\n", latin),
+        "gzip": (head + "content-encoding: gzip\r\nContent-Type: text/html\r\n\r\n", gzip.compress(page.encode())),
+        "deflate": (head + "Content-Encoding: deflate\r\n\r\n", zlib.compress(page.encode())),
+        "chunked": (head + "Transfer-Encoding: chunked\r\nContent-Type: text/html; charset=\"latin-1\"\r\n\r\n", chunked),
+        "meta": (head + "\r\n", b"<meta charset='latin-1'>" + latin),
+        "unknown": (head + "Content-Type: text/html; charset=nope\r\n\r\n", page.encode()),
+        "not coded": (head + "Content-Encoding: gzip\r\nTransfer-Encoding: chunked\r\n\r\n", page.encode()),
+        "cut off": (head + "Content-Encoding: gzip\r\n\r\n", gzip.compress(page.encode() * 1)[:-4]),
+    }
+    with gzip.open(tmp_path / "r.warc.gz", "wb") as file:
+        for name, (http, payload) in cases.items():
+            more = [("WARC-Payload-Digest", "sha1:STATED")] if name == "latin" else []
+            file.write(warc.serialise("response", f"<{name}>", "http://a/", "2020-01-01T00:00:00Z", "application/http", http.encode() + payload, None, more))
+    read = warc.read_responses(spark, str(tmp_path))
+    assert {r.record_id: bytes(r.payload) for r in read.collect()} == {f"<{name}>": payload for name, (_, payload) in cases.items()}
+    records = warc.derivatives(read).collect()
+    assert {r.block for r in records if r.record_type == "conversion"} == {"Grüße & Küsse"}
+    digests = {r.refers_to: r.source_payload_digest for r in records}
+    assert digests.pop("<latin>") == "sha1:STATED"
+    assert digests == {f"<{name}>": warc.digest(payload) for name, (_, payload) in cases.items() if name != "latin"}
+
+
 def test_linked_records(spark):
     page = (1, "http://a/", "<p>Hé</p>")
     response = warc.responses(_pages(spark, [page])).first()
@@ -64,7 +181,7 @@ def test_round_trip_through_files(spark, tmp_path):
     expected = warc.responses(_pages(spark, rows)).orderBy("page_id").collect()
     with gzip.open(tmp_path / "r.warc.gz", "wb") as file:
         for r in expected:
-            file.write(warc.serialise("response", r.record_id, r.target_uri, r.date, "application/http", (r.http + r.payload).encode()))
+            file.write(warc.serialise("response", r.record_id, r.target_uri, r.date, "application/http", r.http.encode() + r.payload))
     got = {r.record_id: r for r in warc.read_responses(spark, str(tmp_path)).collect()}
     assert {r.record_id: (r.http, r.payload) for r in expected} == {k: (r.http, r.payload) for k, r in got.items()}
     records = warc.derivatives(warc.read_responses(spark, str(tmp_path)))
