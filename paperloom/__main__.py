@@ -19,6 +19,7 @@ COMMANDS = {
     "extract-topic": (jobs.extract_topic, ("cate", "topic")),
     "topic-count": (jobs.topic_count, ("cate", "topic")),
     "fill-data": (jobs.fill_data, ("name", "partition")),
+    "fill-data-stream": (jobs.fill_data_stream, ("name",)),
     "fill-data-status": (jobs.fill_status, ("name", "partition")),
     "merge-data": (jobs.merge_data, ("name",)),
     "clear-partition": (jobs.clear_partition, ("name", "keep")),

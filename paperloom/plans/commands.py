@@ -19,6 +19,7 @@ from paperloom.operators import complete as complete_ops
 from paperloom.operators import counts, export, extract, mask, match, variant, worklist
 from paperloom.session import durable
 from paperloom.sources import readers, writers
+from paperloom.streaming import completion
 from paperloom.streaming.ingest import BYTES_PER_BATCH, ingest, passed_over, shards_read
 
 
@@ -72,6 +73,9 @@ class Layout:
     def staging(self, name: str) -> str:
         return self._at("staging", name)
 
+    def outcomes(self, name: str) -> str:
+        return self._at("outcomes", name)
+
     def responses(self, name: str) -> str:
         return self._at("responses", name)
 
@@ -108,7 +112,10 @@ def _worklist(spark: SparkSession, layout: Layout, name: str) -> tuple[DataFrame
 
 
 def _staging(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
-    return readers.read_table_or_empty(spark, layout.staging(name), schemas.WORKLIST)
+    """Staging rows of both ways of completion: those that jobs have appended, and those that the stream has settled."""
+    appended = readers.read_table_or_empty(spark, layout.staging(name), schemas.WORKLIST)
+    main, _ = _worklist(spark, layout, name)
+    return appended.unionByName(completion.staged(main, completion.outcomes(spark, layout.outcomes(name))))
 
 
 # --- categories, topics, completion -------------------------------------------------------------------
@@ -160,6 +167,18 @@ def fill_data(spark: SparkSession, layout: Layout, name: str, partition: int) ->
     settled.write.mode("append").parquet(layout.staging(name))
 
 
+def fill_data_stream(
+    spark: SparkSession, layout: Layout, name: str, bytes_per_batch: int = completion.BYTES_PER_BATCH
+) -> DataFrame:
+    """Settle papers from the responses that have arrived since the last run; returns the status of the whole list.
+
+    The state of each paper is kept, so only new responses are read, whatever their order and however often they come.
+    """
+    path = layout.outcomes(name)
+    completion.settle(spark, layout.responses(name), path, f"{path}/checkpoint", bytes_per_batch)
+    return fill_status(spark, layout, name, worklist.ALL_PARTITIONS)
+
+
 def fill_status(spark: SparkSession, layout: Layout, name: str, partition: int) -> DataFrame:
     main, _ = _worklist(spark, layout, name)
     return worklist.fill_status(main, _staging(spark, layout, name), partition)

@@ -15,6 +15,7 @@ from paperloom.operators import complete, counts, export, extract, mask, match,
 from paperloom.plans import testdata as data
 from paperloom.plans.commands import Layout, ingest_corpus, latest
 from paperloom.sources import readers, writers
+from paperloom.streaming import completion
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -285,6 +286,22 @@ def complete_staging(spark, sf_dir):
     return _comparable(complete.complete(pending_work(spark, sf_dir), responses))
 
 
+def complete_staging_stream(spark, sf_dir):
+    """Same result as `complete_staging` from responses that arrive in three parts, each taken up by a run of its own.
+
+    The parts are made by a hash of the whole response, so the responses of a paper arrive in any order, some late.
+    """
+    path = _scratch(spark, "completion")
+    part = F.pmod(F.xxhash64("id", "status", "body"), F.lit(3))
+    responses = data.repeated_responses(spark, sf_dir)
+    for n in range(3):
+        responses.filter(part == n).write.mode("append").json(f"{path}/responses")
+        completion.settle(spark, f"{path}/responses", f"{path}/outcomes", f"{path}/checkpoint")
+    pending = pending_work(spark, sf_dir)
+    settled = completion.outcomes(spark, f"{path}/outcomes")
+    return _comparable(completion.staged(pending, settled))
+
+
 def merge_staging(spark, sf_dir):
     return _comparable(worklist.merge_staging(data.worklist(spark, sf_dir), data.repeated_staging(spark, sf_dir)))
 
@@ -556,7 +573,7 @@ REGISTERED: dict[str, Query] = {
         derived_names, audit_cleanup, crc_tokens, title_match, title_match_shuffled, match_rate, match_audit, label_counts, label_totals,
         corpus_count, corpus_topic_count, id_list_export, id_list_export_in_ranges, label_export, label_random_export, dense_id,
         range_export, paged_export, random_sample, label_sample, label_sample_joined, three_way_split, insert_or_ignore,
-        create_worklist, pending_work, fill_status, eta, classify_responses, complete_staging, merge_staging,
+        create_worklist, pending_work, fill_status, eta, classify_responses, complete_staging, complete_staging_stream, merge_staging,
         merged_count, reset_partition, complete_join, shard_checklist, unchecked_shards, variant_text, variant_text_fragmented,
         variant_year, variant_citations, mask_features, records_sink, category_sink, label_index_sink, audit_sink,
         variant_sink, masked_sink, completed_sink, append_sink, snapshot_scan, json_array_scan, json_array_layouts, manifest_scan,

@@ -372,4 +372,4 @@ def test_command_line(spark, layout):
     assert call("s2-cs-data-count").first()[0] == 1
     assert len(_records(call("export-s2-cs-data", 1, 30))) == 1
     assert len(_records(call("export-s2-cs-data-rand", "--amount", 1))) == 1
-    assert len(COMMANDS) == 22
+    assert len(COMMANDS) == 23
