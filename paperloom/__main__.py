@@ -30,6 +30,7 @@ COMMANDS = {
     "export-s2-cs-data": (jobs.export_range, ("first", "amount")),
     "export-s2-cs-data-rand": (jobs.export_random, ()),
     "export-s2-cs-data-from-id": (jobs.export_from_ids, ("ids_path",)),
+    "create-s2-index": (jobs.index_topics, ()),
     "count-s2-cs-topic": (jobs.corpus_topic_count, ("topic",)),
     "arxiv-s2-data-match": (jobs.match_label, ("cate",)),
     "arxiv-s2-data-match-all": (jobs.match_labels, ()),

@@ -15,13 +15,12 @@ def corpus_count(papers: DataFrame) -> DataFrame:
 
 def corpus_topic_count(papers: DataFrame, regex: str, checked_shards: DataFrame) -> DataFrame:
     """Papers of the checked shards that match a topic."""
-    return (
-        in_topic(papers.select("title", "abstract", "partition"), regex)
-        .groupBy("partition")
-        .agg(F.count("*").alias("n"))
-        .join(checked_shards, "partition", "left_semi")
-        .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_papers"))
-    )
+    return count_in_shards(in_topic(papers.select("title", "abstract", "partition"), regex), checked_shards)
+
+
+def count_in_shards(papers: DataFrame, shards: DataFrame) -> DataFrame:
+    counted = papers.groupBy("partition").agg(F.count("*").alias("n")).join(shards, "partition", "left_semi")
+    return counted.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_papers"))
 
 
 def label_counts(index: DataFrame, registry: list[Category]) -> DataFrame:

@@ -16,7 +16,7 @@ from paperloom import registry as reg
 from paperloom import schemas
 from paperloom.functions.text import source_label, worklist_category
 from paperloom.operators import complete as complete_ops
-from paperloom.operators import counts, export, extract, mask, match, variant, worklist
+from paperloom.operators import counts, export, extract, mask, match, topic_index, variant, worklist
 from paperloom.session import durable
 from paperloom.sources import readers, writers
 from paperloom.streaming import completion
@@ -64,6 +64,10 @@ class Layout:
     def index(self) -> str:
         return self._at("index")
 
+    @property
+    def topic_index(self) -> str:
+        return self._at("topic_index")
+
     def category(self, name: str) -> str:
         return self._at("category", f"cate={name}")
 
@@ -235,10 +239,27 @@ def corpus_count(spark: SparkSession, layout: Layout) -> DataFrame:
     return counts.corpus_count(readers.read_papers(spark, layout.papers))
 
 
+def index_topics(spark: SparkSession, layout: Layout) -> DataFrame:
+    """Add the shards that are new since the last run to the trigram index; returns how many shards it has."""
+    papers = readers.read_papers(spark, layout.papers, columns=("id", "title", "abstract", "partition"))
+    indexed = _topic_index(spark, layout).select("partition").distinct()
+    topic_index.write_postings(topic_index.postings(papers.join(indexed, "partition", "left_anti")), layout.topic_index)
+    return _topic_index(spark, layout).agg(F.count_distinct("partition").alias("shards"))
+
+
+def _topic_index(spark: SparkSession, layout: Layout) -> DataFrame:
+    return readers.read_table_or_empty(spark, layout.topic_index, topic_index.SCHEMA)
+
+
 def corpus_topic_count(spark: SparkSession, layout: Layout, topic: str, registry: Registry = None) -> DataFrame:
+    """Papers of a topic in the checked shards. Of shards in the trigram index only what may match is read."""
     checklist, _ = latest(spark, layout.checklist, schemas.CHECKLIST)
     regex = reg.topic_regex(reg.UMBRELLA.name, topic, registry)
-    return counts.corpus_topic_count(readers.read_papers(spark, layout.papers), regex, worklist.checked(checklist))
+    papers, shards = readers.read_papers(spark, layout.papers), worklist.checked(checklist)
+    if not readers.exists(spark, layout.topic_index):
+        return counts.corpus_topic_count(papers, regex, shards)
+    narrow = papers.select("id", "title", "abstract", "partition")
+    return counts.count_in_shards(topic_index.in_topic_by_shards(narrow, _topic_index(spark, layout), regex), shards)
 
 
 def _export(papers: DataFrame, layout: Layout, name: str) -> str:

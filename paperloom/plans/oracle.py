@@ -236,6 +236,18 @@ SQL: dict[str, str] = {
         "snapshot",
     ),
     "topic_filter": _with(f"SELECT id, title, abstract FROM papers WHERE {_TOPIC}", "papers"),
+    "topic_filter_indexed": _with(f"SELECT id, title, abstract FROM papers WHERE {_TOPIC}", "papers"),
+    # All trigrams of "and the" or all of "and-the" occur somewhere in the titles and abstracts of 128 ids.
+    "topic_candidates": _with(
+        f"""SELECT CAST(granule AS BIGINT) AS granule FROM (
+               SELECT id // 128 AS granule, translate(lower(coalesce(title, '') || chr(128) || coalesce(abstract, '')), '\u212a\u017f\u0131', 'ksi') AS t
+               FROM papers WHERE partition IN (SELECT partition FROM checklist WHERE is_checked = 1))
+           GROUP BY granule
+           HAVING bool_or(contains(t, 'and')) AND bool_or(contains(t, 'the'))
+               AND ((bool_or(contains(t, 'nd ')) AND bool_or(contains(t, 'd t')) AND bool_or(contains(t, ' th')))
+                 OR (bool_or(contains(t, 'nd-')) AND bool_or(contains(t, 'd-t')) AND bool_or(contains(t, '-th'))))""",
+        "papers", "toxic_french", "checklist",
+    ),
     "topic_count": _with(
         f"SELECT count(*) FILTER (WHERE {_TOPIC}) AS matched, count(*) AS total FROM papers", "papers"
     ),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from paperloom import registry as reg
 from paperloom import schemas, session
 from paperloom.functions import text
-from paperloom.operators import complete, counts, export, extract, mask, match, sample, variant, worklist
+from paperloom.operators import complete, counts, export, extract, mask, match, sample, topic_index, variant, worklist
 from paperloom.plans import testdata as data
 from paperloom.plans.commands import Layout, ingest_corpus, latest
 from paperloom.sources import readers, writers
@@ -45,6 +45,29 @@ def topic_filter(spark, sf_dir):
     return extract.in_topic(data.papers(spark, sf_dir), TOPIC).select("id", "title", "abstract")
 
 
+def _indexed_corpus(spark, sf_dir):
+    """The corpus as ingestion leaves it, and the trigram index of its checked shards."""
+    path = _scratch(spark, "topics")
+    papers = data.papers(spark, sf_dir).select("id", "title", "abstract", "partition")
+    papers.hint("rebalance", "partition").sortWithinPartitions("partition", "id").write.partitionBy("partition").parquet(f"{path}/papers")
+    stored = spark.read.schema(papers.schema).parquet(f"{path}/papers")
+    checked = worklist.checked(shard_checklist(spark, sf_dir))
+    topic_index.write_postings(topic_index.postings(stored.join(checked, "partition", "left_semi")), f"{path}/index")
+    return stored, readers.read_table(spark, f"{path}/index", topic_index.SCHEMA)
+
+
+def topic_filter_indexed(spark, sf_dir):
+    """Same result as `topic_filter` from the trigram index; shards that are not in it are searched as a whole."""
+    papers, index = _indexed_corpus(spark, sf_dir)
+    return topic_index.in_topic_by_shards(papers, index, TOPIC).select("id", "title", "abstract")
+
+
+def topic_candidates(spark, sf_dir):
+    """Granules of the indexed shards that a search for the topic reads."""
+    _, index = _indexed_corpus(spark, sf_dir)
+    return topic_index.candidates(index, TOPIC)
+
+
 def topic_count(spark, sf_dir):
     return extract.topic_count(data.papers(spark, sf_dir), TOPIC)
 
@@ -568,7 +591,7 @@ def incremental_ingest(spark, sf_dir):
 REGISTERED: dict[str, Query] = {
     query.__name__: query
     for query in (
-        category_filter, category_labels, category_count, topic_filter, topic_count, drop_columns,
+        category_filter, category_labels, category_count, topic_filter, topic_filter_indexed, topic_candidates, topic_count, drop_columns,
         completeness_filter, extract_topic, array_membership, author_names, authors_decode, drop_null_fields, title_key,
         derived_names, audit_cleanup, crc_tokens, title_match, title_match_shuffled, match_rate, match_audit, label_counts, label_totals,
         corpus_count, corpus_topic_count, id_list_export, id_list_export_in_ranges, label_export, label_random_export, dense_id,

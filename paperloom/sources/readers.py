@@ -86,11 +86,11 @@ def read_responses(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.RESPONSES).json(path)
 
 
-def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_table(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def read_table_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_table_or_empty(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """A table nobody has written yet reads as an empty one."""
     return read_table(spark, path, schema) if exists(spark, path) else spark.createDataFrame([], schema)
 

@@ -150,6 +150,9 @@ def test_corpus(spark, layout, tmp_path):
     }
     assert jobs.corpus_count(spark, layout).first()[0] == 5
     assert jobs.corpus_topic_count(spark, layout, "ml").first()[0] == 5
+    assert jobs.index_topics(spark, layout).first().shards == 2
+    assert jobs.corpus_topic_count(spark, layout, "ml").first()[0] == 5
+    assert jobs.index_topics(spark, layout).first().shards == 2
 
     rate = jobs.match_label(spark, layout, "cslg").first()
     assert (rate.n_keys, rate.n_matches, rate.rate) == (2, 3, 150.0)
@@ -372,4 +375,4 @@ def test_command_line(spark, layout):
     assert call("s2-cs-data-count").first()[0] == 1
     assert len(_records(call("export-s2-cs-data", 1, 30))) == 1
     assert len(_records(call("export-s2-cs-data-rand", "--amount", 1))) == 1
-    assert len(COMMANDS) == 23
+    assert len(COMMANDS) == 24
