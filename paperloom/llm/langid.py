@@ -29,6 +29,7 @@ BUCKET_BITS = 13
 BUCKETS = 1 << BUCKET_BITS
 DIMENSIONS = 16
 SAMPLE_PER_LANG, SAMPLE = 400, 2400  # documents learned from: per language, and in all
+DRAWN = 4  # times as many ids of a language are drawn by their hash before they are ranked
 EPOCHS, BATCH, RATE = 12, 32, 4.0
 WANTED_PRECISION = 0.99
 HASHED_AT_ONCE = 1 << 18  # bytes
@@ -133,10 +134,14 @@ def fit(docs: DataFrame) -> Model:
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))).select(
         F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang")
     )
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     # An id with several languages is learned as the first of them.
-    ids = known.groupBy("doc_id").agg(F.min("lang").alias("lang")).withColumn("n", F.row_number().over(by_hash))
-    chosen = ids.where(F.col("n") <= SAMPLE_PER_LANG).orderBy("n", "lang").limit(SAMPLE).collect()
+    ids = known.groupBy("doc_id").agg(F.min("lang").alias("lang")).withColumn("h", F.xxhash64("doc_id"))
+    # A share of each language's ids, by hash, is sure to hold the first ones in hash order; only these few are ranked.
+    share = ids.groupBy("lang").agg((F.lit(DRAWN * SAMPLE_PER_LANG) / F.count("*")).alias("share"))
+    drawn = ids.join(share, "lang").where(F.col("h") / F.lit(2.0**64) + 0.5 < F.col("share"))
+    by_hash = Window.partitionBy("lang").orderBy("h", "doc_id")
+    ranked = drawn.withColumn("n", F.row_number().over(by_hash)).where(F.col("n") <= SAMPLE_PER_LANG)
+    chosen = ranked.orderBy("n", "lang").limit(SAMPLE).select("doc_id", "lang").collect()
     if not chosen:
         return Model([], np.zeros((BUCKETS, 0)), np.zeros(0))
     sample = docs.sparkSession.createDataFrame([(r.doc_id, r.lang) for r in chosen], "doc_id long,own string")

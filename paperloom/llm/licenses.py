@@ -23,8 +23,57 @@ from paperloom.llm.tables import id_text, map_texts
 
 BASE = {"mit": "under the mit license", "apache-2": "apache license version 2", "cc-by-nc": "cc by nc"}
 
-# Wording of notices in public use, as templates (fixed values; wording must match).
+_REDISTRIBUTION = (
+    "redistribution and use in source and binary forms with or without modification are permitted provided that the following"
+    " conditions are met <<beginOptional>> 1 <<endOptional>> redistributions of source code must retain the above copyright"
+    " notice this list of conditions and the following disclaimer <<beginOptional>> 2 <<endOptional>> redistributions in"
+    " binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the"
+    " documentation and or other materials provided with the distribution"
+)
+_NO_ENDORSEMENT = (
+    " <<beginOptional>> 3 <<endOptional>> neither the name of <<var;1;12>> nor the names of <<var;1;4>> contributors may be used"
+    " to endorse or promote products derived from this software without specific prior written permission"
+)
+_DISCLAIMER = (
+    " this software is provided by <<var;1;12>> as is and any express or implied warranties including but not limited to the"
+    " implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall <<var;1;12>>"
+    " be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to"
+    " procurement of substitute goods or services loss of use data or profits or business interruption however caused and on"
+    " any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any"
+    " way out of the use of this software even if advised of the possibility of such damage"
+)
+
+# Whole licenses and notices in public use, as templates (fixed values; wording must match).
 TEMPLATES = {
+    "apache-2-header": (
+        "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the"
+        " license you may obtain a copy of the license at http <<beginOptional>> s <<endOptional>> www apache org licenses"
+        " license 2 0 <<beginOptional>> txt <<endOptional>> unless required by applicable law or agreed to in writing software"
+        " distributed under the license is distributed on an as is basis without warranties or conditions of any kind either"
+        " express or implied see the license for the specific language governing permissions and limitations under the license"
+    ),
+    "bsd-2-clause": _REDISTRIBUTION + _DISCLAIMER,
+    "bsd-3-clause": _REDISTRIBUTION + _NO_ENDORSEMENT + _DISCLAIMER,
+    "isc-license": (
+        "permission to use copy modify and <<beginOptional>> or <<endOptional>> distribute this software for any purpose with or"
+        " without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"
+        " the software is provided as is and <<var;1;12>> disclaims all warranties with regard to this software including all"
+        " implied warranties of merchantability and fitness in no event shall <<var;1;12>> be liable for any special direct"
+        " indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an"
+        " action of contract negligence or other tortious action arising out of or in connection with the use or performance of"
+        " this software"
+    ),
+    "mit-license": (
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated"
+        " documentation files the software to deal in the software without restriction including without limitation the rights"
+        " to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to"
+        " whom the software is furnished to do so subject to the following conditions the above copyright notice and this"
+        " permission notice <<beginOptional>> including the next paragraph <<endOptional>> shall be included in all copies or"
+        " substantial portions of the software the software is provided as is without warranty of any kind express or implied"
+        " including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement"
+        " in no event shall <<var;1;12>> be liable for any claim damages or other liability whether in an action of contract"
+        " tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software"
+    ),
     "apache-2-notice": (
         "licensed under the apache license version 2 0 <<beginOptional>> the license <<endOptional>>"
         " <<beginOptional>> you may not use this file except in compliance with the license <<endOptional>>"
@@ -82,6 +131,7 @@ class Automaton:
         # Deterministic states are sets of states, made when first met; few are, since texts are mostly other words.
         self.alphabet = {word for edges in self.edges for word, _ in edges if word is not ANY}
         self.first = {word for state in self.start for word, _ in self.edges[state]}
+        self.any_first = ANY in self.first  # a template begins with a replaceable region
         self.known: dict[frozenset, dict] = {}
         self.ends: dict[frozenset, list[str]] = {}
 
@@ -147,10 +197,10 @@ class Automaton:
     def scan(self, words: list[bytes]) -> dict[str, list[int]]:
         """Positions of the last word of every accepted place, by label."""
         found: dict[str, list[int]] = {}
-        states, start, first, at = self.start, self.start, self.first, 0
+        states, start, first, any_first = self.start, self.start, self.first, self.any_first
         step, labels_at = self.step, self.labels_at
         for at, word in enumerate(words):
-            if states is start and word not in first:
+            if states is start and word not in first and not any_first:
                 continue
             states = step(states, word)
             if states == start:

@@ -7,6 +7,8 @@ Queries and candidates are dealt into blocks by a hash of their id, and every qu
 in one task of bounded size. Nothing is broadcast. A large number of equal vectors only makes equal scores: blocks hold
 rows, not keys.
 
+Components travel as 32-bit numbers if all of them fit.
+
 Vectors that are null or hold null or non-finite components, and rows without an id, take no part. Vectors of unequal
 length are compared as if the shorter one ended in zeros. Rows that repeat an id are candidates each on their own, and
 none of them is a candidate of a query of that id; a query whose id is repeated is answered
@@ -23,8 +25,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-QUERY_BLOCK = 1024  # query rows of a task
-CANDIDATE_BLOCK = 2048  # candidate rows of a task
+QUERY_BLOCK = 8192  # query rows of a task; each is sent to every block of candidates
+CANDIDATE_BLOCK = 32_768  # candidate rows of a task; each is sent to every block of queries
+SMALL_BLOCK, PAIRS = 2048, 64  # a small table is cut into blocks down to this size until there are so many tasks
 DENSE = 16  # posting lists longer than one in so many candidates are added as whole columns
 SCORED_AT_ONCE = 64  # query rows whose dense scores are held at once
 
@@ -98,14 +101,30 @@ def best_of_block(query_ids, queries, candidate_ids, candidates, k: int):
     return tuple(np.concatenate(x) if x else np.zeros(0, np.int64) for x in (out_q, out_c, out_s))
 
 
+def blocks(n_queries: int, n_candidates: int, query_block: int, candidate_block: int) -> tuple[int, int]:
+    """Numbers of blocks of queries and of candidates."""
+    q_blocks, c_blocks = max(1, -(-n_queries // query_block)), max(1, -(-n_candidates // candidate_block))
+    enough = min(-(-PAIRS // q_blocks), -(-n_candidates // min(SMALL_BLOCK, candidate_block)))
+    return q_blocks, max(c_blocks, enough)
+
+
+def _measured(vectors: DataFrame) -> tuple[int, bool]:
+    """Number of rows, and whether all components fit into 32 bits."""
+    most = F.max(F.greatest(F.array_max("v"), -F.array_min("v")))
+    n, reach = vectors.agg(F.count("*"), most).first()
+    return n, (reach or 0) < 1 << 31
+
+
 def top_k(
     queries: DataFrame, candidates: DataFrame, k: int = 20,
     query_block: int = QUERY_BLOCK, candidate_block: int = CANDIDATE_BLOCK,
 ) -> DataFrame:
     """query_id, rank, vec_id, score of the k best candidates of each query; both inputs as `quantise` returns them."""
     queries = queries.groupBy("vec_id").agg(F.min("v").alias("v"))
-    n_queries, n_candidates = queries.count(), candidates.count()
-    q_blocks, c_blocks = max(1, -(-n_queries // query_block)), max(1, -(-n_candidates // candidate_block))
+    (n_queries, narrow), (n_candidates, also) = _measured(queries), _measured(candidates)
+    q_blocks, c_blocks = blocks(n_queries, n_candidates, query_block, candidate_block)
+    if narrow and also:
+        queries, candidates = (t.withColumn("v", F.col("v").cast("array<int>")) for t in (queries, candidates))
     # Equal ids would meet in one block if candidates were not dealt by their components as well.
     q = queries.withColumn("q", F.pmod(F.xxhash64("vec_id"), F.lit(q_blocks))).withColumn(
         "c", F.explode(F.expr(f"sequence(0L, {c_blocks - 1}L)"))

@@ -45,6 +45,37 @@ def test_mandatory_wording_must_match_exactly():
     assert "rights-reserved" in _scan("Copyright " + "x " * 8 + "all rights reserved")[5]
 
 
+def test_a_template_that_begins_with_a_replaceable_region():
+    scan = licenses.scanner(templates={"any": "<<var;1;2>> public license", "maybe": "<<beginOptional>> <<var;1;1>> <<endOptional>> open words"})
+    for text, labels in (
+        ("foo public license", "any"), ("a b foo public license", "any"), ("public license", ""), ("x open words", "maybe"), ("open words", "maybe"),
+    ):
+        assert scan(text)[5] == labels, text
+
+
+def _filled(markup, optional=True):
+    """A license with its regions filled in, with commas and capitals as a file has them."""
+    text = re.sub(r"<<beginOptional>>(.*?)<<endOptional>>", r"\1" if optional else " ", markup)
+    return re.sub(r"<<var;\d+;\d+>>", "THE Author, or Holders", text).replace(" the ", ", The ").replace(" software ", "\n SOFTWARE. ")
+
+
+@pytest.mark.parametrize("label", ["apache-2-header", "bsd-2-clause", "bsd-3-clause", "isc-license", "mit-license"])
+def test_whole_licenses(label):
+    markup = licenses.TEMPLATES[label]
+    assert len(markup.split()) > 80
+    for optional in (True, False):
+        text = "Copyright (c) 2020 A.\n\n" + _filled(markup, optional) + "\nint main() {}"
+        found = _scan(text)
+        assert label in found[5].split(",") and found[6] == 1.0
+        # One word of the mandatory wording changed, dropped or added: no longer this license.
+        words = text.split()
+        at = next(i for i, w in enumerate(words) if w in ("notice", "express") and i > 30)
+        for changed in ([*words[:at], "other", *words[at + 1 :]], words[:at] + words[at + 1 :], [*words[:at], "very", *words[at:]]):
+            assert label not in _scan(" ".join(changed))[5].split(",")
+    two, three = (_scan(_filled(licenses.TEMPLATES[f"bsd-{n}-clause"]))[5].split(",") for n in (2, 3))
+    assert "bsd-3-clause" not in two and "bsd-2-clause" not in three
+
+
 def test_markup_is_checked():
     with pytest.raises(ValueError, match="without an end"):
         licenses.Automaton({"t": "a <<beginOptional>> b"})

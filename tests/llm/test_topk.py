@@ -47,3 +47,11 @@ def test_ties_nulls_and_short_tables(spark):
 def test_large_components_keep_64_bits(spark):
     rows = [(0, [1e6, 2e6]), (1, [3e6, -1e6]), (2, [5e6, 4e6])]
     assert _search(spark, rows) == _brute(rows, 5)
+
+
+def test_blocks_are_few_for_large_tables_and_enough_for_small_ones():
+    assert topk.blocks(0, 0, 8192, 32_768) == (1, 1)
+    assert topk.blocks(100, 2_000, 8192, 32_768) == (1, 1)
+    assert topk.blocks(2_564, 51_282, 8192, 32_768) == (1, 26)
+    q, c = topk.blocks(5_000_000, 100_000_000, 8192, 32_768)
+    assert (q, c) == (611, 3052)
