@@ -15,6 +15,11 @@ HOT_ROWS = 1_000_000
 # An index whose text is measured to be at most this long is broadcast instead.
 BROADCAST_BYTES = 128 * 1024 * 1024
 
+# Bits of the key filter per key of a long index, and its size: at most 64 MB are sent to every task. Beyond it, more
+# corpus rows pass than need to; none is lost.
+FILTER_BITS_PER_KEY = 8
+LEAST_FILTER_BITS, MOST_FILTER_BITS = 1 << 15, 1 << 29
+
 
 def title_index(
     snapshot: DataFrame, registry: list[Category], ord: Column | None = None, drop_empty_key: bool = False
@@ -63,19 +68,43 @@ def match_titles(
 ) -> DataFrame:
     """Every corpus paper whose key is in the index, once per label.
 
-    `index` is read twice, so pass a checkpointed one. Its text is measured first: a short index is broadcast,
-    which leaves the corpus where it is; a long one is joined by a shuffle that spreads hot keys.
+    `index` is read several times, so pass a checkpointed one. Its text is measured first: a short index is broadcast,
+    which leaves the corpus where it is. A long one is joined by a shuffle that spreads hot keys; before it, corpus rows
+    whose key can't be in the index are left out by a filter of the keys' hashes.
     """
     corpus = with_title_key(papers).select("id", F.col("title").alias("s_title"), "title_key")
     text_bytes = sum((F.octet_length(F.coalesce(c, F.lit(""))) for c in index.columns), F.lit(0))
-    measured = index.agg(F.sum(text_bytes.cast("bigint"))).first()[0] or 0
-    if measured <= broadcast_bytes:
+    measured, keys = index.agg(F.sum(text_bytes.cast("bigint")), F.count("*")).first()
+    if (measured or 0) <= broadcast_bytes:
         matched = corpus.join(F.broadcast(index), "title_key")
     else:
-        matched = _spread_join(corpus, index, hot_rows)
+        matched = _spread_join(may_match(corpus, index, keys), index, hot_rows)
     return matched.select("cate", "id", "arxiv_id", "categories", "a_title", "s_title")
 
 
+def _filter_place(bits: int) -> tuple[Column, Column]:
+    """The bitmap of a key's bit and the bit's place in it."""
+    bit = F.pmod(F.xxhash64("title_key"), F.lit(bits))
+    size = 8 * 4096  # fixed value: bits of what bitmap_construct_agg makes
+    return F.floor(bit / size).cast("int").alias("_bitmap"), (bit % size).cast("int").alias("_bit")
+
+
+def key_filter(index: DataFrame, keys: int) -> tuple[DataFrame, int]:
+    """A bitmap of the hashes of the index's keys, one row per 32,768 bits, and its number of bits."""
+    bits = min(MOST_FILTER_BITS, max(LEAST_FILTER_BITS, 1 << (FILTER_BITS_PER_KEY * max(1, keys) - 1).bit_length()))
+    places = index.select(*_filter_place(bits))
+    return places.groupBy("_bitmap").agg(F.expr("bitmap_construct_agg(_bit)").alias("_bits")), bits
+
+
+def may_match(corpus: DataFrame, index: DataFrame, keys: int) -> DataFrame:
+    """The corpus rows whose key may be in the index: all that are, and of the others about one in eight."""
+    bitmaps, bits = key_filter(index, keys)
+    octet = F.conv(F.hex(F.substring("_bits", F.floor(F.col("_bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.floor(octet / F.pow(F.lit(2), F.col("_bit") % 8)) % 2 == 1
+    # Bounded broadcast: MOST_FILTER_BITS / 8 bytes.
+    return corpus.select("*", *_filter_place(bits)).join(F.broadcast(bitmaps), "_bitmap").filter(is_set).select(*corpus.columns)
+
+
 def _spread_join(corpus: DataFrame, index: DataFrame, hot_rows: int) -> DataFrame:
     """Shuffled join in which no task gets more than about `hot_rows` corpus rows of one key.
 

@@ -163,3 +163,24 @@ def test_status_takes_one_shuffle_of_ids(spark):
     main = testdata.worklist(spark, SF_DIR)
     plan = _plan(worklist.fill_status(main, main))
     assert plan.count("Exchange hashpartitioning(id") == 1 and "partial_max" in plan
+
+
+def test_key_filter_of_a_long_index(spark):
+    """Before the shuffle, titles that can't match are left out: none that match, and most of the others."""
+    index = spark.range(2_000).selectExpr("'cslg' AS cate", "concat('title ', id * 7) AS title_key", "cast(id AS string) AS arxiv_id", "'t' AS a_title", "'cs.LG' AS categories")
+    corpus = spark.range(40_000).selectExpr("id", "concat('Title ', id) AS title", "concat('title ', id) AS title_key")
+    narrow = corpus.withColumnRenamed("title", "s_title")
+    passed = match.may_match(narrow, index, 2_000)
+    assert passed.columns == narrow.columns
+    ids = {r.id for r in passed.select("id").collect()}
+    matching = {i for i in range(40_000) if i % 7 == 0 and i < 14_000}
+    assert matching <= ids and len(ids - matching) < 0.2 * 40_000
+    found = match.match_titles(index, corpus, broadcast_bytes=0)
+    assert sorted(r.id for r in found.select("id").collect()) == sorted(matching)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "bitmap_construct_agg" in plan
+    # A filter that is too small for its keys lets more through and loses nothing.
+    assert matching <= {r.id for r in match.may_match(narrow, index, 1).select("id").collect()}
+    assert match.may_match(narrow, index.limit(0), 0).count() == 0
+    nothing = narrow.limit(0)
+    assert match.may_match(nothing, index, 2_000).count() == 0
