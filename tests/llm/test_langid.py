@@ -1,5 +1,7 @@
 import zlib
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from paperloom.llm import langid
@@ -49,3 +51,24 @@ def test_long_texts_are_counted_in_whole(monkeypatch):
     whole = langid.bucket_counts(text)
     monkeypatch.setattr(langid, "HASHED_AT_ONCE", 37)
     assert (langid.bucket_counts(text) == whole).all()
+
+
+def test_predictions_equal_the_definition():
+    """Subwords one by one: their buckets, the average of their rows, and the softmax of the sums."""
+    rng = np.random.default_rng(3)
+    model = langid.Model(["a", "b", "c"], rng.standard_normal((langid.BUCKETS, 3)), rng.standard_normal(3), 1.5, 0.5)
+    for text in ("Das ist ein Satz.", "Une phrase, déjà vu 12!", "x", "漢字 かな", "A\tb\n c", "word " * 200):
+        letters = "".join(c if ord(c) >= 0x80 or "a" <= c <= "z" else " " for c in text.lower())
+        raw = b" " + " ".join(letters.split(" ")).encode() + b" "
+        while b"  " in raw:
+            raw = raw.replace(b"  ", b" ")
+        places = []
+        for size in (2, 3, 4):
+            for i in range(len(raw) - size + 1):
+                value = int.from_bytes(raw[i : i + size], "big") ^ size
+                places.append((value * 2654435761 % 2**32) >> (32 - langid.BUCKET_BITS))
+        assert np.array_equal(langid.bucket_counts(text), np.bincount(places, minlength=langid.BUCKETS))
+        z = (model.table[places].mean(0) + model.bias) / model.temperature
+        p = np.exp(z) / np.exp(z).sum()
+        lang, score, accepted = model.predict(text)
+        assert lang == "abc"[p.argmax()] and score == pytest.approx(p.max()) and accepted == (p.max() >= 0.5)
