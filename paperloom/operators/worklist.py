@@ -27,8 +27,8 @@ def insert_or_ignore(existing: DataFrame, new: DataFrame, key: str = "id") -> Da
     return new.dropDuplicates([key]).join(existing.select(key), key, "left_anti")
 
 
-def create_worklist(ids: DataFrame, existing: DataFrame, seed: int, full: int | None = None) -> DataFrame:
-    """`existing` plus the ids it lacks, split in three. With `full`, a list of just that size stays as it is."""
+def new_rows(ids: DataFrame, existing: DataFrame, seed: int, full: int | None = None) -> DataFrame:
+    """Open rows of the ids that `existing` lacks, split in three. With `full`, a list of just that size gets none."""
     split = three_way_split(ids.select("id").distinct(), "id", seed)
     if full is not None:
         split = split.filter(existing.agg(F.count("*")).scalar() != full)
@@ -42,7 +42,12 @@ def create_worklist(ids: DataFrame, existing: DataFrame, seed: int, full: int |
             F.lit(TODO).alias("filled"),
         )
     )
-    return existing.unionByName(insert_or_ignore(existing, open_rows))
+    return insert_or_ignore(existing, open_rows)
+
+
+def create_worklist(ids: DataFrame, existing: DataFrame, seed: int, full: int | None = None) -> DataFrame:
+    """`existing` plus the rows of the ids it lacks."""
+    return existing.unionByName(new_rows(ids, existing, seed, full))
 
 
 def pending(main: DataFrame, staging: DataFrame, partition: int = ALL_PARTITIONS) -> DataFrame:
@@ -136,6 +141,12 @@ def merge_staging(main: DataFrame, staging: DataFrame) -> DataFrame:
     )
 
 
+def merged_rows(main: DataFrame, staging: DataFrame) -> DataFrame:
+    """Only the rows that `merge_staging` changes."""
+    still_open = main.filter(F.col("filled").eqNullSafe(TODO)).select("id", "partition")
+    return still_open.join(fold_staging(staging), "id").select("id", *VALUES, "partition", "filled")
+
+
 def merged_count(staging: DataFrame) -> DataFrame:
     """Number of settled staging rows."""
     return staging.agg(F.count_if(F.col("filled").isin(DONE, ERROR)).alias("merged"))
@@ -148,6 +159,14 @@ def reset_outside(main: DataFrame, keep: int) -> DataFrame:
     return main.withColumns({**values, "filled": F.when(kept, F.col("filled")).otherwise(TODO)})
 
 
+def reset_rows(main: DataFrame, keep: int) -> DataFrame:
+    """Only the rows that `reset_outside` changes."""
+    blank = F.col("filled").eqNullSafe(TODO)
+    for v in VALUES:
+        blank = blank & F.col(v).isNull()
+    return reset_outside(main.filter(~F.col("partition").eqNullSafe(keep) & ~blank), keep)
+
+
 def init_checklist(manifest: DataFrame, existing: DataFrame) -> DataFrame:
     """Checklist with every shard of the manifest, unchecked if new."""
     fresh = manifest.select("partition", F.lit(0).alias("is_checked"))

@@ -1,7 +1,7 @@
 """The jobs a user runs, one function per command, over one folder layout.
 
-Mutable tables (work-list, checklist) are small and kept as numbered snapshots: a job reads the newest one and
-writes the next. A snapshot counts once its write has left its success mark, so a failed job leaves the old state in place.
+Mutable tables (work-list, checklist) are kept as a base and change sets: a job reads the newest state and writes the rows it
+changes. A change counts once its write has left its success mark, so a failed job leaves the old state in place.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from paperloom.operators import complete as complete_ops
 from paperloom.operators import counts, export, extract, mask, match, topic_index, variant, worklist
 from paperloom.session import durable
 from paperloom.sources import readers, writers
+from paperloom.sources.versions import changed_rows, commit_changes, read_version
 from paperloom.streaming import completion
 from paperloom.streaming.ingest import BYTES_PER_BATCH, ingest, passed_over, shards_read
 
@@ -95,15 +96,8 @@ class Layout:
 
 
 def latest(spark: SparkSession, path: str, schema: StructType) -> tuple[DataFrame, int]:
-    """Newest finished snapshot of a small mutable table and its number; an empty table and -1 if there is none."""
-    versions = readers.finished_versions(spark, path)
-    if not versions:
-        return spark.createDataFrame([], schema), -1
-    return spark.read.schema(schema).parquet(f"{path}/snapshot={versions[-1]}"), versions[-1]
-
-
-def _commit(spark: SparkSession, df: DataFrame, path: str, version: int) -> None:
-    writers.write_snapshot(df, f"{path}/snapshot={version + 1}")
+    """Newest finished state of a small mutable table and its number; an empty table and -1 if there is none."""
+    return read_version(spark, path, schema)
 
 
 def _read_category(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
@@ -154,7 +148,7 @@ def extract_topic(
     ids = readers.read_table(spark, path, ids.schema)
     if store:
         existing, version = _worklist(spark, layout, name)
-        _commit(spark, worklist.create_worklist(ids, existing, seed), layout.worklist(name), version)
+        commit_changes(worklist.new_rows(ids, existing, seed), layout.worklist(name), version, schemas.WORKLIST)
     return extract.topic_count(papers, regex).withColumn("picked", F.lit(ids.count()))
 
 
@@ -191,13 +185,14 @@ def fill_status(spark: SparkSession, layout: Layout, name: str, partition: int)
 def merge_data(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
     main, version = _worklist(spark, layout, name)
     staging = _staging(spark, layout, name)
-    _commit(spark, worklist.merge_staging(main, staging), layout.worklist(name), version)
-    return worklist.merged_count(staging)
+    merged = worklist.merged_count(staging)
+    commit_changes(worklist.merged_rows(main, staging), layout.worklist(name), version, schemas.WORKLIST)
+    return merged
 
 
 def clear_partition(spark: SparkSession, layout: Layout, name: str, keep: int) -> None:
     main, version = _worklist(spark, layout, name)
-    _commit(spark, worklist.reset_outside(main, keep), layout.worklist(name), version)
+    commit_changes(worklist.reset_rows(main, keep), layout.worklist(name), version, schemas.WORKLIST)
 
 
 def export_data(spark: SparkSession, layout: Layout, name: str) -> None:
@@ -213,7 +208,8 @@ def export_data(spark: SparkSession, layout: Layout, name: str) -> None:
 def init_corpus(spark: SparkSession, layout: Layout) -> None:
     existing, version = latest(spark, layout.checklist, schemas.CHECKLIST)
     shards = readers.read_manifest(spark, layout.manifest)
-    _commit(spark, worklist.init_checklist(shards, existing), layout.checklist, version)
+    known = worklist.init_checklist(shards, existing)
+    commit_changes(changed_rows(known, existing), layout.checklist, version, schemas.CHECKLIST)
 
 
 def ingest_corpus(spark: SparkSession, layout: Layout, bytes_per_batch: int = BYTES_PER_BATCH) -> DataFrame:
@@ -225,7 +221,7 @@ def ingest_corpus(spark: SparkSession, layout: Layout, bytes_per_batch: int = BY
     read = shards_read(spark, layout.chunks)
     checklist, version = latest(spark, layout.checklist, schemas.CHECKLIST)
     known = worklist.init_checklist(landed.union(read).distinct(), checklist)
-    _commit(spark, worklist.mark_checked(known, read), layout.checklist, version)
+    commit_changes(changed_rows(worklist.mark_checked(known, read), checklist), layout.checklist, version, schemas.CHECKLIST)
     both = landed.withColumn("landed", F.lit(1)).join(read.withColumn("read", F.lit(1)), "partition", "full")
     shards = both.agg(
         F.count("landed").alias("shards_landed"), F.count("read").alias("shards_read"),

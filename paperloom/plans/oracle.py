@@ -403,6 +403,19 @@ SQL: dict[str, str] = {
            LEFT JOIN folded_staging s USING (id)"""),
         "worklist", "staging", "repeated_staging", "folded_staging",
     ),
+    "state_changes": _with(
+        _comparable("""SELECT id, CASE WHEN partition IS NOT DISTINCT FROM 1 THEN venue END AS venue,
+                  CASE WHEN partition IS NOT DISTINCT FROM 1 THEN year END AS year,
+                  CASE WHEN partition IS NOT DISTINCT FROM 1 THEN n_citations END AS n_citations, partition,
+                  CASE WHEN partition IS NOT DISTINCT FROM 1 THEN filled ELSE 0 END AS filled
+           FROM (SELECT w.id, CASE WHEN t THEN s.venue ELSE w.venue END AS venue,
+                     CASE WHEN t THEN s.year ELSE w.year END AS year,
+                     CASE WHEN t THEN s.n_citations ELSE w.n_citations END AS n_citations, w.partition,
+                     CASE WHEN t THEN s.filled ELSE w.filled END AS filled
+                 FROM (SELECT w.*, w.filled = 0 AND s.id IS NOT NULL AS t FROM worklist w LEFT JOIN folded_staging s USING (id)) w
+                 LEFT JOIN folded_staging s USING (id))"""),
+        "worklist", "staging", "repeated_staging", "folded_staging",
+    ),
     "merged_count": _with("SELECT count(*) AS merged FROM staging WHERE filled <> 0", "staging"),
     "reset_partition": _with(
         _comparable("""SELECT id, CASE WHEN partition IS NOT DISTINCT FROM 1 THEN venue END AS venue,

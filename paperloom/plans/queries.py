@@ -14,7 +14,7 @@ from paperloom.functions import text
 from paperloom.operators import complete, counts, export, extract, mask, match, sample, topic_index, variant, worklist
 from paperloom.plans import testdata as data
 from paperloom.plans.commands import Layout, ingest_corpus, latest
-from paperloom.sources import readers, writers
+from paperloom.sources import readers, versions, writers
 from paperloom.streaming import completion
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -329,6 +329,17 @@ def merge_staging(spark, sf_dir):
     return _comparable(worklist.merge_staging(data.worklist(spark, sf_dir), data.repeated_staging(spark, sf_dir)))
 
 
+def state_changes(spark, sf_dir):
+    """The work-list after a merge and a reset, each committed as a change set and read back over the base."""
+    path = _scratch(spark, "versions")
+    versions.commit_changes(data.worklist(spark, sf_dir), path, -1, schemas.WORKLIST, most_changes=0)
+    main, number = versions.read_version(spark, path, schemas.WORKLIST)
+    versions.commit_changes(worklist.merged_rows(main, data.repeated_staging(spark, sf_dir)), path, number, schemas.WORKLIST)
+    main, number = versions.read_version(spark, path, schemas.WORKLIST)
+    versions.commit_changes(worklist.reset_rows(main, 1), path, number, schemas.WORKLIST)
+    return _comparable(versions.read_version(spark, path, schemas.WORKLIST)[0])
+
+
 def merged_count(spark, sf_dir):
     return worklist.merged_count(data.staging(spark, sf_dir))
 
@@ -596,7 +607,7 @@ REGISTERED: dict[str, Query] = {
         derived_names, audit_cleanup, crc_tokens, title_match, title_match_shuffled, match_rate, match_audit, label_counts, label_totals,
         corpus_count, corpus_topic_count, id_list_export, id_list_export_in_ranges, label_export, label_random_export, dense_id,
         range_export, paged_export, random_sample, label_sample, label_sample_joined, three_way_split, insert_or_ignore,
-        create_worklist, pending_work, fill_status, eta, classify_responses, complete_staging, complete_staging_stream, merge_staging,
+        create_worklist, pending_work, fill_status, eta, classify_responses, complete_staging, complete_staging_stream, merge_staging, state_changes,
         merged_count, reset_partition, complete_join, shard_checklist, unchecked_shards, variant_text, variant_text_fragmented,
         variant_year, variant_citations, mask_features, records_sink, category_sink, label_index_sink, audit_sink,
         variant_sink, masked_sink, completed_sink, append_sink, snapshot_scan, json_array_scan, json_array_layouts, manifest_scan,

@@ -105,8 +105,8 @@ def exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def finished_versions(spark: SparkSession, path: str) -> list[int]:
-    """Numbers of the `snapshot=<n>` folders whose write came to its end, from their names alone."""
+def finished_versions(spark: SparkSession, path: str, kind: str = "snapshot") -> list[int]:
+    """Numbers of the `<kind>=<n>` folders whose write came to its end, from their names alone."""
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     folder = hadoop_path(path)
     files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -114,4 +114,4 @@ def finished_versions(spark: SparkSession, path: str) -> list[int]:
         return []
     found = [status.getPath() for status in files.listStatus(folder) if status.isDirectory()]
     named = [(p.getName().partition("="), p) for p in found]
-    return sorted(int(n) for (key, _, n), p in named if key == "snapshot" and files.exists(hadoop_path(p, "_SUCCESS")))
+    return sorted(int(n) for (key, _, n), p in named if key == kind and files.exists(hadoop_path(p, "_SUCCESS")))
