@@ -529,3 +529,6 @@ SQL: dict[str, str] = {
         "shard_records", "shaped",
     ),
 }
+# Queries that take another way to the same rows.
+SQL["id_list_export_bucketed"] = SQL["id_list_export"]
+SQL["merge_staging_bucketed"] = SQL["merge_staging"]

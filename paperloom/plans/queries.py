@@ -14,7 +14,7 @@ from paperloom.functions import text
 from paperloom.operators import complete, counts, export, extract, mask, match, sample, topic_index, variant, worklist
 from paperloom.plans import testdata as data
 from paperloom.plans.commands import Layout, ingest_corpus, latest
-from paperloom.sources import readers, versions, writers
+from paperloom.sources import buckets, readers, versions, writers
 from paperloom.streaming import completion
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -223,6 +223,15 @@ def id_list_export_in_ranges(spark, sf_dir):
     return export.by_ids(orders, ids, broadcast_bytes=max(16, size // 2)).select("id", "o_custkey", "o_orderpriority")
 
 
+def id_list_export_bucketed(spark, sf_dir):
+    """Same result as `id_list_export` from a table dealt out by id, which stays where it is."""
+    path = _scratch(spark, "orders")
+    orders = data.table(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "id").select("id", "o_custkey", "o_orderpriority")
+    buckets.write_bucketed(orders, path, "id", buckets.buckets_for(spark, orders.count()))
+    ids = data.table(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'").select(F.col("l_orderkey").alias("id"))
+    return buckets.by_ids_in_place(buckets.read_bucketed(spark, path), ids)
+
+
 def label_export(spark, sf_dir):
     index = match.label_index(_matches(spark, sf_dir))
     papers = export.record_columns(export.of_label(data.papers(spark, sf_dir), index, "cspl"))
@@ -329,6 +338,14 @@ def merge_staging(spark, sf_dir):
     return _comparable(worklist.merge_staging(data.worklist(spark, sf_dir), data.repeated_staging(spark, sf_dir)))
 
 
+def merge_staging_bucketed(spark, sf_dir):
+    """Same result as `merge_staging` from a work-list dealt out by id, which stays where it is."""
+    path = _scratch(spark, "worklist")
+    main = data.worklist(spark, sf_dir)
+    buckets.write_bucketed(main, path, "id", buckets.buckets_for(spark, main.count()))
+    return _comparable(worklist.merge_staging(buckets.read_bucketed(spark, path), data.repeated_staging(spark, sf_dir)))
+
+
 def state_changes(spark, sf_dir):
     """The work-list after a merge and a reset, each committed as a change set and read back over the base."""
     path = _scratch(spark, "versions")
@@ -605,9 +622,9 @@ REGISTERED: dict[str, Query] = {
         category_filter, category_labels, category_count, topic_filter, topic_filter_indexed, topic_candidates, topic_count, drop_columns,
         completeness_filter, extract_topic, array_membership, author_names, authors_decode, drop_null_fields, title_key,
         derived_names, audit_cleanup, crc_tokens, title_match, title_match_shuffled, match_rate, match_audit, label_counts, label_totals,
-        corpus_count, corpus_topic_count, id_list_export, id_list_export_in_ranges, label_export, label_random_export, dense_id,
+        corpus_count, corpus_topic_count, id_list_export, id_list_export_in_ranges, id_list_export_bucketed, label_export, label_random_export, dense_id,
         range_export, paged_export, random_sample, label_sample, label_sample_joined, three_way_split, insert_or_ignore,
-        create_worklist, pending_work, fill_status, eta, classify_responses, complete_staging, complete_staging_stream, merge_staging, state_changes,
+        create_worklist, pending_work, fill_status, eta, classify_responses, complete_staging, complete_staging_stream, merge_staging, merge_staging_bucketed, state_changes,
         merged_count, reset_partition, complete_join, shard_checklist, unchecked_shards, variant_text, variant_text_fragmented,
         variant_year, variant_citations, mask_features, records_sink, category_sink, label_index_sink, audit_sink,
         variant_sink, masked_sink, completed_sink, append_sink, snapshot_scan, json_array_scan, json_array_layouts, manifest_scan,
