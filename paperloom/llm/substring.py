@@ -159,6 +159,20 @@ def _pieces_of(wanted, text):
         yield item, words, start, count
 
 
+def _first_times():
+    """Whether an identity is met for the first time in a task. Rows of one identity hold the same text and give the same
+    pieces; the join puts them into one task, and where it does not, equal pieces are folded later.
+    """
+    met = set()
+
+    def new(identity: tuple) -> bool:
+        size = len(met)
+        met.add(identity)
+        return len(met) > size
+
+    return new
+
+
 def _window_ids(words: list[bytes], start: int, count: int):
     """Bytes and 128-bit hash, as two signed integers, of each of `count` windows."""
     for i in range(count):
@@ -233,18 +247,26 @@ def repeated_runs(keyed: DataFrame) -> DataFrame:
     wanted = distinct.groupBy(F.col("at.a").alias("a"), F.col("at.b").alias("b")).agg(
         F.collect_list(F.struct(F.col("at.place").alias("place"), "anchor", "piece", "weight", "hot")).alias("wanted")
     )
-    # Rows of one identity hold the same text: one of them gives the pieces.
-    sources = keyed.join(wanted, ["a", "b"]).dropDuplicates(["a", "b"]).select("wanted", "text", "doc_id")
+    # With the same columns as in _kept, so that the texts are shuffled once for both.
+    sources = keyed.join(wanted, ["a", "b"]).select("wanted", "text", "doc_id", "a", "b")
 
     def plain():
-        def pieces(wanted, text, _):
+        new = _first_times()
+
+        def pieces(wanted, text, *identity):
+            if not new(identity):
+                return
             for item, words, start, count in _pieces_of([w for w in wanted if not w["hot"]], text):
                 yield item["anchor"], item["piece"], item["weight"], b" ".join(words[start : start + count + WINDOW - 1])
 
         return pieces
 
     def cut():
-        def windows(wanted, text, _):
+        new = _first_times()
+
+        def windows(wanted, text, *identity):
+            if not new(identity):
+                return
             for item, words, start, count in _pieces_of([w for w in wanted if w["hot"]], text):
                 for _, joined, p1, p2 in _window_ids(words, start, count):
                     yield p1, p2, item["weight"], joined
@@ -252,7 +274,11 @@ def repeated_runs(keyed: DataFrame) -> DataFrame:
         return windows
 
     def linked():
-        def windows(wanted, text, _):
+        new = _first_times()
+
+        def windows(wanted, text, *identity):
+            if not new(identity):
+                return
             for item, words, start, count in _pieces_of([w for w in wanted if w["hot"]], text):
                 for i, _, p1, p2 in _window_ids(words, start, count):
                     yield p1 ^ 1, p2, item["anchor"] ^ 1, item["piece"], 1 << i
