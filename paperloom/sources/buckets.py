@@ -20,7 +20,6 @@ from pyspark.sql.types import StructField, StructType
 from paperloom import schemas
 from paperloom.sources.readers import exists
 
-# Fixed value: the hash by which files are dealt out is that of repartition(), so a task writes the file of one bucket.
 _FACTS = StructType([StructField("key", schemas.TEXT), StructField("buckets", schemas.INT), StructField("ddl", schemas.TEXT)])
 
 
@@ -43,6 +42,7 @@ def write_bucketed(rows: DataFrame, path: str, key: str, buckets: int) -> None:
     """Write a table dealt out by `key`. The path must not be one the plan reads."""
     spark, name = rows.sparkSession, _name(path)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
+    # repartition() deals rows out by the hash that buckets use, so each task writes the file of one bucket.
     dealt = rows.repartition(buckets, key).write.mode("overwrite").format("parquet").option("path", path)
     dealt.bucketBy(buckets, key).sortBy(key).saveAsTable(name)
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
