@@ -22,23 +22,35 @@ from paperloom.operators.extract import in_topic
 GRANULE = 128  # ids of a granule
 # Id ranges that a scan is told. Neighbouring granules beyond it share a range, which only reads a little more.
 RANGES = 200
+# Characters of titles and abstracts that one task turns into postings: about 1.3 million postings of plain prose, each some
+# 100 bytes in an aggregate and in a sort, and 2 GB if no two trigrams of a granule were alike.
+TASK_CHARACTERS = 16_000_000
 
 SCHEMA = "trigram INT, granule BIGINT, partition STRING"
 
 
-def postings(papers: DataFrame, granule: int = GRANULE) -> DataFrame:
-    """(trigram, granule, partition): which trigrams occur in which granules of a shard."""
+def postings(papers: DataFrame, granule: int = GRANULE, task_characters: int = TASK_CHARACTERS) -> DataFrame:
+    """(trigram, granule, partition): which trigrams occur in which granules of a shard.
+
+    The texts are measured and dealt out in ranges of shard and granule, so that what a task holds at once does not grow
+    with a shard; a granule stays in one task, and the postings need no further shuffle.
+    """
     # A character that is in no trigram keeps those of the title and of the abstract apart.
     text = F.concat_ws("\u0080", "title", "abstract")
-    rows = papers.select(F.explode(trigrams(text)).alias("trigram"), F.floor(F.col("id") / granule).alias("granule"), "partition")
-    return rows.distinct()
+    texts = papers.select(text.alias("text"), F.floor(F.col("id") / granule).alias("granule"), "partition")
+    characters = texts.agg(F.sum(F.length("text"))).first()[0] or 0
+    dealt = texts.repartitionByRange(max(1, -(-characters // task_characters)), "partition", "granule")
+    return dealt.select(F.explode(trigrams(F.col("text"))).alias("trigram"), "granule", "partition").distinct()
 
 
 def write_postings(rows: DataFrame, path: str) -> None:
-    """Add the postings of new shards, or replace those of the same shards; a look-up reads few row groups of each."""
+    """Add the postings of new shards, or replace those of the same shards; a look-up reads few row groups of each.
+
+    They are written as `postings` deals them out: a file for each task, and one more where a task's range leads into
+    another shard.
+    """
     (
-        rows.hint("rebalance", "partition")
-        .sortWithinPartitions("partition", "trigram", "granule")
+        rows.sortWithinPartitions("partition", "trigram", "granule")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("partition")

@@ -239,7 +239,7 @@ def index_topics(spark: SparkSession, layout: Layout) -> DataFrame:
     """Add the shards that are new since the last run to the trigram index; returns how many shards it has."""
     papers = readers.read_papers(spark, layout.papers, columns=("id", "title", "abstract", "partition"))
     indexed = _topic_index(spark, layout).select("partition").distinct()
-    topic_index.write_postings(topic_index.postings(papers.join(indexed, "partition", "left_anti")), layout.topic_index)
+    topic_index.write_postings(topic_index.postings(papers.join(F.broadcast(indexed), "partition", "left_anti")), layout.topic_index)
     return _topic_index(spark, layout).agg(F.count_distinct("partition").alias("shards"))
 
 

@@ -52,7 +52,7 @@ def _indexed_corpus(spark, sf_dir):
     papers.hint("rebalance", "partition").sortWithinPartitions("partition", "id").write.partitionBy("partition").parquet(f"{path}/papers")
     stored = spark.read.schema(papers.schema).parquet(f"{path}/papers")
     checked = worklist.checked(shard_checklist(spark, sf_dir))
-    topic_index.write_postings(topic_index.postings(stored.join(checked, "partition", "left_semi")), f"{path}/index")
+    topic_index.write_postings(topic_index.postings(stored.join(F.broadcast(checked), "partition", "left_semi")), f"{path}/index")
     return stored, readers.read_table(spark, f"{path}/index", topic_index.SCHEMA)
 
 

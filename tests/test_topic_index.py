@@ -141,3 +141,16 @@ def test_shards_outside_the_index_and_added_ones(spark, corpus, tmp_path):
 def test_every_topic_of_the_registry_has_a_requirement():
     regexes = [regex for cate in reg.default_registry() for regex in cate.topics.values()]
     assert regexes and all(trigrams.required(r) is not ALWAYS for r in regexes if r)
+
+
+def test_a_long_shard_is_dealt_out_by_its_texts(spark, corpus, tmp_path):
+    """Also behind a join that brings a shard's papers together; no granule is split, so no posting stands twice."""
+    papers, index, _ = corpus
+    shards = papers.select("partition").distinct()
+    joined = papers.hint("shuffle_hash").join(shards, "partition", "left_semi")
+    rows = topic_index.postings(joined, task_characters=50_000)
+    per_task = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(per_task) > 3 * 4 and max(per_task) < rows.count() / 8
+    topic_index.write_postings(rows, str(tmp_path / "index"))
+    stored = spark.read.schema(topic_index.SCHEMA).parquet(str(tmp_path / "index"))
+    assert stored.count() == index.count() and stored.exceptAll(index).isEmpty()
