@@ -93,7 +93,8 @@ def in_topic_indexed(papers: DataFrame, index: DataFrame, regex: str, granule: i
 
 def in_topic_by_shards(papers: DataFrame, index: DataFrame, regex: str, granule: int = GRANULE, ranges: int = RANGES) -> DataFrame:
     """The papers of a topic, where the index may lack shards: those are searched as a whole."""
-    indexed = index.select("partition").distinct()
+    # A row for each shard: broadcast, or the join would bring all texts of a shard into one task.
+    indexed = F.broadcast(index.select("partition").distinct())
     old = papers.join(indexed, "partition", "left_semi")
     new = papers.join(indexed, "partition", "left_anti")
     return in_topic_indexed(old, index, regex, granule, ranges).unionByName(in_topic(new, regex))

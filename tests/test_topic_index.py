@@ -154,3 +154,14 @@ def test_a_long_shard_is_dealt_out_by_its_texts(spark, corpus, tmp_path):
     topic_index.write_postings(rows, str(tmp_path / "index"))
     stored = spark.read.schema(topic_index.SCHEMA).parquet(str(tmp_path / "index"))
     assert stored.count() == index.count() and stored.exceptAll(index).isEmpty()
+
+
+def test_the_search_does_not_gather_a_shard_in_one_task(spark, corpus):
+    papers, index, _ = corpus
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = topic_index.in_topic_by_shards(papers, index, "quantum( |-)computing")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 2
