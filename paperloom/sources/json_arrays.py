@@ -37,6 +37,9 @@ CUTS = "file_no long, record_no long, block long, kind int, text string"
 WHOLE, PIECE, REST = 0, 1, 2  # a record, a part of one, and what follows the last one
 # Splits whose begins are sent to every task (some 100 bytes each); beyond it fragments are dealt to their split instead.
 BROADCAST_BLOCKS = 500_000
+# Fragments that are Python's texts at once, and characters of records that are handed on at once: a task holds one batch
+# in Arrow's form, which Spark bounds by rows and bytes, and small parts of it beside that.
+AT_ONCE, HANDED_ON = 128, 2_000_000
 
 
 def _fragments(spark: SparkSession, path: str) -> DataFrame:
@@ -92,15 +95,21 @@ def _batch(rows: list[tuple], types: tuple, schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
 
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, AT_ONCE):
+            yield from zip(*(column.to_pylist() for column in batch.slice(start, AT_ONCE).columns), strict=True)
+        del batch  # else it would stay while the next one is read
+
+
 def _sum_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums = None
-    for batch in batches:
-        for file, block, fragment in zip(*(column.to_pylist() for column in batch.columns), strict=True):
-            if sums is None or sums.block != block or sums.file != file:
-                if sums is not None:
-                    yield _batch([sums.row()], _SUMS_TYPES, SUMS)
-                sums = _Sums(file, block)
-            sums.add(fragment)
+    for file, block, fragment in _rows(batches):
+        if sums is None or sums.block != block or sums.file != file:
+            if sums is not None:
+                yield _batch([sums.row()], _SUMS_TYPES, SUMS)
+            sums = _Sums(file, block)
+        sums.add(fragment)
     if sums is not None:
         yield _batch([sums.row()], _SUMS_TYPES, SUMS)
 
@@ -164,22 +173,23 @@ class _Cutter:
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    cutter = None
-    for batch in batches:
-        rows = []
-        for fragment, *begin in zip(*(column.to_pylist() for column in batch.columns), strict=True):
-            if cutter is None or (cutter.file_no, cutter.block) != (begin[0], begin[1]):
-                if cutter is not None:
-                    rows += cutter.rest()
-                if begin[2] is None:
-                    raise RuntimeError("the splits of the files have changed since they were summed up; read the path again")
-                cutter = _Cutter(*begin)
-            row = cutter.add(fragment)
-            if row is not None:
-                rows.append(row)
-        yield _batch(rows, _CUTS_TYPES, CUTS)
+    cutter, rows, size = None, [], 0
+    for fragment, *begin in _rows(batches):
+        if cutter is None or (cutter.file_no, cutter.block) != (begin[0], begin[1]):
+            if cutter is not None:
+                rows += cutter.rest()
+            if begin[2] is None:
+                raise RuntimeError("the splits of the files have changed since they were summed up; read the path again")
+            cutter = _Cutter(*begin)
+        row = cutter.add(fragment)
+        if row is not None:
+            rows.append(row)
+            size += len(row[-1])
+        if size >= HANDED_ON:
+            yield _batch(rows, _CUTS_TYPES, CUTS)
+            rows, size = [], 0
     if cutter is not None:
-        yield _batch(cutter.rest(), _CUTS_TYPES, CUTS)
+        yield _batch([*rows, *cutter.rest()], _CUTS_TYPES, CUTS)
 
 
 def _cuts(spark: SparkSession, path: str, broadcast_blocks: int) -> DataFrame:

@@ -3,6 +3,7 @@
 import json
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql.types import StructField, StructType
@@ -122,6 +123,19 @@ def test_only_needed_splits_are_joined(spark, tmp_path, split):
     assert kinds[json_arrays.REST] == 1 and 0 < kinds[json_arrays.PIECE] <= 2 * blocks and blocks >= 7 and kinds[json_arrays.WHOLE] > 200
 
 
+def test_long_records_are_handed_on_in_small_parts():
+    """However many rows Spark sends at once, few of them are Python's texts at a time, and none is lost."""
+    texts = [f'{"[" if i == 0 else ","} {{"id": "{i}", "title": "{"x" * 20_000}"' for i in range(1_000)]
+    n = len(texts)
+    columns = [[*texts, " ]"], *([v] * (n + 1) for v in (7, 0, 0, 0, 0, True))]
+    names = ["value", "file_no", "block", "inside", "depth", "record_no", "last"]
+    out = list(json_arrays._cut(iter([pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)])))
+    assert max(batch.nbytes for batch in out) < 2 * json_arrays.HANDED_ON and len(out) > 5
+    rows = [row for batch in out for row in batch.to_pylist()]
+    assert [r["record_no"] for r in rows] == [*range(n), n] and [r["kind"] for r in rows] == [json_arrays.WHOLE] * n + [json_arrays.REST]
+    assert json.loads("".join(r["text"] for r in rows))[-1]["id"] == str(n - 1)
+
+
 @pytest.mark.parametrize("layout", writers.LAYOUTS)
 def test_written_arrays_are_read_by_any_reader(spark, tmp_path, layout):
     rows = [(str(i), f't"{i}\n', None, "r", [["a", "b"]]) for i in range(25)]
