@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from paperloom.operators.export import RANDOM_EXPORT
 from paperloom.plans import commands as jobs
 from paperloom.session import configure, durable
+from paperloom.sources import writers
 
 # Command -> (job, its positional arguments in order). Names and argument order are fixed values.
 COMMANDS = {
@@ -58,6 +59,8 @@ def parser() -> argparse.ArgumentParser:
         if command == "extract-topic":
             sub.add_argument("--store", action="store_true", help="put the ids into the work-list")
             sub.add_argument("--limit", type=int, help="draw so many ids instead of taking all")
+        if command == "variant":
+            sub.add_argument("--compression", choices=(writers.PLAIN, writers.COMPRESSED), default=writers.PLAIN, help="of the files")
         if command == "export-s2-cs-data-rand":
             sub.add_argument("--amount", type=int, default=RANDOM_EXPORT, help="papers to draw")
     return root

@@ -346,11 +346,12 @@ def label_counts(spark: SparkSession, layout: Layout, registry: Registry = None)
 # --- variants and masks -------------------------------------------------------------------------------
 
 
-def make_variants(spark: SparkSession, layout: Layout, seeds_path: str, source_path: str) -> str:
+def make_variants(spark: SparkSession, layout: Layout, seeds_path: str, source_path: str, compression: str = writers.PLAIN) -> str:
     source = spark.range(1).select(source_label(F.lit(source_path.rstrip("/")))).first()[0]
     seeds, sources = readers.read_seeds(spark, seeds_path), readers.read_records(spark, source_path)
     path = layout.export("variant")
-    writers.write_variants(variant.all_variants(seeds, sources, source), path)
+    folders = seeds.select("id").distinct().count() * (len(variant.TEXT_FEATURES) + len(variant.SWEEPS))
+    writers.write_variants(variant.all_variants(seeds, sources, source), path, folders, compression)
     return path
 
 

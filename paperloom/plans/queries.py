@@ -467,8 +467,10 @@ def audit_sink(spark, sf_dir):
 
 def variant_sink(spark, sf_dir):
     path = _scratch(spark, "variants")
-    written = variant.text_variants(data.seeds(spark, sf_dir, "region"), data.papers(spark, sf_dir), "documents")
-    writers.write_variants(written, path)
+    seeds = data.seeds(spark, sf_dir, "region")
+    written = variant.text_variants(seeds, data.papers(spark, sf_dir), "documents")
+    folders = seeds.select("id").distinct().count() * len(variant.TEXT_FEATURES)
+    writers.write_variants(written, path, folders, writers.COMPRESSED)
     return spark.read.schema(written.schema).json(path).withColumn("authors", F.array_join("authors", "|"))
 
 

@@ -11,6 +11,7 @@ from pathlib import Path
 import pytest
 
 from paperloom import schemas
+from paperloom.__main__ import run
 from paperloom.operators import variant
 from paperloom.operators.mask import MASKS
 from paperloom.plans import commands as jobs
@@ -333,6 +334,34 @@ def test_variant_files_follow_the_output(spark, tmp_path):
     assert len(_lines(tmp_path / "v")) == 5 * 400 * 4
 
 
+def test_variants_of_few_seeds_are_not_shuffled(spark, tmp_path):
+    papers = spark.range(300).selectExpr(
+        "id", "'s' AS s2_id", "'t' || id AS title", "repeat('a', 500) AS abstract", "'v' AS venue", "array('A') AS authors", "1 AS year", "1 AS n_citations"
+    )
+    rows = variant.text_variants(papers.filter("id < 5"), papers.repartition(3), "x")
+    for name, folders in (("few", 5 * 4), ("many", 1_000)):
+        writers.write_variants(rows, str(tmp_path / name), folders, writers.COMPRESSED)
+        files = list((tmp_path / name).rglob("part-*.json.gz"))
+        assert len(files) == (3 * 5 * 4 if name == "few" else 5 * 4)
+        stored = spark.read.schema(rows.schema).json(str(tmp_path / name))
+        assert stored.count() == 5 * 300 * 4 and stored.select(*rows.columns).exceptAll(rows).isEmpty()
+
+
+def test_masks_and_variants_can_be_compressed(spark, tmp_path):
+    source = tmp_path / "source"
+    source.write_text("\n".join(json.dumps({"id": i, "s2_id": f"s{i}", "title": f"t{i}", "abstract": "some words " * 50}) for i in range(50)))
+    (seeds := tmp_path / "seeds").write_text(json.dumps({"id": 1, "s2_id": "s1", "title": "seed", "abstract": "seed"}))
+    read, size = {}, {}
+    for command in (["variant", str(seeds), str(source)],):
+        for compression in (writers.PLAIN, writers.COMPRESSED):
+            path = run(spark, ["--base", str(tmp_path / compression), *command, "--compression", compression])
+            files = [p for p in Path(path).rglob("part-*")]
+            assert files and all((p.suffix == ".gz") == (compression == writers.COMPRESSED) for p in files)
+            read[compression] = sorted(r.value for r in spark.read.text(path).select("value").collect()) if command[0] == "mask" else spark.read.text(path).count()
+            size[compression] = sum(p.stat().st_size for p in files)
+        assert read[writers.PLAIN] == read[writers.COMPRESSED] and size[writers.COMPRESSED] < size[writers.PLAIN] / 2
+
+
 def test_json_array_and_sinks(spark, tmp_path):
     array = tmp_path / "raw.json"
     objects = [{"id": "1", "title": "a, b", "authors_parsed": [["x", "y"]]}, {"id": "2", "abstract": "[\n]"}]
