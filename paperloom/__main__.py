@@ -59,7 +59,7 @@ def parser() -> argparse.ArgumentParser:
         if command == "extract-topic":
             sub.add_argument("--store", action="store_true", help="put the ids into the work-list")
             sub.add_argument("--limit", type=int, help="draw so many ids instead of taking all")
-        if command == "variant":
+        if command in ("variant", "mask"):
             sub.add_argument("--compression", choices=(writers.PLAIN, writers.COMPRESSED), default=writers.PLAIN, help="of the files")
         if command == "export-s2-cs-data-rand":
             sub.add_argument("--amount", type=int, default=RANDOM_EXPORT, help="papers to draw")

@@ -355,9 +355,9 @@ def make_variants(spark: SparkSession, layout: Layout, seeds_path: str, source_p
     return path
 
 
-def make_masks(spark: SparkSession, layout: Layout, source_path: str) -> str:
+def make_masks(spark: SparkSession, layout: Layout, source_path: str, compression: str = writers.PLAIN) -> str:
     """Mask exported or completed papers."""
     path = layout.export("masking")
     papers = readers.read_records(spark, source_path, schemas.MASK_INPUT)
-    writers.write_masked(mask.mask_features(papers), path)
+    writers.write_masked(mask.mask_features(papers), path, compression)
     return path

@@ -476,7 +476,7 @@ def variant_sink(spark, sf_dir):
 
 def masked_sink(spark, sf_dir):
     path = _scratch(spark, "masked")
-    writers.write_masked(mask.mask_features(export.record_columns(data.papers(spark, sf_dir))), path)
+    writers.write_masked(mask.mask_features(export.record_columns(data.papers(spark, sf_dir))), path, writers.COMPRESSED)
     lines = spark.read.schema("value STRING, masking STRING").text(path)
     schema = "s2_id STRING, title STRING, abstract STRING, venue STRING, authors ARRAY<STRING>, year STRING, n_citations INT"
     rows = lines.select("masking", F.from_json("value", schema).alias("r")).select("masking", "r.*")

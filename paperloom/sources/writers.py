@@ -110,9 +110,9 @@ def write_variants(variants: DataFrame, path: str, folders: int | None = None, c
     )
 
 
-def write_masked(masked: DataFrame, path: str) -> None:
+def write_masked(masked: DataFrame, path: str, compression: str = PLAIN) -> None:
     """One folder of JSON lines per mask."""
-    masked.write.mode("overwrite").partitionBy("masking").text(path)
+    masked.write.mode("overwrite").options(compression=compression, **QUICKLY).partitionBy("masking").text(path)
 
 
 def append_new(new: DataFrame, existing: DataFrame, path: str, key: str = "id") -> None:

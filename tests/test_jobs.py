@@ -352,7 +352,7 @@ def test_masks_and_variants_can_be_compressed(spark, tmp_path):
     source.write_text("\n".join(json.dumps({"id": i, "s2_id": f"s{i}", "title": f"t{i}", "abstract": "some words " * 50}) for i in range(50)))
     (seeds := tmp_path / "seeds").write_text(json.dumps({"id": 1, "s2_id": "s1", "title": "seed", "abstract": "seed"}))
     read, size = {}, {}
-    for command in (["variant", str(seeds), str(source)],):
+    for command in (["mask", str(source)], ["variant", str(seeds), str(source)]):
         for compression in (writers.PLAIN, writers.COMPRESSED):
             path = run(spark, ["--base", str(tmp_path / compression), *command, "--compression", compression])
             files = [p for p in Path(path).rglob("part-*")]
